@@ -13,10 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.operators.latest import latest_by_key
 from freshet.operators.ordinal import global_row_number
-from freshet.plans import renewal
+from freshet.operators.reassemble import reassemble
+from freshet.operators.snapshot import publish_if, read_current
+from freshet.operators.status import applies, update_status
+from freshet.plans import renewal, weather
 from freshet.plans.standins import standin, with_standins
+from freshet.session import work_path
+from freshet.sources.response_log import read_response_log, write_response_log
 from freshet.sources.tables import load
+from freshet.streaming.status_stream import read_latest, run_latest_per_key
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -193,9 +200,184 @@ RENEWAL_QUERIES: dict[str, QueryFn] = {
 }
 
 
+# ---------------------------------------------------------------- weather --
+
+# Placeholder for the runtime API key (never a real credential).
+API_KEY = "API_KEY"
+LANDED_FILES = 4
+
+
+def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
+    j = nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "inner")
+    return j.select(
+        F.col("n_name").alias("key"),
+        F.concat(F.col("r_name"), F.lit("/"), F.col("n_name")).alias("location"),
+    )
+
+
+def q_request_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weather.request_paths(_locations(spark, sf_dir), F.lit(API_KEY))
+
+
+def q_status_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = standin(spark, sf_dir, "responses")
+    return r.select(
+        "request_id", "key", "status",
+        update_status(F.col("status")).alias("update_status"),
+        applies(F.col("status")).alias("applies"),
+    )
+
+
+_EVENT_BODY = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+
+def q_log_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write events as two-line log records, read them back and parse them."""
+    events = load(spark, sf_dir, "events")
+    path = work_path(spark, "response_log")
+    body = F.to_json(F.struct("event_id", "user_id", "event_type", "value", "props"))
+    write_response_log(events, path, city=F.col("user_id").cast("string"), at=F.col("ts"),
+                       body=body, mode="errorifexists")
+    recs = read_response_log(spark, path)
+    parsed = F.from_json(F.col("body"), _EVENT_BODY)
+    return recs.select(
+        F.col("city").alias("key"),
+        F.col("logged_at").cast("timestamp_ntz").alias("logged_at"),
+        parsed.alias("b"),
+    ).select("key", "logged_at", "b.*")
+
+
+def q_json_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = load(spark, sf_dir, "events")
+    props = F.from_json(F.col("props"), "k INT")
+    return events.select("event_id", "user_id", props["k"].alias("k"))
+
+
+def q_reassemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = load(spark, sf_dir, "conversations")
+    return reassemble(conv, ["conv_id"], "turn", "text", out="body",
+                      extra=[F.count(F.lit(1)).alias("n_chunks")])
+
+
+def q_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = standin(spark, sf_dir, "responses")
+    latest = latest_by_key(r, ["key"], weather.ARRIVAL_ORDER, ["data", "received_at", "request_id"])
+    return latest.select("key", "data", F.col("received_at").alias("last_update"), "request_id")
+
+
+def _refreshed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = standin(spark, sf_dir, "status")
+    r = standin(spark, sf_dir, "responses")
+    rows = r.filter(applies(F.col("status"))).select("key", "status", "data", "received_at", "request_id")
+    return weather.refresh_status(state, weather.reduce_updates(rows))
+
+
+def q_keyed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed_status(spark, sf_dir)
+
+
+def q_status_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weather.status_listing(_refreshed_status(spark, sf_dir))
+
+
+def q_latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the responses as files, stream them (availableNow, one file per
+    batch), keep the latest per key in streaming state, fold the outputs."""
+    root = work_path(spark, "stream_latest")
+    landing = f"{root}/landing"
+    r = standin(spark, sf_dir, "responses")
+    r.repartitionByRange(LANDED_FILES, "received_at", "request_id").write.parquet(landing)
+    stream = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", "1").parquet(landing)
+    values = ["data", "received_at", "request_id"]
+    q = run_latest_per_key(stream, ["key"], weather.ARRIVAL_ORDER, values,
+                           f"{root}/out", f"{root}/_checkpoint")
+    q.awaitTermination()
+    latest = read_latest(spark, f"{root}/out", ["key"], weather.ARRIVAL_ORDER, values)
+    return latest.select("key", "data", F.col("received_at").alias("last_update"), "request_id")
+
+
+def q_publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the updated tariff_data as a new version; publish it only if no
+    row was lost; return the published version."""
+    t, td, tv = _renewal_inputs(spark, sf_dir)
+    cands = renewal.renewal_candidates(t, td, tv, with_rnum=False)
+    new_tv = renewal.clear_date_from(tv, cands)
+    root = work_path(spark, "tables", "tariff_data")
+    expected = tv.count()
+    ok, _ = publish_if(spark, new_tv, root, gate=lambda written: written.count() == expected)
+    if not ok:
+        raise RuntimeError("publish gate rejected the new tariff_data version")
+    return read_current(spark, root)
+
+
+_LATEST_SQL = with_standins("responses") + """
+SELECT key, data, received_at AS last_update, request_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY received_at DESC, request_id DESC) AS rn
+  FROM responses) WHERE rn = 1"""
+
+_REFRESH_CTES = with_standins("responses", "status") + """,
+v AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY received_at DESC, request_id DESC) AS rn
+      FROM responses WHERE status IS NOT NULL),
+ok AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY received_at DESC, request_id DESC) AS rn
+       FROM responses WHERE status = 200),
+refreshed AS (
+  SELECT s.key, s.location,
+         CASE WHEN ok.key IS NOT NULL THEN ok.data ELSE s.data END AS data,
+         CASE WHEN v.key IS NOT NULL
+              THEN CASE WHEN v.status = 200 THEN 'Success' ELSE 'Failed' END
+              ELSE s.update_status END AS update_status,
+         CASE WHEN ok.key IS NOT NULL THEN ok.received_at ELSE s.last_update END AS last_update
+  FROM status s
+  LEFT JOIN v ON v.key = s.key AND v.rn = 1
+  LEFT JOIN ok ON ok.key = s.key AND ok.rn = 1)
+"""
+
+WEATHER_SQL = {
+    "request_paths": f"""
+SELECT n_name AS key, r_name || '/' || n_name AS location,
+       '/api/' || '{API_KEY}' || '/conditions/q/' || r_name || '/' || n_name || '.json' AS request_path
+FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "status_split": with_standins("responses") + """
+SELECT request_id, key, status,
+       CASE WHEN status = 200 THEN 'Success' WHEN status IS NOT NULL THEN 'Failed' END AS update_status,
+       status IS NOT NULL AS applies
+FROM responses""",
+    "log_round_trip": """
+SELECT CAST(user_id AS VARCHAR) AS key, date_trunc('second', ts) AS logged_at,
+       event_id, user_id, event_type, value, props
+FROM events""",
+    "json_project": """
+SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
+    "reassemble": """
+SELECT conv_id, string_agg(text, '' ORDER BY turn) AS body, count(*) AS n_chunks
+FROM conversations GROUP BY conv_id""",
+    "latest_state": _LATEST_SQL,
+    "keyed_update": _REFRESH_CTES + "SELECT * FROM refreshed",
+    "status_listing": _REFRESH_CTES + """
+SELECT CAST(row_number() OVER (ORDER BY key) AS BIGINT) AS ordinal, location, data, update_status, last_update
+FROM refreshed ORDER BY ordinal""",
+    "latest_state_stream": _LATEST_SQL,
+    "publish_gate": RENEWAL_SQL["clear_date_from"],
+}
+
+WEATHER_QUERIES: dict[str, QueryFn] = {
+    "request_paths": q_request_paths,
+    "status_split": q_status_split,
+    "log_round_trip": q_log_round_trip,
+    "json_project": q_json_project,
+    "reassemble": q_reassemble,
+    "latest_state": q_latest_state,
+    "keyed_update": q_keyed_update,
+    "status_listing": q_status_listing,
+    "latest_state_stream": q_latest_state_stream,
+    "publish_gate": q_publish_gate,
+}
+
+
 def queries() -> dict[str, QueryFn]:
-    return dict(RENEWAL_QUERIES)
+    return {**RENEWAL_QUERIES, **WEATHER_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(RENEWAL_SQL)
+    return {**RENEWAL_SQL, **WEATHER_SQL}
