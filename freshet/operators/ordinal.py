@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_BUCKETS = 1024
 SAMPLES_PER_BUCKET = 16
@@ -43,6 +44,16 @@ def sample_bounds(
     if n_buckets <= 1:
         return []
     keys = source.select(*cols)
+    if len(cols) == 1 and isinstance(keys.schema[0].dataType, T.NumericType):
+        # One pass with a Greenwald-Khanna summary; nulls are ignored (they
+        # sort first and land in bucket 0).
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        qs = keys.approxQuantile(cols[0], probs, 1.0 / (4 * n_buckets))
+        bounds = []
+        for q in qs:
+            if not bounds or q != bounds[-1][0]:
+                bounds.append((q,))
+        return bounds
     total = keys.count()
     if total == 0:
         return []

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.operators.latest import latest_by_key
+from freshet.operators.materialize import materialize
 from freshet.operators.ordinal import global_row_number
 from freshet.operators.reassemble import reassemble
 from freshet.operators.snapshot import publish_if, read_current
@@ -53,7 +54,7 @@ def q_commit_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events").select("event_id", "event_type")
     numbered = global_row_number(events, ["event_id"])
     processed = numbered.filter(F.col("event_type") != "error").select("event_id", "rnum")
-    return renewal.commit_batches(processed)
+    return renewal.commit_batches(materialize(processed, "processed_events"))
 
 
 def q_set_constants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +279,7 @@ def q_keyed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_status_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weather.status_listing(_refreshed_status(spark, sf_dir))
+    return weather.status_listing(materialize(_refreshed_status(spark, sf_dir), "refreshed_status"))
 
 
 def q_latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

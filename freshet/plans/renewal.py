@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.text import first_char, oracle_concat
+from freshet.operators.materialize import materialize
 from freshet.operators.ordinal import running_total
 
 # Fixed values used by the job (flag letters and message texts).
@@ -110,10 +111,10 @@ def renewal_candidates(
     scope = renewal_scope(tariff, tariff_domain, tariff_data)
     cols = list(CANDIDATE_COLUMNS)
     if with_rnum:
-        scope = running_total(
-            scope, ["t_id"], value=F.col("n_rows"), out="rnum",
-            n_buckets=n_buckets, bounds_from=(tariff, ["id"]),
-        )
+        # The ordinal reads its input twice (bucket totals, numbers); write the
+        # one-row-per-tariff scope once instead of re-aggregating tariff_data.
+        scope = materialize(scope, "renewal_scope")
+        scope = running_total(scope, ["t_id"], value=F.col("n_rows"), out="rnum", n_buckets=n_buckets)
         cols.append("rnum")
     return scope.filter(needs_renewal()).select(*cols)
 

@@ -78,14 +78,18 @@ def run_status_refresh(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        status = read_current(spark, status_root)
-        new_status, parsed, errors = weather.refresh(status, batch, locations)
-        path = write_version(new_status, status_root)
-        publish(spark, status_root, path)
-        weather.append_log(parsed, f"{log_dir}/batch_id={batch_id}", mode="overwrite")
-        errors.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{audit_dir}/batch_id={batch_id}"
-        )
+        batch = batch.persist()  # read by three writes below; the batch is bounded by the trigger
+        try:
+            status = read_current(spark, status_root)
+            new_status, parsed, errors = weather.refresh(status, batch, locations)
+            path = write_version(new_status, status_root)
+            publish(spark, status_root, path)
+            weather.append_log(parsed, f"{log_dir}/batch_id={batch_id}", mode="overwrite")
+            errors.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
+                f"{audit_dir}/batch_id={batch_id}"
+            )
+        finally:
+            batch.unpersist()
 
     writer = responses.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -1,0 +1,138 @@
+"""The renewal job on hand-built tables covering each branch.
+
+Invented rows (FIXTURES.md section 3). Joined relation in (t_id, tv_id)
+order, active tariffs of personal='N' domains:
+
+    t10 -        rnum 1   no version, unready      -> candidate, mark ready
+    t11 -        rnum 2   no version, ready        -> OR is NULL, left out
+    t12 120,121  rnum 3,4 newest unready + dated   -> candidate, clear date
+    t13 130      rnum 5   (131 inactive) ready v.  -> candidate (t unready)
+    t14 140      rnum 6   both ready               -> left out
+    t20 200      rnum 7   unready, no date         -> candidate, date kept
+    t21 210..213 rnum 8-11 newest unready + dated  -> candidate, clear date
+                          (rnum 10, a multiple of 5, is lost in the cut)
+
+Commit points after rnum 5 only, so batches are {1, 4, 5} and {7, 11}.
+"""
+
+import datetime as dt
+
+import pytest
+
+from freshet.plans import renewal
+
+D = dt.date
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    domains = spark.createDataFrame([
+        (1, "DOM_N", "N", "A"),
+        (2, "DOM_T1", "T", "A"),
+        (3, "DOM_T2", "T", "A"),
+        (4, "DOM_P", "P", "A"),
+        (5, "DOM_T3", "T", "C"),
+    ], "id long, code string, is_personal string, amnd_state string")
+    tariffs = spark.createDataFrame([
+        (10, 1, "T10", "N", "A"),
+        (11, 1, "T11", "Y", "A"),
+        (12, 1, "T12", "Y", "A"),
+        (13, 1, "T13", "N", "A"),
+        (14, 1, "T14", "Y", "A"),
+        (15, 1, "T15", "N", "C"),
+        (16, 4, "T16", "N", "A"),
+        (17, 2, "T17", "N", "A"),
+        (18, 3, "T18", "Y", "A"),
+        (19, 5, "T19", "N", "A"),
+        (20, 1, "T20", "N", "A"),
+        (21, 1, "T21", "Y", "A"),
+    ], "id long, tariff_domain__oid long, name string, is_ready string, amnd_state string")
+    versions = spark.createDataFrame([
+        (120, 12, "A", "Y", D(2024, 1, 1)),
+        (121, 12, "A", "N", D(2024, 1, 5)),
+        (130, 13, "A", "Y", D(2024, 2, 1)),
+        (131, 13, "C", "N", D(2024, 2, 2)),
+        (140, 14, "A", "Y", D(2024, 2, 3)),
+        (150, 15, "A", "N", D(2024, 2, 4)),
+        (160, 16, "A", "N", D(2024, 2, 5)),
+        (200, 20, "A", "N", None),
+        (210, 21, "A", "Y", D(2024, 3, 1)),
+        (211, 21, "A", "N", D(2024, 3, 2)),
+        (212, 21, "A", "Y", D(2024, 3, 3)),
+        (213, 21, "A", "N", D(2024, 3, 4)),
+    ], "id long, tariff__oid long, amnd_state string, is_ready string, date_from date")
+    apply_res = spark.createDataFrame([
+        (10, "E-9 never applied"), (12, "E-1 failure"), (13, "W-1 warning"),
+        (20, None), (21, "E-2 other"),
+    ], "id long, err_msg string")
+    approve_res = spark.createDataFrame([(2, "E-5 locked"), (3, "E-6 unused")], "id long, err_msg string")
+    return tariffs, domains, versions, apply_res, approve_res
+
+
+def test_candidates(tables):
+    t, td, tv, _, _ = tables
+    rows = renewal.renewal_candidates(t, td, tv, n_buckets=3).orderBy("rnum").collect()
+    got = [(r.t_id, r.tv_id, r.t_is_ready, r.tv_is_ready, r.tv_date_from, r.rnum) for r in rows]
+    assert got == [
+        (10, None, "N", None, None, 1),
+        (12, 121, "Y", "N", D(2024, 1, 5), 4),
+        (13, 130, "N", "Y", D(2024, 2, 1), 5),
+        (20, 200, "N", "N", None, 7),
+        (21, 213, "Y", "N", D(2024, 3, 4), 11),
+    ]
+
+
+def test_commit_batches(tables):
+    t, td, tv, _, _ = tables
+    cands = renewal.renewal_candidates(t, td, tv, n_buckets=2)
+    got = {r.t_id: r.commit_batch for r in renewal.commit_batches(cands, n_buckets=2).collect()}
+    assert got == {10: 0, 12: 0, 13: 0, 20: 1, 21: 1}
+
+
+def test_mark_ready(tables):
+    t, td, tv, _, _ = tables
+    cands = renewal.renewal_candidates(t, td, tv, with_rnum=False)
+    out = {r.id: r.is_ready for r in renewal.mark_ready(t, cands).collect()}
+    assert out[10] == "Y"
+    assert out == {r.id: ("Y" if r.id == 10 else r.is_ready) for r in t.collect()}
+
+
+def test_clear_date_from(tables):
+    t, td, tv, _, _ = tables
+    cands = renewal.renewal_candidates(t, td, tv, with_rnum=False)
+    out = {r.id: r.date_from for r in renewal.clear_date_from(tv, cands).collect()}
+    assert out[121] is None and out[213] is None
+    assert out[200] is None and out[130] == D(2024, 2, 1) and out[211] == D(2024, 3, 2)
+    assert len(out) == tv.count()
+
+
+def test_template_domains(tables):
+    t, td, _, _, _ = tables
+    assert [r.id for r in renewal.template_domains(t, td).collect()] == [2]
+
+
+def test_messages_and_audit(tables):
+    t, td, tv, apply_res, approve_res = tables
+    cands = renewal.renewal_candidates(t, td, tv, n_buckets=2)
+    doms = renewal.template_domains(t, td)
+    tmsg = renewal.tariff_messages(cands, td, apply_res)
+    dmsg = renewal.domain_messages(doms, approve_res)
+    assert sorted((r.id, r.severity, r.message, r.seq) for r in tmsg.collect()) == [
+        (12, "E", 'Approve failed for "DOM_N/T12": E-1 failure', 4),
+        (21, "E", 'Approve failed for "DOM_N/T21": E-2 other', 11),
+    ]
+    assert [(r.id, r.message) for r in dmsg.collect()] == [(2, "Approve failed for DOM_T1")]
+    audit = renewal.audit_log(cands, doms, tmsg, dmsg).orderBy("stage_no", "phase", "seq").collect()
+    assert [(a.stage_no, a.phase, a.seq, a.n_processed) for a in audit] == [
+        (1, 0, 0, None), (1, 1, 4, None), (1, 1, 11, None), (1, 2, 0, 5),
+        (2, 0, 0, None), (2, 1, 2, None), (2, 2, 0, 1),
+    ]
+    assert audit[0].message == "renewal: Action STARTED: Approve TARIFFS"
+
+
+def test_set_constants(spark):
+    from pyspark.sql import functions as F
+
+    c = spark.createDataFrame([(1, D(2020, 1, 1), D(2020, 2, 1))], "id long, date_from date, date_to date")
+    r = renewal.set_constants(c, F.lit(D(2024, 12, 31))).first()
+    assert (r.id, r.date_from, r.date_to) == (1, D(2025, 1, 1), None)
