@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.functions.payload import to_json_text
 from freshet.operators.latest import latest_by_key
 from freshet.operators.materialize import materialize
 from freshet.operators.ordinal import global_row_number
@@ -237,7 +238,7 @@ def q_log_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write events as two-line log records, read them back and parse them."""
     events = load(spark, sf_dir, "events")
     path = work_path(spark, "response_log")
-    body = F.to_json(F.struct("event_id", "user_id", "event_type", "value", "props"))
+    body = to_json_text(F.struct("event_id", "user_id", "event_type", "value", "props"))
     write_response_log(events, path, city=F.col("user_id").cast("string"), at=F.col("ts"),
                        body=body, mode="errorifexists")
     recs = read_response_log(spark, path)

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from freshet.functions.payload import number, rfc822
+from freshet.functions.payload import number, rfc822, to_json_text
 from freshet.functions.text import oracle_concat
 from freshet.plans import weather
 from freshet.session import work_path
@@ -50,6 +50,11 @@ def test_rfc822(spark):
     assert got[0].replace(tzinfo=UTC) == dt.datetime(2024, 5, 4, 12, 15, tzinfo=UTC)
 
 
+def test_to_json_keeps_null_fields(spark):
+    df = spark.createDataFrame([("a", None)], "x string, y string")
+    assert df.select(to_json_text(F.struct("x", "y")).alias("j")).first().j == '{"x":"a","y":null}'
+
+
 def test_oracle_concat_treats_null_as_empty(spark):
     df = spark.createDataFrame([("a", None)], "x string, y string")
     assert df.select(oracle_concat(F.col("x"), F.lit("/"), F.col("y")).alias("c")).first().c == "a/"
