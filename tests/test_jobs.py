@@ -1,0 +1,53 @@
+"""Whole-job runs: snapshots are published together, or not at all."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from freshet import jobs
+from freshet.operators.snapshot import publish, read_current, write_version
+from freshet.session import work_path
+from tests.test_renewal_fixtures import tables  # noqa: F401  (fixture)
+from tests.test_weather_fixtures import _check_refreshed, _responses, _state
+
+
+def _constants(spark):
+    return spark.createDataFrame([(1, dt.date(2020, 1, 1), dt.date(2020, 2, 1))],
+                                 "id long, date_from date, date_to date")
+
+
+def test_run_renewal_publishes_all(spark, tables):  # noqa: F811
+    t, td, tv, apply_res, approve_res = tables
+    root = work_path(spark, "jobs_renewal")
+    res = jobs.run_renewal(spark, root, t, td, tv, _constants(spark), apply_res, approve_res,
+                           ldate=F.lit(dt.date(2024, 12, 31)))
+    assert res.published
+    tariff = {r.id: r.is_ready for r in read_current(spark, f"{root}/tariff").collect()}
+    assert tariff[10] == "Y"
+    data = {r.id: r.date_from for r in read_current(spark, f"{root}/tariff_data").collect()}
+    assert data[121] is None and data[213] is None
+    cands = {r.t_id: r.commit_batch for r in read_current(spark, f"{root}/candidates").collect()}
+    assert cands == {10: 0, 12: 0, 13: 0, 20: 1, 21: 1}
+    const = read_current(spark, f"{root}/v_local_constants").first()
+    assert (const.date_from, const.date_to) == (dt.date(2025, 1, 1), None)
+    assert read_current(spark, f"{root}/audit").count() == 7
+
+
+def test_run_renewal_reject_publishes_nothing(spark, tables):  # noqa: F811
+    t, td, tv, apply_res, approve_res = tables
+    root = work_path(spark, "jobs_renewal_reject")
+    res = jobs.run_renewal(spark, root, t, td, tv, _constants(spark), apply_res, approve_res,
+                           ldate=F.lit(dt.date(2024, 12, 31)), reject=True)
+    assert not res.published
+    assert read_current(spark, f"{root}/tariff") is None
+
+
+def test_run_status_refresh(spark):
+    status, locations = _state(spark)
+    root = work_path(spark, "jobs_status")
+    publish(spark, f"{root}/status", write_version(status, f"{root}/status"))
+    res = jobs.run_status_refresh(spark, f"{root}/status", _responses(spark), locations,
+                                  f"{root}/log", f"{root}/audit")
+    assert res.published
+    _check_refreshed(read_current(spark, f"{root}/status").collect())
+    assert spark.read.parquet(f"{root}/audit").count() == 1
