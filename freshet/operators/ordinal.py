@@ -13,10 +13,13 @@ parallel:
    count we chose), and the in-bucket running value (a window partitioned
    by bucket). The answer is offset + in-bucket value.
 
-The bucket of a row is a pure function of its ordering key (a binary
-search over literal bounds), so both branches agree on it and a retried
-task recomputes the same value. The ordering must be unique for the
-numbers to be deterministic; callers pass a key that is.
+The bucket of a row is a pure function of its ordering key, so both
+branches agree on it and a retried task recomputes the same value. A
+single numeric key is bucketed by ML's ``Bucketizer`` (a JVM binary search
+over the split array, any bucket count); other keys by a balanced tree of
+comparisons over literal bounds, whose generated code limits it to a few
+hundred buckets. The ordering must be unique for the numbers to be
+deterministic; callers pass a key that is.
 """
 
 from __future__ import annotations
@@ -27,14 +30,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_BUCKETS = 1024
+# Bucket count limits: a numeric key uses a JVM binary search (the limit only
+# bounds the split array shipped with the plan); comparison trees generate
+# code that grows with the bucket count (past ~1000 single-column leaves the
+# method exceeds 64 KB and Spark falls back to interpreted evaluation).
+MAX_NUMERIC_BUCKETS = 16384
+MAX_TREE_BUCKETS = 512
+MAX_COMPOSITE_BUCKETS = 64
 SAMPLES_PER_BUCKET = 16
 _SEED = 29
 
 
-def default_buckets(df: DataFrame) -> int:
+def _is_numeric_key(df: DataFrame, cols: Sequence[str]) -> bool:
+    return len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, T.NumericType)
+
+
+def default_buckets(df: DataFrame, cols: Sequence[str] | None = None) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MAX_BUCKETS, 4 * parts))
+    return max(1, min(bucket_limit(df, cols or df.columns[:1]), 4 * parts))
+
+
+def bucket_limit(df: DataFrame, cols: Sequence[str]) -> int:
+    if _is_numeric_key(df, cols):
+        return MAX_NUMERIC_BUCKETS
+    return MAX_TREE_BUCKETS if len(cols) == 1 else MAX_COMPOSITE_BUCKETS
 
 
 def sample_bounds(
@@ -44,7 +63,7 @@ def sample_bounds(
     if n_buckets <= 1:
         return []
     keys = source.select(*cols)
-    if len(cols) == 1 and isinstance(keys.schema[0].dataType, T.NumericType):
+    if _is_numeric_key(keys, cols):
         # One pass with a Greenwald-Khanna summary; nulls are ignored (they
         # sort first and land in bucket 0).
         probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -78,11 +97,17 @@ def sample_bounds(
 
 
 def _key(cols: Sequence[str]) -> Column:
+    # A single key is compared as is; a composite key as a struct
+    # (lexicographic, NULL fields first like ORDER BY ... ASC).
+    if len(cols) == 1:
+        return F.col(cols[0])
     return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])
 
 
 def _bound_literals(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) -> list[Column]:
     types = [df.schema[c].dataType for c in cols]
+    if len(cols) == 1:
+        return [F.lit(b[0]).cast(types[0]) for b in bounds]
     return [
         F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
         for b in bounds
@@ -90,7 +115,11 @@ def _bound_literals(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) ->
 
 
 def bucket_of(key: Column, bounds: list[Column]) -> Column:
-    """Number of bounds <= key, as a balanced tree of comparisons (log2 depth)."""
+    """Number of bounds <= key, as a balanced tree of comparisons (log2 depth).
+
+    A NULL key compares as unknown, so it takes the ``otherwise`` branches
+    and lands in bucket 0, i.e. first, as ``ORDER BY ... ASC`` puts it.
+    """
 
     def search(lo: int, hi: int) -> Column:
         if lo >= hi:
@@ -101,6 +130,25 @@ def bucket_of(key: Column, bounds: list[Column]) -> Column:
     return search(0, len(bounds))
 
 
+def tag_buckets(df: DataFrame, order_cols: Sequence[str], bounds: list[tuple]) -> DataFrame:
+    """Add ``_bkt`` = number of bounds <= the row's key (NULL keys: 0)."""
+    if not bounds:
+        return df.withColumn("_bkt", F.lit(0))
+    if _is_numeric_key(df, order_cols):
+        from pyspark.ml.feature import Bucketizer
+
+        k = order_cols[0]
+        splits = [float("-inf")] + sorted({float(b[0]) for b in bounds}) + [float("inf")]
+        # "keep" sends NULL to an extra last bucket; NULLs sort first, so pin them to 0.
+        # NaN also lands last, where a NaN key sorts.
+        tmp = df.withColumn("_bkey", F.col(k).cast("double"))
+        out = Bucketizer(splits=splits, inputCol="_bkey", outputCol="_braw", handleInvalid="keep").transform(tmp)
+        bkt = F.when(F.col(k).isNull(), F.lit(0)).otherwise(F.col("_braw").cast("int"))
+        return out.withColumn("_bkt", bkt).drop("_bkey", "_braw")
+    lits = _bound_literals(df, order_cols, bounds)
+    return df.withColumn("_bkt", bucket_of(_key(order_cols), lits))
+
+
 def running_total(
     df: DataFrame,
     order_cols: Sequence[str],
@@ -119,12 +167,13 @@ def running_total(
     the same key values (e.g. the base table before expensive joins).
     """
     order_cols = list(order_cols)
-    n_buckets = n_buckets or default_buckets(df)
+    limit = bucket_limit(df, order_cols)
+    n_buckets = min(n_buckets or default_buckets(df, order_cols), limit)
     src, src_cols = bounds_from if bounds_from else (df, order_cols)
-    bounds = _bound_literals(df, order_cols, sample_bounds(src, list(src_cols), n_buckets))
+    bounds = sample_bounds(src, list(src_cols), n_buckets)
     val = F.lit(1).cast("long") if value is None else value
 
-    tagged = df.withColumn("_bkt", bucket_of(_key(order_cols), bounds)).withColumn("_val", val)
+    tagged = tag_buckets(df, order_cols, bounds).withColumn("_val", val)
 
     totals = tagged.groupBy("_bkt").agg(F.sum("_val").alias("_bsum"))
     before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)

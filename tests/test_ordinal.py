@@ -53,3 +53,25 @@ def test_sample_bounds_increasing(spark):
     df = spark.range(0, 10000).withColumnRenamed("id", "k")
     b = sample_bounds(df, ["k"], 16)
     assert len(b) >= 10 and b == sorted(b)
+
+
+def test_numeric_key_many_buckets_with_nulls(spark):
+    rnd = random.Random(3)
+    keys = rnd.sample(range(10**12, 10**12 + 10**7), 5000) + [None, None]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long").repartition(7)
+    out = running_total(df.filter(F.col("k").isNotNull()), ["k"], value=F.col("i"), out="s", n_buckets=3000)
+    acc, want = 0, {}
+    for k, i in sorted((k, i) for i, k in enumerate(keys) if k is not None):
+        acc += i
+        want[k] = acc
+    assert {r.k: r.s for r in out.collect()} == want
+    nulls = global_row_number(df, ["k"], n_buckets=50).filter(F.col("k").isNull()).collect()
+    assert sorted(r.rnum for r in nulls) == [1, 2]
+
+
+def test_composite_keys_are_capped(spark):
+    from freshet.operators.ordinal import MAX_COMPOSITE_BUCKETS, bucket_limit
+
+    df = spark.createDataFrame([("a", 1)], "g string, i long")
+    assert bucket_limit(df, ["g", "i"]) == MAX_COMPOSITE_BUCKETS
+    assert global_row_number(df, ["g", "i"], n_buckets=10_000).first().rnum == 1
