@@ -21,7 +21,7 @@ from freshet.operators.reassemble import reassemble
 from freshet.operators.snapshot import publish_if, read_current
 from freshet.operators.status import applies, update_status
 from freshet.plans import renewal, weather
-from freshet.plans.standins import standin, with_standins
+from freshet.plans.standins import landed_chunks, standin, status_locations, with_standins
 from freshet.session import work_path
 from freshet.sources.response_log import read_response_log, write_response_log
 from freshet.sources.tables import load
@@ -283,6 +283,21 @@ def q_status_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather.status_listing(materialize(_refreshed_status(spark, sf_dir), "refreshed_status"))
 
 
+def q_status_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole landed-response path: chunks -> body -> JSON -> status split
+    -> latest per key -> keyed update without insert."""
+    state = standin(spark, sf_dir, "status").withColumn("key", F.col("key").cast("string"))
+    new_status, _, _ = weather.refresh(state, landed_chunks(spark, sf_dir), status_locations(spark, sf_dir))
+    return new_status
+
+
+def q_renewal_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commit batch of every processed renewal candidate."""
+    t, td, tv = _renewal_inputs(spark, sf_dir)
+    cands = materialize(renewal.renewal_candidates(t, td, tv), "candidates")
+    return renewal.commit_batches(cands).select("t_id", "rnum", "commit_batch")
+
+
 def q_latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the responses as files, stream them (availableNow, one file per
     batch), keep the latest per key in streaming state, fold the outputs."""
@@ -361,6 +376,14 @@ SELECT CAST(row_number() OVER (ORDER BY key) AS BIGINT) AS ordinal, location, da
 FROM refreshed ORDER BY ordinal""",
     "latest_state_stream": _LATEST_SQL,
     "publish_gate": RENEWAL_SQL["clear_date_from"],
+    "status_refresh": _REFRESH_CTES + """
+SELECT CAST(key AS VARCHAR) AS key, location, data, update_status, last_update FROM refreshed""",
+    "renewal_batches": _RENEWAL_CTES + """
+SELECT t_id, rnum,
+       CAST(COALESCE(SUM(CASE WHEN rnum % 5 = 0 THEN 1 ELSE 0 END)
+            OVER (ORDER BY rnum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+         AS commit_batch
+FROM cands""",
 }
 
 WEATHER_QUERIES: dict[str, QueryFn] = {
@@ -374,6 +397,8 @@ WEATHER_QUERIES: dict[str, QueryFn] = {
     "status_listing": q_status_listing,
     "latest_state_stream": q_latest_state_stream,
     "publish_gate": q_publish_gate,
+    "status_refresh": q_status_refresh,
+    "renewal_batches": q_renewal_batches,
 }
 
 

@@ -25,6 +25,9 @@ from freshet.sources.tables import load
 #                    with value < 5, 503 for other error events, else 200
 #   status seed   <- supplier: key s_suppkey, location s_name, nothing else set
 #   locations     <- nation x region: location "<r_name>/<n_name>", key n_name
+#   landed chunks <- events: location "L/<user_id>", the 200 responses carry the
+#                    body {"current_observation":{"display_location":{"city":
+#                    "<user_id>"},"weather":"<event_type>"}} cut into 3 chunks
 
 STANDINS: dict[str, tuple[str, dict[str, str]]] = {
     "tariff": ("customer", {
@@ -93,3 +96,47 @@ def standin_cte(name: str) -> str:
 
 def with_standins(*names: str) -> str:
     return "WITH " + ",\n".join(standin_cte(n) for n in names)
+
+
+BODY_CHUNKS = 3
+
+
+def landed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed responses (one row per chunk) built from ``events``.
+
+    Each response with status 200 carries a JSON body cut into
+    ``BODY_CHUNKS`` pieces; other responses land as one NULL chunk.
+    """
+    from pyspark.sql import functions as F
+
+    r = standin(spark, sf_dir, "responses")
+    body = F.to_json(F.struct(F.struct(
+        F.struct(F.col("key").cast("string").alias("city")).alias("display_location"),
+        F.col("data").alias("weather"),
+    ).alias("current_observation")))
+    with_body = r.select(
+        "request_id",
+        F.concat(F.lit("L/"), F.col("key").cast("string")).alias("location"),
+        "status", "received_at",
+        F.when(F.col("status") == 200, body).alias("body"),
+    )
+    seqs = F.when(F.col("body").isNull(), F.array(F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.lit(BODY_CHUNKS - 1)))
+    exploded = with_body.select(
+        "*", F.explode(seqs).alias("seq"),
+        F.ceil(F.length("body") / BODY_CHUNKS).cast("int").alias("_w"),
+    )
+    return exploded.select(
+        "request_id", "location", "status", F.col("seq").cast("int").alias("seq"),
+        F.expr("substring(body, 1 + seq * _w, _w)").alias("chunk"),
+        "received_at",
+    )
+
+
+def status_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``location -> key`` for the status stand-in (string keys)."""
+    from pyspark.sql import functions as F
+
+    s = load(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("string")
+    return s.select(F.concat(F.lit("L/"), key).alias("location"), key.alias("key"))
