@@ -207,6 +207,7 @@ RENEWAL_QUERIES: dict[str, QueryFn] = {
 # Placeholder for the runtime API key (never a real credential).
 API_KEY = "API_KEY"
 LANDED_FILES = 4
+ROWS_PER_STATE_PARTITION = 2_000_000
 
 
 def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,10 +306,14 @@ def q_latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{root}/landing"
     r = standin(spark, sf_dir, "responses")
     r.repartitionByRange(LANDED_FILES, "received_at", "request_id").write.parquet(landing)
+    # State partitions sized by the landed volume, never above the session's.
+    rows = spark.read.parquet(landing).count()
+    session_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state_parts = max(4, min(session_parts, -(-rows // ROWS_PER_STATE_PARTITION)))
     stream = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", "1").parquet(landing)
     values = ["data", "received_at", "request_id"]
     q = run_latest_per_key(stream, ["key"], weather.ARRIVAL_ORDER, values,
-                           f"{root}/out", f"{root}/_checkpoint")
+                           f"{root}/out", f"{root}/_checkpoint", state_partitions=state_parts)
     q.awaitTermination()
     latest = read_latest(spark, f"{root}/out", ["key"], weather.ARRIVAL_ORDER, values)
     return latest.select("key", "data", F.col("received_at").alias("last_update"), "request_id")

@@ -31,11 +31,15 @@ def run_latest_per_key(
     out_dir: str,
     checkpoint: str,
     available_now: bool = True,
+    state_partitions: int | None = None,
 ):
     """Maintain the latest row per key; each batch writes the keys it changed.
 
     Output mode ``update`` emits only keys touched in the batch, so a batch
     costs its own size plus state lookups, not a rewrite of all keys.
+    ``state_partitions`` fixes the number of state store partitions, which a
+    stream keeps for its whole life (it is recorded in the checkpoint); by
+    default the session's ``spark.sql.shuffle.partitions`` applies.
     """
     carried = list(values) + [o for o in ordering if o not in values]
     agg = stream.groupBy(*keys).agg(latest_value(carried, ordering).alias("_latest"))
@@ -50,7 +54,20 @@ def run_latest_per_key(
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    return _start(writer, flat.sparkSession, state_partitions)
+
+
+def _start(writer, spark: SparkSession, state_partitions: int | None):
+    """Start a query; the stream keeps the partition count it starts with."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()  # the stream clones the session conf here
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_latest(spark: SparkSession, out_dir: str, keys: Sequence[str], ordering: Sequence[str],
