@@ -21,7 +21,9 @@ from freshet.operators.reassemble import reassemble
 from freshet.operators.snapshot import publish_if, read_current
 from freshet.operators.status import applies, update_status
 from freshet.plans import renewal, weather
-from freshet.plans.standins import landed_chunks, standin, status_locations, with_standins
+from freshet.plans.standins import (
+    conditions_log_records, landed_chunks, standin, status_locations, with_standins,
+)
 from freshet.session import work_path
 from freshet.sources.response_log import read_response_log, write_response_log
 from freshet.sources.tables import load
@@ -251,6 +253,22 @@ def q_log_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("key", "logged_at", "b.*")
 
 
+_READING_COLUMNS = [
+    "city", "weather", "temp_f", "wind_gust_mph", "relative_humidity", "precip_1hr_in",
+    "heat_index_f", "solarradiation", "station_id",
+]
+
+
+def q_conditions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write a conditions log, ingest it into typed columns (sentinels become
+    NULL, numbers sent as text are parsed), keep the newest reading per city."""
+    recs = conditions_log_records(spark, sf_dir)
+    path = work_path(spark, "conditions_log")
+    write_response_log(recs, path, F.col("city"), F.col("at"), F.col("body"), mode="errorifexists")
+    latest = weather.latest_reading(weather.ingest_log(spark, path))
+    return latest.select(*_READING_COLUMNS, F.col("observed_at").cast("timestamp_ntz").alias("observed_at"))
+
+
 def q_json_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events")
     props = F.from_json(F.col("props"), "k INT")
@@ -381,6 +399,22 @@ SELECT CAST(row_number() OVER (ORDER BY key) AS BIGINT) AS ordinal, location, da
 FROM refreshed ORDER BY ordinal""",
     "latest_state_stream": _LATEST_SQL,
     "publish_gate": RENEWAL_SQL["clear_date_from"],
+    "conditions_latest": """
+WITH c AS (
+  SELECT CAST(user_id AS VARCHAR) AS city, event_type AS weather, value AS temp_f,
+         value AS wind_gust_mph,
+         CAST(CAST(floor(value) AS BIGINT) % 100 AS DOUBLE) AS relative_humidity,
+         CASE WHEN event_type = 'error' THEN NULL ELSE value END AS precip_1hr_in,
+         CASE WHEN value < 50 THEN NULL ELSE value END AS heat_index_f,
+         CASE WHEN event_type = 'view' THEN NULL ELSE 0.0 END AS solarradiation,
+         CAST(event_id AS VARCHAR) AS station_id,
+         date_trunc('second', ts) AS observed_at
+  FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY city
+                                   ORDER BY observed_at DESC, station_id DESC) AS rn FROM c)
+SELECT city, weather, temp_f, wind_gust_mph, relative_humidity, precip_1hr_in, heat_index_f,
+       solarradiation, station_id, observed_at
+FROM r WHERE rn = 1""",
     "status_refresh": _REFRESH_CTES + """
 SELECT CAST(key AS VARCHAR) AS key, location, data, update_status, last_update FROM refreshed""",
     "renewal_batches": _RENEWAL_CTES + """
@@ -404,6 +438,7 @@ WEATHER_QUERIES: dict[str, QueryFn] = {
     "publish_gate": q_publish_gate,
     "status_refresh": q_status_refresh,
     "renewal_batches": q_renewal_batches,
+    "conditions_latest": q_conditions_latest,
 }
 
 

@@ -25,6 +25,11 @@ from freshet.sources.tables import load
 #                    with value < 5, 503 for other error events, else 200
 #   status seed   <- supplier: key s_suppkey, location s_name, nothing else set
 #   locations     <- nation x region: location "<r_name>/<n_name>", key n_name
+#   conditions log <- events: city <user_id>, station <event_id>, weather
+#                    <event_type>; wind gust = value, sent as JSON text for
+#                    clicks and as a number otherwise; humidity "<floor(value) % 100>%";
+#                    precip "-9999.00" for errors; heat index "NA" below 50;
+#                    solar radiation "--" for views, else "0"
 #   landed chunks <- events: location "L/<user_id>", the 200 responses carry the
 #                    body {"current_observation":{"display_location":{"city":
 #                    "<user_id>"},"weather":"<event_type>"}} cut into 3 chunks
@@ -140,3 +145,32 @@ def status_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load(spark, sf_dir, "supplier")
     key = F.col("s_suppkey").cast("string")
     return s.select(F.concat(F.lit("L/"), key).alias("location"), key.alias("key"))
+
+
+def conditions_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(city, at, body) log records whose bodies mix JSON numbers and text
+    and use every missing-value spelling of the feed."""
+    from pyspark.sql import functions as F
+
+    e = load(spark, sf_dir, "events")
+    v = F.col("value").cast("string")
+    kind = F.col("event_type")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    fields = [
+        ("station_id", quoted(F.col("event_id").cast("string"))),
+        ("observation_epoch", quoted(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))),
+        ("weather", quoted(kind)),
+        ("temp_f", v),
+        ("wind_gust_mph", F.when(kind == "click", quoted(v)).otherwise(v)),
+        ("relative_humidity", quoted(F.concat((F.floor("value").cast("long") % 100).cast("string"), F.lit("%")))),
+        ("precip_1hr_in", quoted(F.when(kind == "error", F.lit("-9999.00")).otherwise(v))),
+        ("heat_index_f", F.when(F.col("value") < 50, F.lit('"NA"')).otherwise(v)),
+        ("solarradiation", quoted(F.when(kind == "view", F.lit("--")).otherwise(F.lit("0")))),
+    ]
+    parts = [F.lit('{"current_observation":{"display_location":{"city":'),
+             quoted(F.col("user_id").cast("string")), F.lit("}")]
+    for name, token in fields:
+        parts += [F.lit(f',"{name}":'), token]
+    parts.append(F.lit("}}"))
+    return e.select(F.col("user_id").cast("string").alias("city"), F.col("ts").alias("at"),
+                    F.concat(*parts).alias("body"))

@@ -126,9 +126,9 @@ def ingest_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_reading(conditions: DataFrame) -> DataFrame:
-    """Newest observation per city (ties broken by log time)."""
+    """Newest observation per city (ties broken by log time, then station)."""
     values = [c for c in conditions.columns if c != "city"]
-    return latest_by_key(conditions, ["city"], ["observed_at", "logged_at"], values)
+    return latest_by_key(conditions, ["city"], ["observed_at", "logged_at", "station_id"], values)
 
 
 def refresh(
