@@ -10,7 +10,9 @@ from freshet.functions.payload import number, rfc822, to_json_text
 from freshet.functions.text import oracle_concat
 from freshet.plans import weather
 from freshet.session import work_path
-from freshet.sources.landing import LOCATION_SCHEMA, RESPONSE_SCHEMA, STATUS_SCHEMA
+from freshet.sources.landing import (
+    LOCATION_SCHEMA, RESPONSE_SCHEMA, STATUS_SCHEMA, read_landed, read_landed_stream,
+)
 from freshet.sources.response_log import read_response_log, write_response_log
 from tests.fixtures.weather_samples import HARBOR_1, RIVERTON_1, RIVERTON_2, body, log_text
 
@@ -152,6 +154,16 @@ def test_refresh_batch(spark):
         "Atlantis", "Harbor City", "Riverton", "Riverton"]
 
 
+def test_landed_batch_read(spark):
+    path = work_path(spark, "landed_batch")
+    _responses(spark).write.json(path)
+    back = read_landed(spark, path, fmt="json")
+    assert back.schema == RESPONSE_SCHEMA
+    status, locations = _state(spark)
+    new_status, _, _ = weather.refresh(status, back, locations)
+    _check_refreshed(new_status.collect())
+
+
 def test_request_paths(spark):
     _, locations = _state(spark)
     paths = {r.key: r.request_path for r in weather.request_paths(locations, F.lit("KEY")).collect()}
@@ -171,8 +183,7 @@ def test_status_refresh_stream(spark):
     # two polls land as two files; the second holds the later responses
     resp.filter(F.col("request_id") <= 3).coalesce(1).write.json(f"{landing}/poll=1")
     resp.filter(F.col("request_id") > 3).coalesce(1).write.json(f"{landing}/poll=2")
-    stream = (spark.readStream.schema(RESPONSE_SCHEMA).option("maxFilesPerTrigger", "1")
-              .json(f"{landing}/*"))
+    stream = read_landed_stream(spark, f"{landing}/*", fmt="json", max_files_per_trigger=1)
     q = run_status_refresh(spark, stream, locations, status_root, f"{root}/log", f"{root}/audit",
                            f"{root}/_checkpoint")
     q.awaitTermination()
