@@ -75,3 +75,26 @@ def test_composite_keys_are_capped(spark):
     df = spark.createDataFrame([("a", 1)], "g string, i long")
     assert bucket_limit(df, ["g", "i"]) == MAX_COMPOSITE_BUCKETS
     assert global_row_number(df, ["g", "i"], n_buckets=10_000).first().rnum == 1
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    keys=st.lists(st.integers(-10**6, 10**6), min_size=0, max_size=60, unique=True),
+    values=st.lists(st.integers(0, 9), min_size=60, max_size=60),
+    n_buckets=st.integers(1, 20),
+    parts=st.integers(1, 5),
+    inclusive=st.booleans(),
+)
+def test_running_total_matches_brute_force(spark, keys, values, n_buckets, parts, inclusive):
+    rows = [(k, values[i]) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(parts)
+    out = running_total(df, ["k"], value=F.col("v"), out="s", inclusive=inclusive, n_buckets=n_buckets)
+    acc, want = 0, {}
+    for k, v in sorted(rows):
+        want[k] = acc + v if inclusive else acc
+        acc += v
+    assert {r.k: r.s for r in out.collect()} == want
