@@ -278,7 +278,7 @@ def q_json_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_reassemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = load(spark, sf_dir, "conversations")
     return reassemble(conv, ["conv_id"], "turn", "text", out="body",
-                      extra=[F.count(F.lit(1)).alias("n_chunks")])
+                      extra={"n_chunks": (F.count(F.lit(1)), F.sum)})
 
 
 def q_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ def response_bodies(responses: DataFrame) -> DataFrame:
     """Chunks -> (request_id, location, status, received_at, body)."""
     return reassemble(
         responses, ["request_id", "location", "status"], "seq", "chunk", out="body",
-        extra=[F.max("received_at").alias("received_at")],
+        extra={"received_at": (F.max("received_at"), F.max)},
     )
 
 

@@ -189,3 +189,15 @@ def test_status_refresh_stream(spark):
     q.awaitTermination()
     _check_refreshed(read_current(spark, status_root).collect())
     assert spark.read.parquet(f"{root}/audit").count() == 1
+
+
+def test_reassemble_across_blocks(spark):
+    from freshet.operators.reassemble import reassemble
+
+    rows = [(1, s, f"<{s}>") for s in range(700)] + [(2, 0, None), (3, 5, "x"), (3, 1, None), (3, 0, "w")]
+    df = spark.createDataFrame(rows, "k long, s int, t string").repartition(4)
+    out = {r.k: (r.body, r.n) for r in
+           reassemble(df, ["k"], "s", "t", extra={"n": (F.count(F.lit(1)), F.sum)}, block=64).collect()}
+    assert out[1] == ("".join(f"<{s}>" for s in range(700)), 700)
+    assert out[2] == (None, 1)
+    assert out[3] == ("wx", 3)
