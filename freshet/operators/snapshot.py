@@ -11,7 +11,6 @@ previous version current: the whole run is undone, not just its tail.
 
 from __future__ import annotations
 
-import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -33,10 +32,11 @@ def write_version(df: DataFrame, table_root: str) -> str:
 
 
 def publish(spark: SparkSession, table_root: str, version_path: str) -> None:
-    row = [(version_path, dt.datetime.now(dt.timezone.utc))]
-    spark.createDataFrame(row, _POINTER_SCHEMA).coalesce(1).write.mode("append").parquet(
-        f"{table_root.rstrip('/')}/{POINTER_DIR}"
+    """Append the pointer row naming ``version_path`` as the current version."""
+    pointer = spark.range(1).select(
+        F.lit(version_path).alias("version"), F.current_timestamp().alias("published_at")
     )
+    pointer.write.mode("append").parquet(f"{table_root.rstrip('/')}/{POINTER_DIR}")
 
 
 def current_version(spark: SparkSession, table_root: str) -> str | None:
