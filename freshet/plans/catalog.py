@@ -265,7 +265,8 @@ def q_conditions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = conditions_log_records(spark, sf_dir)
     path = work_path(spark, "conditions_log")
     write_response_log(recs, path, F.col("city"), F.col("at"), F.col("body"), mode="errorifexists")
-    latest = weather.latest_reading(weather.ingest_log(spark, path))
+    typed = weather.ingest_log(spark, path).select(*_READING_COLUMNS, "observed_at", "logged_at")
+    latest = weather.latest_reading(typed)
     return latest.select(*_READING_COLUMNS, F.col("observed_at").cast("timestamp_ntz").alias("observed_at"))
 
 

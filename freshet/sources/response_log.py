@@ -24,9 +24,10 @@ HEADER_MIDDLE = " on "
 HEADER_TIME_FORMAT = "EEE MMM dd yyyy HH:mm:ss 'GMT'xx"
 # Spark refuses the weekday letter when parsing, so the pattern skips it.
 HEADER_PARSE_FORMAT = "MMM dd yyyy HH:mm:ss 'GMT'xx"
-RECORD_PATTERN = (
-    r"(?s)^(?:Successfully get new data for )?(.*?) on \w{3} "
-    r"(\w{3} \d{2} \d{4} \d{2}:\d{2}:\d{2} GMT[+-]\d{4})[^\n]*\n(.*?)\n?$"
+# The pattern runs on the header line only; the body is the rest of the record.
+HEADER_PATTERN = (
+    r"^(?:Successfully get new data for )?(.*?) on \w{3} "
+    r"(\w{3} \d{2} \d{4} \d{2}:\d{2}:\d{2} GMT[+-]\d{4})"
 )
 
 
@@ -47,9 +48,19 @@ def read_response_log(spark: SparkSession, path: str) -> DataFrame:
     """Records as (city, logged_at TIMESTAMP, body STRING); bad records keep NULLs."""
     raw = spark.read.option("lineSep", "\n" + HEADER_PREFIX).text(path)
     v = F.col("value")
-    stamp = F.regexp_extract(v, RECORD_PATTERN, 2)
-    return raw.filter(F.length(F.trim(v)) > 0).select(
-        F.regexp_extract(v, RECORD_PATTERN, 1).alias("city"),
-        F.try_to_timestamp(stamp, F.lit(HEADER_PARSE_FORMAT)).alias("logged_at"),
-        F.regexp_extract(v, RECORD_PATTERN, 3).alias("body"),
+    header = F.substring_index(v, "\n", 1)
+    # Everything after the header's newline, without the record's final newline.
+    rest = v.substr(F.length(header) + 2, F.length(v))
+    r = F.col("rest")
+    body = F.when(r.endswith("\n"), r.substr(F.lit(1), F.length(r) - 1)).otherwise(r)
+    h = F.col("header")
+    return (
+        raw.filter(F.length(F.trim(v)) > 0)
+        .select(header.alias("header"), rest.alias("rest"))
+        .select(
+            F.regexp_extract(h, HEADER_PATTERN, 1).alias("city"),
+            F.try_to_timestamp(F.regexp_extract(h, HEADER_PATTERN, 2),
+                               F.lit(HEADER_PARSE_FORMAT)).alias("logged_at"),
+            body.alias("body"),
+        )
     )
