@@ -1,5 +1,6 @@
 """Command-line entry points (``python -m freshet <command> ...``).
 
+    seed      create the status table from a location -> key table
     listing   print the status table listing (ordinal, location, data, ...)
     refresh   apply a batch of landed responses to the status table
     stream    keep refreshing the status table from a landing directory
@@ -28,6 +29,15 @@ def _session(args):
     return build_session(master=args.master, extra=extra)
 
 
+def cmd_seed(spark, args) -> int:
+    from freshet.operators.snapshot import publish, write_version
+    from freshet.plans import weather
+
+    status = weather.seed_status(spark.read.parquet(args.locations))
+    publish(spark, args.status_root, write_version(status, args.status_root))
+    return 0
+
+
 def cmd_listing(spark, args) -> int:
     from freshet.operators.snapshot import read_current
     from freshet.plans import weather
@@ -96,6 +106,10 @@ def main(argv=None) -> int:
     p.add_argument("--shuffle-partitions", type=int, default=None)
     sub = p.add_subparsers(dest="cmd", required=True)
 
+    s = sub.add_parser("seed")
+    s.add_argument("--status-root", required=True)
+    s.add_argument("--locations", required=True)
+
     s = sub.add_parser("listing")
     s.add_argument("--status-root", required=True)
     s.add_argument("--rows", type=int, default=100)
@@ -128,8 +142,8 @@ def main(argv=None) -> int:
 
     args = p.parse_args(argv)
     spark = _session(args)
-    handler = {"listing": cmd_listing, "refresh": cmd_refresh, "stream": cmd_stream,
-               "ingest": cmd_ingest, "renewal": cmd_renewal}[args.cmd]
+    handler = {"seed": cmd_seed, "listing": cmd_listing, "refresh": cmd_refresh,
+               "stream": cmd_stream, "ingest": cmd_ingest, "renewal": cmd_renewal}[args.cmd]
     return handler(spark, args)
 
 

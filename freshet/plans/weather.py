@@ -34,6 +34,17 @@ from freshet.sources.response_log import read_response_log, write_response_log
 ARRIVAL_ORDER = ("received_at", "request_id")
 
 
+def seed_status(locations: DataFrame) -> DataFrame:
+    """Initial status table: one row per key with its location, nothing set."""
+    return locations.groupBy("key").agg(F.min("location").alias("location")).select(
+        F.col("key").cast("string").alias("key"),
+        F.col("location").cast("string").alias("location"),
+        F.lit(None).cast("string").alias("data"),
+        F.lit(None).cast("string").alias("update_status"),
+        F.lit(None).cast("timestamp").alias("last_update"),
+    )
+
+
 def request_paths(locations: DataFrame, api_key: Column) -> DataFrame:
     """One request path per polled location (the key is a runtime parameter)."""
     return locations.select("key", "location", request_path(api_key, F.col("location")).alias("request_path"))

@@ -35,3 +35,15 @@ def test_refresh_and_listing_commands(spark, capsys):
     _check_refreshed(read_current(spark, f"{root}/status").collect())
     assert main(["listing", "--status-root", f"{root}/status"]) == 0
     assert "HC/Harbor_City" in capsys.readouterr().out
+
+
+def test_seed_command(spark):
+    from freshet.sources.landing import STATUS_SCHEMA
+
+    _, locations = _state(spark)
+    root = work_path(spark, "cli_seed")
+    locations.write.parquet(f"{root}/locations")
+    assert main(["seed", "--status-root", f"{root}/status", "--locations", f"{root}/locations"]) == 0
+    seeded = read_current(spark, f"{root}/status")
+    assert seeded.schema == STATUS_SCHEMA
+    assert sorted(r.key for r in seeded.collect()) == ["Atlantis", "Harbor City", "Northwick", "Riverton"]
