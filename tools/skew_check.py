@@ -1,13 +1,18 @@
 """Run the renewal candidates on a skewed version table and report, per stage,
 how evenly the work spread over tasks (from Spark's event log).
 
-    python tools/skew_check.py [sf_dir] [scratch_dir]
+    python tools/skew_check.py [sf_dir] [scratch_dir] [versions|chunks]
 
 The versions table is ``orders`` with a third of its rows re-pointed at one
 tariff (and made active), i.e. one key holding a third of all rows. The
 result is checked against DuckDB, then the event log is read back: for each
 stage, task count, max and median records (input + shuffle read) and the
 longest task.
+
+Case ``chunks``: a third of all conversation turns are moved into one
+conversation (turns renumbered to stay unique), then reassembled into
+bodies; the per-block stage should stay balanced and the final stage
+only joins block parts.
 """
 
 from __future__ import annotations
@@ -74,24 +79,66 @@ def stage_report(log_dir):
     return rows
 
 
+def _session(log_dir):
+    from freshet.session import build_session
+
+    # Small splits and no coalescing, so the spread over tasks is visible at small scale.
+    return build_session(shuffle_partitions=8, extra={
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file:{log_dir}",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024),
+    })
+
+
+def _report(log_dir):
+    print("stage  tasks  max_records  median_records  max_task_ms  name")
+    for sid, name, n, mx, med, ms in stage_report(log_dir):
+        print(f"{sid:5d}  {n:5d}  {mx:11d}  {med:14.0f}  {ms:11d}  {name}")
+
+
+def check_chunks(sf_dir, scratch, log_dir):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from freshet.operators.reassemble import reassemble
+    from freshet.sources.tables import load
+
+    spark = _session(log_dir)
+    conv = load(spark, sf_dir, "conversations")
+    hot = (F.col("conv_id") % 3) == 0  # a third of the conversations merge into one
+    skewed = conv.select(
+        F.when(hot, F.lit(HOT_KEY).cast("long")).otherwise(F.col("conv_id")).alias("conv_id"),
+        F.when(hot, F.col("conv_id") * 100000 + F.col("turn")).otherwise(F.col("turn")).alias("turn"),
+        "text",
+    )
+    path = os.path.join(scratch, "chunks")
+    skewed.repartition(8).write.parquet(path)
+    got = sorted(tuple(r) for r in reassemble(spark.read.parquet(path), ["conv_id"], "turn", "text").collect())
+    spark.stop()
+    want = sorted(duckdb.sql(
+        f"SELECT conv_id, string_agg(text, '' ORDER BY turn) FROM read_parquet('{path}/*.parquet') "
+        "GROUP BY conv_id").fetchall())
+    print(f"bodies: {len(got)} rows, hot body {max(len(b or '') for _, b in got)} chars, "
+          f"equal to DuckDB: {got == want}")
+    _report(log_dir)
+    return 0 if got == want else 1
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     scratch = argv[2] if len(argv) > 2 else tempfile.mkdtemp(prefix="skew-")
+    case = argv[3] if len(argv) > 3 else "versions"
     log_dir = os.path.join(scratch, "eventlog")
     os.makedirs(log_dir, exist_ok=True)
+    if case == "chunks":
+        return check_chunks(sf_dir, scratch, log_dir)
 
     import duckdb
 
     from freshet.plans import renewal
     from freshet.plans.standins import standin
-    from freshet.session import build_session
 
-    # Small splits and no coalescing, so the spread over tasks is visible at small scale.
-    spark = build_session(shuffle_partitions=8, extra={
-        "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file:{log_dir}",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.files.maxPartitionBytes": str(256 * 1024),
-    })
+    spark = _session(log_dir)
     t, td = standin(spark, sf_dir, "tariff"), standin(spark, sf_dir, "tariff_domain")
     tv = skewed_versions(spark, sf_dir)
     vpath = os.path.join(scratch, "versions")
@@ -117,9 +164,7 @@ def main(argv):
       SELECT t_id, tariff_domain__oid, t_name, t_is_ready, tv_id, tv_is_ready, tv_date_from, rnum
       FROM j WHERE t_rnum = 1 AND (t_is_ready <> 'Y' OR tv_is_ready <> 'Y')""").fetchall())
     print(f"candidates: {len(got)} rows, equal to DuckDB: {got == want}")
-    print("stage  tasks  max_records  median_records  max_task_ms  name")
-    for sid, name, n, mx, med, ms in stage_report(log_dir):
-        print(f"{sid:5d}  {n:5d}  {mx:11d}  {med:14.0f}  {ms:11d}  {name}")
+    _report(log_dir)
     return 0 if got == want else 1
 
 
