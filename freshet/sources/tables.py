@@ -30,3 +30,14 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the tables to ``spark.sql`` under their own names."""
     for name in names:
         load(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Store ``df`` as a catalog table bucketed and sorted by ``key``.
+
+    Joins on ``key`` against such a table shuffle only the other side (to
+    the table's bucket count), so a snapshot rewrite of a very large table
+    keyed by ``key`` needs no exchange of the large table.
+    """
+    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)

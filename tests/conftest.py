@@ -12,9 +12,14 @@ TEST_SF_DIR = os.environ.get("FRESHET_TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from freshet.session import build_session
 
-    s = build_session(master="local[4]", app_name="freshet-tests", shuffle_partitions=8)
+    # Catalog tables of the tests live in a scratch warehouse, not in the repo.
+    warehouse = tempfile.mkdtemp(prefix="freshet-warehouse-")
+    s = build_session(master="local[4]", app_name="freshet-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

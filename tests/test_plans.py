@@ -52,3 +52,24 @@ def test_ordinal_window_is_partitioned(spark):
     # the only single-partition step is the window over the per-bucket totals
     single = plan.count("SinglePartition")
     assert single <= 1
+
+
+def test_bucketed_big_table_is_not_shuffled(spark, parquet_tables):
+    from freshet.sources.tables import save_bucketed
+
+    t, td, tv = parquet_tables
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the sort-merge path
+    try:
+        big = save_bucketed(tv, "tariff_data_bucketed", "id", 4)
+        cands = renewal.renewal_candidates(t, td, big, with_rnum=False)
+        out = renewal.clear_date_from(big, cands)
+        lines = _plan(out).splitlines()
+        smj = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+        scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        # the bucketed table feeds the join directly: only a sort in between, no exchange
+        assert smj < scan and not any("Exchange" in line for line in lines[smj + 1:scan])
+        rows = {r.id: r.date_from for r in out.collect()}
+        assert set(rows) == {10, 11} and rows[10] is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS tariff_data_bucketed")
