@@ -7,8 +7,10 @@
     ingest    parse a response log into a typed conditions table
     renewal   run the renewal job and publish its snapshots
 
-Table arguments are parquet paths; versioned tables (status, renewal
-outputs) are roots holding ``v=<id>`` versions and a ``_published`` pointer.
+Table arguments are parquet paths, or ``table:<name>`` for a catalog table
+(e.g. one stored bucketed with ``sources.tables.save_bucketed``); versioned
+tables (status, renewal outputs) are roots holding ``v=<id>`` versions and a
+``_published`` pointer.
 """
 
 from __future__ import annotations
@@ -29,11 +31,17 @@ def _session(args):
     return build_session(master=args.master, extra=extra)
 
 
+def _read(spark, ref: str):
+    if ref.startswith("table:"):
+        return spark.table(ref[len("table:"):])
+    return spark.read.parquet(ref)
+
+
 def cmd_seed(spark, args) -> int:
     from freshet.operators.snapshot import publish, write_version
     from freshet.plans import weather
 
-    status = weather.seed_status(spark.read.parquet(args.locations))
+    status = weather.seed_status(_read(spark, args.locations))
     publish(spark, args.status_root, write_version(status, args.status_root))
     return 0
 
@@ -56,7 +64,7 @@ def cmd_refresh(spark, args) -> int:
 
     res = jobs.run_status_refresh(
         spark, args.status_root, read_landed(spark, args.responses, fmt=args.format),
-        spark.read.parquet(args.locations), args.log, args.audit,
+        _read(spark, args.locations), args.log, args.audit,
     )
     print({"published": res.published, **res.versions})
     return 0 if res.published else 2
@@ -68,7 +76,7 @@ def cmd_stream(spark, args) -> int:
 
     q = run_status_refresh(
         spark, read_landed_stream(spark, args.landing, fmt=args.format),
-        spark.read.parquet(args.locations), args.status_root, args.log, args.audit,
+        _read(spark, args.locations), args.status_root, args.log, args.audit,
         args.checkpoint, available_now=not args.continuous,
     )
     q.awaitTermination()
@@ -88,7 +96,9 @@ def cmd_ingest(spark, args) -> int:
 def cmd_renewal(spark, args) -> int:
     from freshet import jobs
 
-    read = spark.read.parquet
+    def read(ref):
+        return _read(spark, ref)
+
     res = jobs.run_renewal(
         spark, args.out,
         read(args.tariff), read(args.tariff_domain), read(args.tariff_data),

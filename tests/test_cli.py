@@ -14,11 +14,15 @@ def test_renewal_command(spark, tables):  # noqa: F811
     names = ("tariff", "tariff_domain", "tariff_data", "apply_result", "approve_result")
     for name, df in zip(names, tables):
         df.write.parquet(f"{root}/in/{name}")
+    from freshet.sources.tables import save_bucketed
+
+    save_bucketed(tables[2], "cli_tariff_data", "id", 4)
     spark.createDataFrame([(1, dt.date(2020, 1, 1), None)], "id long, date_from date, date_to date") \
         .write.parquet(f"{root}/in/constants")
     args = ["renewal", "--out", f"{root}/out", "--ldate", "2024-12-31"]
     for name in names + ("constants",):
-        args += [f"--{name.replace('_', '-')}", f"{root}/in/{name}"]
+        ref = "table:cli_tariff_data" if name == "tariff_data" else f"{root}/in/{name}"
+        args += [f"--{name.replace('_', '-')}", ref]
     assert main(args) == 0
     tariff = {r.id: r.is_ready for r in read_current(spark, f"{root}/out/tariff").collect()}
     assert tariff[10] == "Y"
