@@ -101,8 +101,9 @@ def q_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renewal.audit_log(cands, domains, tmsg, dmsg)
 
 
-_RENEWAL_CTES = with_standins("tariff", "tariff_domain", "tariff_data") + """,
-j AS (
+# The renewal selection over tables named tariff, tariff_domain, tariff_data
+# (CTE bodies without WITH, so tests can run it over fixture tables).
+RENEWAL_LOGIC_SQL = """j AS (
   SELECT t.id AS t_id, t.tariff_domain__oid, t.name AS t_name, t.is_ready AS t_is_ready,
          tv.id AS tv_id, tv.is_ready AS tv_is_ready, tv.date_from AS tv_date_from,
          row_number() OVER (PARTITION BY t.id ORDER BY tv.id DESC) AS t_rnum,
@@ -123,6 +124,9 @@ tdm AS (
                 AND t.tariff_domain__oid = td.id AND t.is_ready = 'N'))
 """
 
+
+_RENEWAL_CTES = with_standins("tariff", "tariff_domain", "tariff_data") + ",\n" + RENEWAL_LOGIC_SQL
+
 _MESSAGES_CTES = _RENEWAL_CTES + """,
 """ + with_standins("tariff_apply_result", "approve_domain_result")[len("WITH "):] + """,
 tmsg AS (
