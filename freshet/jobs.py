@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from freshet.operators.materialize import materialize
 from freshet.operators.snapshot import publish, read_current, write_version
 from freshet.plans import renewal, weather
+from freshet.sources import schemas
 
 
 @dataclass
@@ -43,6 +44,12 @@ def run_renewal(
     reject: bool = False,
 ) -> RunResult:
     out_root = out_root.rstrip("/")
+    tariff = schemas.conform(tariff, schemas.TARIFF)
+    tariff_domain = schemas.conform(tariff_domain, schemas.TARIFF_DOMAIN)
+    tariff_data = schemas.conform(tariff_data, schemas.TARIFF_DATA)
+    constants = schemas.conform(constants, schemas.LOCAL_CONSTANTS, keep_extra=True)
+    apply_result = schemas.conform(apply_result, schemas.OUTCOME)
+    approve_result = schemas.conform(approve_result, schemas.OUTCOME)
     # One row per candidate tariff; read by every step below, so written once.
     cands = materialize(renewal.renewal_candidates(tariff, tariff_domain, tariff_data), "candidates")
     domains = renewal.template_domains(tariff, tariff_domain)

@@ -51,3 +51,18 @@ def test_run_status_refresh(spark):
     assert res.published
     _check_refreshed(read_current(spark, f"{root}/status").collect())
     assert spark.read.parquet(f"{root}/audit").count() == 1
+
+
+def test_conform_casts_and_checks(spark):
+    import pytest
+
+    from freshet.sources import schemas
+
+    raw = spark.createDataFrame([(1, 7, "T", "N", "A", "extra")],
+                                "ID int, tariff_domain__oid int, name string, is_ready string, "
+                                "amnd_state string, note string")
+    out = schemas.conform(raw, schemas.TARIFF)
+    assert out.schema == schemas.TARIFF and out.first().id == 1
+    assert schemas.conform(raw, schemas.TARIFF, keep_extra=True).columns[-1] == "note"
+    with pytest.raises(ValueError, match="missing columns"):
+        schemas.conform(raw.drop("name"), schemas.TARIFF)
