@@ -4,9 +4,10 @@
 task. The functions here compute the same numbers in two passes that stay
 parallel:
 
-1. Cut the ordering key into ranges ("buckets") whose bounds come from a
-   small sample of the key (driver receives at most ``2 * buckets * 16``
-   key tuples, independent of the table size).
+1. Cut the ordering key into ranges ("buckets"). The driver receives only
+   the bounds: ``buckets - 1`` quantiles of a numeric key from one
+   ``approxQuantile`` pass, or at most ``2 * buckets * 16`` sampled key
+   tuples for other keys, independent of the table size.
 2. In one query: the total of each bucket (a partial aggregate, one row per
    bucket), the running total of the buckets before it (a window over at
    most ``buckets`` rows, then broadcast: its size is bounded by the bucket
@@ -16,7 +17,7 @@ parallel:
 The bucket of a row is a pure function of its ordering key, so both
 branches agree on it and a retried task recomputes the same value. A
 single numeric key is bucketed by ML's ``Bucketizer`` (a JVM binary search
-over the split array, any bucket count); other keys by a balanced tree of
+over the split array, up to ``MAX_NUMERIC_BUCKETS``); other keys by a balanced tree of
 comparisons over literal bounds, whose generated code limits it to a few
 hundred buckets. The ordering must be unique for the numbers to be
 deterministic; callers pass a key that is.
