@@ -201,3 +201,12 @@ def test_reassemble_across_blocks(spark):
     assert out[1] == ("".join(f"<{s}>" for s in range(700)), 700)
     assert out[2] == (None, 1)
     assert out[3] == ("wx", 3)
+
+
+def test_crlf_log(spark):
+    text = log_text([("Riverton", "Sat May 04 2024 19:15:10 GMT-0400", RIVERTON_1),
+                     ("Harbor City", "Sat May 04 2024 19:16:20 GMT+0800", HARBOR_1)]).replace("\n", "\r\n")
+    rows = {r.city: r for r in weather.ingest_log(spark, _local_file(spark, "crlf", text)).collect()}
+    assert set(rows) == {"Riverton", "Harbor City"}
+    assert rows["Riverton"].logged_city == "Riverton" and rows["Riverton"].temp_f == 74.5
+    assert rows["Harbor City"].logged_at.replace(tzinfo=UTC) == dt.datetime(2024, 5, 4, 11, 16, 20, tzinfo=UTC)
