@@ -315,6 +315,12 @@ def q_status_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new_status
 
 
+def q_status_refresh_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status page over the refreshed string-keyed status table (the
+    ordinal's sampled-bounds path for non-numeric keys)."""
+    return weather.status_listing(materialize(q_status_refresh(spark, sf_dir), "refreshed_status"))
+
+
 def q_renewal_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commit batch of every processed renewal candidate."""
     t, td, tv = _renewal_inputs(spark, sf_dir)
@@ -422,6 +428,10 @@ SELECT city, weather, temp_f, wind_gust_mph, relative_humidity, precip_1hr_in, h
 FROM r WHERE rn = 1""",
     "status_refresh": _REFRESH_CTES + """
 SELECT CAST(key AS VARCHAR) AS key, location, data, update_status, last_update FROM refreshed""",
+    "status_refresh_listing": _REFRESH_CTES + """
+SELECT CAST(row_number() OVER (ORDER BY CAST(key AS VARCHAR)) AS BIGINT) AS ordinal,
+       location, data, update_status, last_update
+FROM refreshed ORDER BY ordinal""",
     "renewal_batches": _RENEWAL_CTES + """
 SELECT t_id, rnum,
        CAST(COALESCE(SUM(CASE WHEN rnum % 5 = 0 THEN 1 ELSE 0 END)
@@ -444,6 +454,7 @@ WEATHER_QUERIES: dict[str, QueryFn] = {
     "status_refresh": q_status_refresh,
     "renewal_batches": q_renewal_batches,
     "conditions_latest": q_conditions_latest,
+    "status_refresh_listing": q_status_refresh_listing,
 }
 
 
