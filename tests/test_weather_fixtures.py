@@ -210,3 +210,12 @@ def test_crlf_log(spark):
     assert set(rows) == {"Riverton", "Harbor City"}
     assert rows["Riverton"].logged_city == "Riverton" and rows["Riverton"].temp_f == 74.5
     assert rows["Harbor City"].logged_at.replace(tzinfo=UTC) == dt.datetime(2024, 5, 4, 11, 16, 20, tzinfo=UTC)
+
+
+def test_header_text_format(spark):
+    from freshet.sources.response_log import record_text
+
+    df = spark.createDataFrame([("Riverton", dt.datetime(2016, 8, 29, 1, 58, 43, tzinfo=UTC), "{}")],
+                               "city string, at timestamp, b string")
+    text = df.select(record_text(F.col("city"), F.col("at"), F.col("b")).alias("t")).first().t
+    assert text == "Successfully get new data for Riverton on Mon Aug 29 2016 01:58:43 GMT+0000\n{}"
