@@ -51,3 +51,30 @@ def test_seed_command(spark):
     seeded = read_current(spark, f"{root}/status")
     assert seeded.schema == STATUS_SCHEMA
     assert sorted(r.key for r in seeded.collect()) == ["Atlantis", "Harbor City", "Northwick", "Riverton"]
+
+
+def test_ingest_command(spark):
+    from tests.fixtures.weather_samples import HARBOR_1, RIVERTON_1, RIVERTON_2, log_text
+    from tests.test_weather_fixtures import _local_file
+
+    log = _local_file(spark, "file", log_text([
+        ("Riverton", "Sat May 04 2024 19:15:10 GMT+0700", RIVERTON_1),
+        ("Harbor City", "Sat May 04 2024 19:16:20 GMT+0700", HARBOR_1),
+        ("Riverton", "Sat May 04 2024 19:17:30 GMT+0700", RIVERTON_2),
+    ]))
+    out = work_path(spark, "cli_ingest")
+    assert main(["ingest", "--log", log, "--out", out, "--latest"]) == 0
+    latest = {r.city: r.weather for r in spark.read.parquet(out).collect()}
+    assert latest == {"Riverton": "Mostly Cloudy", "Harbor City": "Haze"}
+
+
+def test_stream_command(spark):
+    status, locations = _state(spark)
+    root = work_path(spark, "cli_stream")
+    publish(spark, f"{root}/status", write_version(status, f"{root}/status"))
+    locations.write.parquet(f"{root}/locations")
+    _responses(spark).coalesce(1).write.json(f"{root}/landing")
+    assert main(["stream", "--status-root", f"{root}/status", "--locations", f"{root}/locations",
+                 "--landing", f"{root}/landing", "--checkpoint", f"{root}/_checkpoint",
+                 "--log", f"{root}/log", "--audit", f"{root}/audit"]) == 0
+    _check_refreshed(read_current(spark, f"{root}/status").collect())
