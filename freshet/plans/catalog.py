@@ -103,25 +103,27 @@ def q_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The renewal selection over tables named tariff, tariff_domain, tariff_data
 # (CTE bodies without WITH, so tests can run it over fixture tables).
-RENEWAL_LOGIC_SQL = """j AS (
+RENEWAL_LOGIC_SQL = """joined AS (
   SELECT t.id AS t_id, t.tariff_domain__oid, t.name AS t_name, t.is_ready AS t_is_ready,
-         tv.id AS tv_id, tv.is_ready AS tv_is_ready, tv.date_from AS tv_date_from,
-         row_number() OVER (PARTITION BY t.id ORDER BY tv.id DESC) AS t_rnum,
-         row_number() OVER (ORDER BY t.id, tv.id) AS rnum
+         v.id AS tv_id, v.is_ready AS tv_is_ready, v.date_from AS tv_date_from
   FROM tariff t
-  JOIN tariff_domain td ON td.id = t.tariff_domain__oid
-  LEFT JOIN tariff_data tv ON tv.tariff__oid = t.id AND tv.amnd_state = 'A'
-  WHERE t.amnd_state = 'A' AND td.is_personal = 'N'),
+  JOIN tariff_domain d ON d.id = t.tariff_domain__oid AND d.is_personal = 'N'
+  LEFT JOIN (SELECT * FROM tariff_data WHERE amnd_state = 'A') v ON v.tariff__oid = t.id
+  WHERE t.amnd_state = 'A'),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY t_id, tv_id) AS rnum,
+         max(tv_id) OVER (PARTITION BY t_id) AS newest_tv_id
+  FROM joined),
 cands AS (
   SELECT t_id, tariff_domain__oid, t_name, t_is_ready, tv_id, tv_is_ready, tv_date_from,
          CAST(rnum AS BIGINT) AS rnum
-  FROM j
-  WHERE t_rnum = 1 AND (t_is_ready <> 'Y' OR tv_is_ready <> 'Y')),
+  FROM numbered
+  WHERE tv_id IS NOT DISTINCT FROM newest_tv_id
+    AND (t_is_ready <> 'Y' OR tv_is_ready <> 'Y')),
 tdm AS (
-  SELECT td.* FROM tariff_domain td
-  WHERE td.amnd_state = 'A' AND td.is_personal = 'T'
-    AND EXISTS (SELECT 1 FROM tariff t WHERE t.amnd_state = 'A'
-                AND t.tariff_domain__oid = td.id AND t.is_ready = 'N'))
+  SELECT * FROM tariff_domain
+  WHERE amnd_state = 'A' AND is_personal = 'T'
+    AND id IN (SELECT tariff_domain__oid FROM tariff WHERE amnd_state = 'A' AND is_ready = 'N'))
 """
 
 

@@ -136,6 +136,7 @@ def main(argv):
     import duckdb
 
     from freshet.plans import renewal
+    from freshet.plans.catalog import RENEWAL_LOGIC_SQL
     from freshet.plans.standins import standin
 
     spark = _session(log_dir)
@@ -150,19 +151,9 @@ def main(argv):
     spark.stop()
 
     con = duckdb.connect()
-    for n in ("tariff", "tariff_domain", "versions"):
-        con.execute(f"CREATE VIEW {n} AS SELECT * FROM read_parquet('{scratch}/{n}/*.parquet')")
-    want = sorted(con.sql("""
-      WITH j AS (
-        SELECT t.id t_id, t.tariff_domain__oid, t.name t_name, t.is_ready t_is_ready,
-               tv.id tv_id, tv.is_ready tv_is_ready, tv.date_from tv_date_from,
-               row_number() OVER (PARTITION BY t.id ORDER BY tv.id DESC) t_rnum,
-               row_number() OVER (ORDER BY t.id, tv.id) rnum
-        FROM tariff t JOIN tariff_domain td ON td.id = t.tariff_domain__oid
-        LEFT JOIN versions tv ON tv.tariff__oid = t.id AND tv.amnd_state = 'A'
-        WHERE t.amnd_state = 'A' AND td.is_personal = 'N')
-      SELECT t_id, tariff_domain__oid, t_name, t_is_ready, tv_id, tv_is_ready, tv_date_from, rnum
-      FROM j WHERE t_rnum = 1 AND (t_is_ready <> 'Y' OR tv_is_ready <> 'Y')""").fetchall())
+    for view, d in (("tariff", "tariff"), ("tariff_domain", "tariff_domain"), ("tariff_data", "versions")):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{scratch}/{d}/*.parquet')")
+    want = sorted(con.sql("WITH " + RENEWAL_LOGIC_SQL + "SELECT * FROM cands").fetchall())
     print(f"candidates: {len(got)} rows, equal to DuckDB: {got == want}")
     _report(log_dir)
     return 0 if got == want else 1
