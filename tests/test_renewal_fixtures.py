@@ -136,3 +136,13 @@ def test_set_constants(spark):
     c = spark.createDataFrame([(1, D(2020, 1, 1), D(2020, 2, 1))], "id long, date_from date, date_to date")
     r = renewal.set_constants(c, F.lit(D(2024, 12, 31))).first()
     assert (r.id, r.date_from, r.date_to) == (1, D(2025, 1, 1), None)
+
+
+def test_no_versions_and_no_tariffs(tables):
+    t, td, tv, _, _ = tables
+    none = tv.limit(0)
+    rows = renewal.renewal_candidates(t, td, none, n_buckets=3).orderBy("rnum").collect()
+    # every active tariff of an 'N' domain has one row and no version; ready ones drop out
+    assert [(r.t_id, r.rnum) for r in rows] == [(10, 1), (13, 4), (20, 6)]
+    assert renewal.renewal_candidates(t.limit(0), td, tv).count() == 0
+    assert renewal.commit_batches(renewal.renewal_candidates(t.limit(0), td, tv)).count() == 0
