@@ -46,6 +46,18 @@ def summarize(text: str) -> str:
     return out
 
 
+_KINDS = [
+    ("shuffles", r"\bExchange \("), ("broadcasts", r"BroadcastExchange"),
+    ("smj", r"SortMergeJoin"), ("bhj", r"BroadcastHashJoin"), ("windows", r"\bWindow \("),
+    ("hash_agg", r"\bHashAggregate"), ("sort_agg", r"SortAggregate"),
+    ("object_agg", r"ObjectHashAggregate"), ("scans", r"Scan "),
+]
+
+
+def counts(tree: str) -> dict[str, int]:
+    return {k: len(re.findall(p, tree)) for k, p in _KINDS}
+
+
 def main(argv) -> int:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     parts = int(argv[2]) if len(argv) > 2 else 16
@@ -61,8 +73,22 @@ def main(argv) -> int:
         "sort-merge join into a broadcast join at runtime).",
         "",
     ]
+    sections, table = [], []
     for name, fn in catalog.queries().items():
-        lines += [f"## {name}", "", "```", summarize(plan_text(fn(spark, sf_dir))), "```", ""]
+        text = summarize(plan_text(fn(spark, sf_dir)))
+        tree = text.split("\n\n")[0]
+        c = counts(tree)
+        table.append(f"| {name} | " + " | ".join(str(c[k]) for k, _ in _KINDS) + " |")
+        sections += [f"## {name}", "", "```", text, "```", ""]
+    lines += [
+        "Operator counts per query (initial plan; shuffles exclude broadcasts).",
+        "",
+        "| query | " + " | ".join(k for k, _ in _KINDS) + " |",
+        "|---|" + "---|" * len(_KINDS),
+        *table,
+        "",
+        *sections,
+    ]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(lines))
     spark.stop()
