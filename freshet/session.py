@@ -49,16 +49,19 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint folder, setting a local one only if unset.
+
+    ``spark.checkpoint.dir`` is a core setting that cannot change at runtime,
+    so a missing folder is set on the SparkContext and read back from it.
+    """
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         # Only reached in local runs where the cluster names no shared folder.
-        base = tempfile.mkdtemp(prefix="freshet-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="freshet-ckpt-"))
+        base = sc.getCheckpointDir()
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
