@@ -50,11 +50,13 @@ def cmd_listing(spark, args) -> int:
     from freshet.operators.snapshot import read_current
     from freshet.plans import weather
 
+    from freshet.sources.schemas import conform_status
+
     status = read_current(spark, args.status_root)
     if status is None:
         print(f"no published status table under {args.status_root}", file=sys.stderr)
         return 1
-    weather.status_listing(status).show(args.rows, truncate=False)
+    weather.status_listing(conform_status(status)).show(args.rows, truncate=False)
     return 0
 
 

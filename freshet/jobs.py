@@ -93,6 +93,7 @@ def run_status_refresh(
     status = read_current(spark, status_root)
     if status is None:
         raise ValueError(f"no published status table under {status_root}")
+    status = schemas.conform_status(status)
     before = status.count()
     new_status, parsed, errors = weather.refresh(status, responses, locations)
     path = write_version(new_status, status_root)

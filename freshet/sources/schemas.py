@@ -30,16 +30,36 @@ TARIFF_DATA = T.StructType([
 LOCAL_CONSTANTS = T.StructType([T.StructField("date_from", _D), T.StructField("date_to", _D)])
 # Outcome of an opaque apply / approve call per id (NULL: no message).
 OUTCOME = T.StructType([T.StructField("id", _L), T.StructField("err_msg", _S)])
+# The status table; documents exported from the original store name two
+# fields in camelCase, accepted as aliases.
+STATUS = T.StructType([
+    T.StructField("key", _S), T.StructField("location", _S), T.StructField("data", _S),
+    T.StructField("update_status", _S), T.StructField("last_update", T.TimestampType()),
+])
+STATUS_ALIASES = {"update_status": ("updateStatus",), "last_update": ("lastUpdate",)}
 
 
-def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> DataFrame:
-    """Declared columns, by name, cast to the declared types (ANSI casts)."""
+def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False,
+            aliases: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Declared columns, by name (case-insensitive, or one of ``aliases``),
+    cast to the declared types (ANSI casts)."""
     have = {c.lower(): c for c in df.columns}
-    missing = [f.name for f in schema.fields if f.name.lower() not in have]
+    aliases = aliases or {}
+    source = {}
+    for f in schema.fields:
+        for name in (f.name, *aliases.get(f.name, ())):
+            if name.lower() in have:
+                source[f.name] = have[name.lower()]
+                break
+    missing = [f.name for f in schema.fields if f.name not in source]
     if missing:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
-    cols = [F.col(have[f.name.lower()]).cast(f.dataType).alias(f.name) for f in schema.fields]
+    cols = [F.col(source[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields]
     if keep_extra:
-        declared = {f.name.lower() for f in schema.fields}
-        cols += [F.col(c) for c in df.columns if c.lower() not in declared]
+        used = {c.lower() for c in source.values()}
+        cols += [F.col(c) for c in df.columns if c.lower() not in used]
     return df.select(*cols)
+
+
+def conform_status(df: DataFrame) -> DataFrame:
+    return conform(df, STATUS, aliases=STATUS_ALIASES)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from freshet.operators.latest import latest_by_key, latest_value
 from freshet.operators.snapshot import publish, read_current, write_version
 from freshet.plans import weather
+from freshet.sources import schemas
 
 
 def run_latest_per_key(
@@ -97,7 +98,7 @@ def run_status_refresh(
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read by three writes below; the batch is bounded by the trigger
         try:
-            status = read_current(spark, status_root)
+            status = schemas.conform_status(read_current(spark, status_root))
             new_status, parsed, errors = weather.refresh(status, batch, locations)
             path = write_version(new_status, status_root)
             publish(spark, status_root, path)

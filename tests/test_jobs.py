@@ -66,3 +66,18 @@ def test_conform_casts_and_checks(spark):
     assert schemas.conform(raw, schemas.TARIFF, keep_extra=True).columns[-1] == "note"
     with pytest.raises(ValueError, match="missing columns"):
         schemas.conform(raw.drop("name"), schemas.TARIFF)
+
+
+def test_status_with_camel_case_fields(spark):
+    from freshet.sources import schemas
+
+    status, locations = _state(spark)
+    camel = status.withColumnRenamed("update_status", "updateStatus").withColumnRenamed("last_update", "lastUpdate")
+    root = work_path(spark, "jobs_status_camel")
+    publish(spark, f"{root}/status", write_version(camel, f"{root}/status"))
+    res = jobs.run_status_refresh(spark, f"{root}/status", _responses(spark), locations,
+                                  f"{root}/log", f"{root}/audit")
+    assert res.published
+    current = read_current(spark, f"{root}/status")
+    assert current.schema == schemas.STATUS
+    _check_refreshed(current.collect())
