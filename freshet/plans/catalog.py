@@ -214,7 +214,9 @@ RENEWAL_QUERIES: dict[str, QueryFn] = {
 
 # Placeholder for the runtime API key (never a real credential).
 API_KEY = "API_KEY"
-LANDED_FILES = 4
+MIN_LANDED_FILES = 4
+ROWS_PER_LANDED_FILE = 1_000_000
+STREAM_BATCHES = 4
 ROWS_PER_STATE_PARTITION = 2_000_000
 
 
@@ -331,17 +333,21 @@ def q_renewal_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the responses as files, stream them (availableNow, one file per
-    batch), keep the latest per key in streaming state, fold the outputs."""
+    """Land the responses as files, stream them (availableNow, in about
+    STREAM_BATCHES micro-batches), keep the latest per key in streaming state,
+    fold the outputs."""
     root = work_path(spark, "stream_latest")
     landing = f"{root}/landing"
     r = standin(spark, sf_dir, "responses")
-    r.repartitionByRange(LANDED_FILES, "received_at", "request_id").write.parquet(landing)
+    rows = r.count()
+    # Files sized by volume, landed in arrival order; about STREAM_BATCHES batches.
+    files = max(MIN_LANDED_FILES, -(-rows // ROWS_PER_LANDED_FILE))
+    r.repartitionByRange(files, "received_at", "request_id").write.parquet(landing)
+    per_trigger = -(-files // STREAM_BATCHES)
     # State partitions sized by the landed volume, never above the session's.
-    rows = spark.read.parquet(landing).count()
     session_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     state_parts = max(4, min(session_parts, -(-rows // ROWS_PER_STATE_PARTITION)))
-    stream = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", "1").parquet(landing)
+    stream = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", str(per_trigger)).parquet(landing)
     values = ["data", "received_at", "request_id"]
     q = run_latest_per_key(stream, ["key"], weather.ARRIVAL_ORDER, values,
                            f"{root}/out", f"{root}/_checkpoint", state_partitions=state_parts)
