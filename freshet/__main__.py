@@ -113,7 +113,8 @@ def cmd_renewal(spark, args) -> int:
 
 
 def main(argv=None) -> int:
-    p = argparse.ArgumentParser(prog="freshet")
+    p = argparse.ArgumentParser(prog="freshet", description=__doc__,
+                                formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("--master", default=None)
     p.add_argument("--shuffle-partitions", type=int, default=None)
     sub = p.add_subparsers(dest="cmd", required=True)

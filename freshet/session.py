@@ -27,10 +27,13 @@ def build_session(
     of the widest shuffle divided by ~128 MB. AQE coalesces what is too
     small at runtime, so erring high is cheaper than erring low.
     """
-    master = master or os.environ.get("FRESHET_MASTER", "local[8]")
+    builder = SparkSession.builder.appName(app_name)
+    # Only an explicit master is set; under spark-submit the cluster's applies.
+    master = master or os.environ.get("FRESHET_MASTER")
+    if master:
+        builder = builder.master(master)
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
