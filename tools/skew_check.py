@@ -1,7 +1,7 @@
 """Run the renewal candidates on a skewed version table and report, per stage,
 how evenly the work spread over tasks (from Spark's event log).
 
-    python tools/skew_check.py [sf_dir] [scratch_dir] [versions|chunks]
+    python tools/skew_check.py [sf_dir] [scratch_dir] [versions|chunks|status]
 
 The versions table is ``orders`` with a third of its rows re-pointed at one
 tariff (and made active), i.e. one key holding a third of all rows. The
@@ -13,6 +13,11 @@ Case ``chunks``: a third of all conversation turns are moved into one
 conversation (turns renumbered to stay unique), then reassembled into
 bodies; the per-block stage should stay balanced and the final stage
 only joins block parts.
+
+Case ``status``: a third of all responses are re-pointed at one status key,
+then the whole landed-response refresh runs (chunks -> body -> JSON ->
+latest per key -> keyed update); the per-key reduction should stay
+balanced because it combines map-side.
 """
 
 from __future__ import annotations
@@ -124,6 +129,58 @@ def check_chunks(sf_dir, scratch, log_dir):
     return 0 if got == want else 1
 
 
+def check_status(sf_dir, scratch, log_dir):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from freshet.plans import weather
+    from freshet.plans.standins import landed_chunks, standin, status_locations
+
+    spark = _session(log_dir)
+    hot = (F.col("request_id") % 3) == 0  # a third of the responses go to one key
+    chunks = landed_chunks(spark, sf_dir)
+    # the body names the city; re-point it (and the location) for the hot third
+    chunks = chunks.withColumn("chunk", F.when(hot, F.regexp_replace("chunk", r'"city":"[0-9]+"', '"city":"0"'))
+                               .otherwise(F.col("chunk"))) \
+                   .withColumn("location", F.when(hot, F.lit("L/0")).otherwise(F.col("location")))
+    path = os.path.join(scratch, "chunks")
+    chunks.repartition(8).write.parquet(path)
+    state = standin(spark, sf_dir, "status").withColumn("key", F.col("key").cast("string"))
+    new, _, _ = weather.refresh(state, spark.read.parquet(path), status_locations(spark, sf_dir))
+    got = sorted(tuple(r) for r in new.collect())
+    state.write.parquet(os.path.join(scratch, "state"))
+    status_locations(spark, sf_dir).write.parquet(os.path.join(scratch, "locations"))
+    spark.stop()
+    con = duckdb.connect()
+    for n in ("chunks", "state", "locations"):
+        con.execute(f"CREATE VIEW {n} AS SELECT * FROM read_parquet('{scratch}/{n}/*.parquet')")
+    want = sorted(con.sql("""
+      WITH bodies AS (
+        SELECT request_id, location, status, max(received_at) AS received_at,
+               string_agg(chunk, '' ORDER BY seq) AS body
+        FROM chunks GROUP BY request_id, location, status),
+      keyed AS (
+        SELECT CASE WHEN b.status = 200 THEN json_extract_string(b.body, '$.current_observation.display_location.city')
+                    ELSE l.key END AS key,
+               b.status, json_extract_string(b.body, '$.current_observation.weather') AS data,
+               b.received_at, b.request_id
+        FROM bodies b LEFT JOIN locations l ON l.location = b.location
+        WHERE b.status IS NOT NULL),
+      v AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY received_at DESC, request_id DESC) rn FROM keyed),
+      ok AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY received_at DESC, request_id DESC) rn
+             FROM keyed WHERE status = 200)
+      SELECT s.key, s.location,
+             CASE WHEN ok.key IS NOT NULL THEN ok.data ELSE s.data END,
+             CASE WHEN v.key IS NOT NULL THEN CASE WHEN v.status = 200 THEN 'Success' ELSE 'Failed' END
+                  ELSE s.update_status END,
+             CASE WHEN ok.key IS NOT NULL THEN ok.received_at ELSE s.last_update END
+      FROM state s LEFT JOIN v ON v.key = s.key AND v.rn = 1
+      LEFT JOIN ok ON ok.key = s.key AND ok.rn = 1""").fetchall())
+    print(f"status rows: {len(got)}, equal to DuckDB: {got == want}")
+    _report(log_dir)
+    return 0 if got == want else 1
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     scratch = argv[2] if len(argv) > 2 else tempfile.mkdtemp(prefix="skew-")
@@ -132,6 +189,8 @@ def main(argv):
     os.makedirs(log_dir, exist_ok=True)
     if case == "chunks":
         return check_chunks(sf_dir, scratch, log_dir)
+    if case == "status":
+        return check_status(sf_dir, scratch, log_dir)
 
     import duckdb
 
