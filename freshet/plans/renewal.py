@@ -12,8 +12,10 @@ plus message and audit rows. The procedural loop of the original becomes:
 
 Scale notes: the versions table is reduced to one row per tariff with a
 partial aggregate (``max_by`` + ``count``) before any join, so a tariff
-holding a third of all versions costs no more than any other; the ordinal
-is the two-pass bucketed running sum from ``operators.ordinal``.
+holding a third of all versions costs no more than any other. When the
+scope is staged for the ordinal, that aggregate runs in a packed,
+hash-aggregatable form (exact fallback, see ``latest_versions``). The
+ordinal is the two-pass bucketed running sum from ``operators.ordinal``.
 """
 
 from __future__ import annotations
