@@ -11,6 +11,8 @@ previous version current: the whole run is undone, not just its tail.
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Callable
 
@@ -32,20 +34,40 @@ def write_version(df: DataFrame, table_root: str) -> str:
 
 
 def publish(spark: SparkSession, table_root: str, version_path: str) -> None:
-    """Append the pointer row naming ``version_path`` as the current version."""
+    """Append the pointer row naming ``version_path`` as the current version.
+
+    Pointers are partitioned by publish time (ms), so a reader lists the
+    partitions and reads only the newest one, however long the history.
+    """
     pointer = spark.range(1).select(
-        F.lit(version_path).alias("version"), F.current_timestamp().alias("published_at")
+        F.lit(version_path).alias("version"), F.current_timestamp().alias("published_at"),
+        F.lit(int(time.time() * 1000)).cast("long").alias("published_ms"),
     )
-    pointer.write.mode("append").parquet(f"{table_root.rstrip('/')}/{POINTER_DIR}")
+    pointer.write.mode("append").partitionBy("published_ms").parquet(
+        f"{table_root.rstrip('/')}/{POINTER_DIR}"
+    )
+
+
+_PARTITION = re.compile(r"published_ms=(\d+)")
 
 
 def current_version(spark: SparkSession, table_root: str) -> str | None:
-    """Path of the newest published version (reads the small pointer table)."""
+    """Path of the newest published version.
+
+    The file listing (no data read) names the newest partition; only that
+    partition's pointer file is read.
+    """
+    ptr_dir = f"{table_root.rstrip('/')}/{POINTER_DIR}"
     try:
-        ptr = spark.read.schema(_POINTER_SCHEMA).parquet(f"{table_root.rstrip('/')}/{POINTER_DIR}")
+        files = spark.read.parquet(ptr_dir).inputFiles()
     except Exception:  # no pointer yet
         return None
-    newest = ptr.agg(F.max_by("version", "published_at").alias("v")).first()
+    stamped = [(int(m.group(1)), f) for f in files if (m := _PARTITION.search(f))]
+    if not stamped:
+        return None
+    newest_ms = max(ms for ms, _ in stamped)
+    part = spark.read.schema(_POINTER_SCHEMA).parquet(f"{ptr_dir}/published_ms={newest_ms}")
+    newest = part.agg(F.max_by("version", "published_at").alias("v")).first()
     return newest["v"] if newest else None
 
 

@@ -81,3 +81,16 @@ def test_status_with_camel_case_fields(spark):
     current = read_current(spark, f"{root}/status")
     assert current.schema == schemas.STATUS
     _check_refreshed(current.collect())
+
+
+def test_newest_pointer_wins(spark):
+    from freshet.operators.snapshot import current_version
+
+    root = work_path(spark, "pointers")
+    assert current_version(spark, root) is None
+    paths = []
+    for i in range(3):
+        paths.append(write_version(spark.range(i + 1), root))
+        publish(spark, root, paths[-1])
+    assert current_version(spark, root) == paths[-1]
+    assert read_current(spark, root).count() == 3
