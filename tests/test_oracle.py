@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from freshet.plans import catalog
 from tests.oracle_check import compare, duck_connection
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
@@ -15,6 +16,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_registers_them():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
+
+
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     return duck_connection(sf_dir)
