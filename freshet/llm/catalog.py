@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import op1_language_id
+from freshet.llm import op1_language_id, op7_simhash
 
-MODULES = (op1_language_id,)
+MODULES = (op1_language_id, op7_simhash)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
