@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import op1_language_id, op7_simhash
+from freshet.llm import op1_language_id, op7_simhash, op8_decontamination
 
-MODULES = (op1_language_id, op7_simhash)
+MODULES = (op1_language_id, op7_simhash, op8_decontamination)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
