@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import op1_language_id, op2_secrets, op7_simhash, op8_decontamination
+from freshet.llm import op1_language_id, op2_secrets, op7_simhash, op8_decontamination, op9_mixing
 
-MODULES = (op1_language_id, op2_secrets, op7_simhash, op8_decontamination)
+MODULES = (op1_language_id, op2_secrets, op7_simhash, op8_decontamination, op9_mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
