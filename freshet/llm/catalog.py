@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm import op1_language_id, op2_secrets, op3_url_filters, op7_simhash, op8_decontamination, op9_mixing
+from freshet.llm import (
+    op1_language_id, op2_secrets, op3_url_filters, op7_simhash, op8_decontamination, op9_mixing, op10_ann,
+)
 
-MODULES = (op1_language_id, op2_secrets, op3_url_filters, op7_simhash, op8_decontamination, op9_mixing)
+MODULES = (
+    op1_language_id, op2_secrets, op3_url_filters, op7_simhash, op8_decontamination, op9_mixing, op10_ann,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
