@@ -21,8 +21,8 @@
    passage's words, and ``MIN_ANSWER`` of the words of its last quarter (where
    an item states its answer) are in that subsequence's neighbourhood.
 
-Words are compared without case and without marks at their ends, so changed
-punctuation, inserted and changed words do not hide a passage.
+Words are runs of letters and digits without case, so changed punctuation,
+inserted and changed words do not hide a passage.
 
 Defined cases: null, empty and blank texts match nothing; a null or empty item
 matches nothing; an item that repeats another's text reports under each id;
@@ -32,13 +32,13 @@ or an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,26 +53,12 @@ STOP_SHARE = 0.01  # terms in more than this share of the tiles are left out of
 MIN_COSINE = 0.2
 MIN_LCS = 0.7
 MIN_ANSWER = 0.5
-_KEPT_WORDS = 300_000  # spellings whose term a task remembers
-_MARKS = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
+_WORD = re.compile(r"\w+")
 
 
-def term_of(word: str) -> str:
-    return _MARKS.sub("", word).lower()
-
-
-class Terms(dict):
-    """Spelling to term id, -1 for words no benchmark passage has."""
-
-    def __init__(self, ids: dict[str, int]):
-        super().__init__()
-        self.ids = ids
-
-    def __missing__(self, word: str) -> int:
-        found = self.ids.get(term_of(word), -1)
-        if len(self) < _KEPT_WORDS:
-            self[word] = found
-        return found
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters, digits and underscores, lower-cased."""
+    return _WORD.findall(text.lower()) if text else []
 
 
 @dataclass
@@ -89,12 +75,13 @@ class Index:
     idf: np.ndarray  # 0 for stop terms
     unknown: float  # squared weight of a word outside the vocabulary
     inner: np.ndarray  # terms x passages, float32: cosine parts without the window's length
+    most: np.ndarray  # each term's largest part: bounds a window's cosines from above
     passages: list[np.ndarray]  # term ids
     items: list[int | None]
 
 
 def passages_of(item_id, text: str | None) -> list[Passage]:
-    words = [t for t in map(term_of, (text or "").split()) if t]
+    words = words_of(text)
     cuts = list(range(0, len(words), PASSAGE))
     if len(cuts) > 1 and len(words) - cuts[-1] < SHORTEST:
         cuts.pop()
@@ -108,10 +95,11 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[Passage]]:
         yield block
 
 
-def _words(texts: Iterable, terms: Terms) -> Iterator[np.ndarray]:
+def _words(texts: Iterable, ids: dict[str, int]) -> Iterator[np.ndarray]:
+    """Term ids of each text's words, -1 for words no benchmark passage has."""
     for t in texts:
-        words = t.split() if isinstance(t, str) else ()
-        yield np.fromiter(map(terms.__getitem__, words), np.int32, len(words))
+        words = words_of(t if isinstance(t, str) else None)
+        yield np.fromiter(map(ids.get, words, repeat(-1)), np.int32, len(words))
 
 
 def _document_frequency(texts: DataFrame, ids: dict[str, int]) -> tuple[np.ndarray, int]:
@@ -119,14 +107,13 @@ def _document_frequency(texts: DataFrame, ids: dict[str, int]) -> tuple[np.ndarr
     n = len(ids)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms, found, tiles = Terms(ids), np.zeros(n, np.int64), 0
+        found, tiles = np.zeros(n, np.int64), 0
         for pdf in batches:
-            keys = []
-            for w in _words(pdf["text"], terms):
+            for w in _words(pdf["text"], ids):
                 at = np.flatnonzero(w >= 0)
-                keys.append((at // WINDOW + tiles) * n + w[at])
+                term, many = np.unique(np.unique(at // WINDOW * n + w[at]) % n, return_counts=True)
+                found[term] += many
                 tiles += -(-len(w) // WINDOW)
-            found += np.bincount(np.unique(np.concatenate(keys)) % n, minlength=n) if keys else 0
         yield pd.DataFrame({"term": np.arange(-1, n), "n": np.concatenate(([tiles], found))})
 
     counts = texts.mapInPandas(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
@@ -197,7 +184,7 @@ def build_index(spark: SparkSession, texts: DataFrame, block: list[Passage], ran
         inner[:, i] = basis @ (w @ basis[term])
     inner *= weights[:, None].astype(np.float32) > 0
     unknown = float(np.mean(weights[weights > 0] ** 2)) if (weights > 0).any() else 1.0
-    return Index(ids, weights, unknown, inner, rows, [p.item_id for p in block])
+    return Index(ids, weights, unknown, inner, np.maximum(inner.max(axis=1), 0), rows, [p.item_id for p in block])
 
 
 def _lcs(passage: np.ndarray, text: np.ndarray) -> int:
@@ -233,14 +220,20 @@ def _candidates(words: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray
     strange = np.concatenate(([0], np.cumsum(words < 0)))
     lo, hi = here * half, np.minimum(here * half + WINDOW, len(words))
     length = np.sqrt(np.add.reduceat(weight * weight, start) + index.unknown * (strange[hi] - strange[lo]))
+    # Only windows whose bound allows a candidate meet the passages.
+    able = np.flatnonzero(np.add.reduceat(weight * index.most[term], start) >= (MIN_COSINE - 1e-4) * length)
+    if not len(able):
+        return none
+    many = np.diff(np.append(start, len(term)))[able]
     found = []
-    for a in range(0, len(start), 4096):  # bounded memory for very long texts
-        b = min(len(start), a + 4096)
-        lo_, hi_ = start[a], start[b] if b < len(start) else len(term)
-        rows = index.inner[term[lo_:hi_]] * weight[lo_:hi_, None].astype(np.float32)
-        cos = np.add.reduceat(rows, start[a:b] - lo_, axis=0) / length[a:b, None]
+    for a in range(0, len(able), 4096):  # bounded memory for very long texts
+        part, n_ = able[a:a + 4096], many[a:a + 4096]
+        first = np.cumsum(n_) - n_
+        at = np.arange(n_.sum()) + np.repeat(start[part] - first, n_)
+        rows = index.inner[term[at]] * weight[at, None].astype(np.float32)
+        cos = np.add.reduceat(rows, first, axis=0) / length[part, None]
         w, p = np.nonzero(cos >= MIN_COSINE)
-        found.append((here[a + w], p, cos[w, p].astype(float)))
+        found.append((here[part[w]], p, cos[w, p].astype(float)))
     return tuple(map(np.concatenate, zip(*found, strict=True)))
 
 
@@ -274,18 +267,16 @@ def _filtered(docs: DataFrame, index: Index) -> DataFrame:
     """The rows of ``docs`` in which no passage of the block is found."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = Terms(index.ids)
         for pdf in batches:
-            yield pdf[[not _matches(w, index) for w in _words(pdf["text"], terms)]]
+            yield pdf[[not _matches(w, index) for w in _words(pdf["text"], index.ids)]]
 
     return docs.mapInPandas(run, docs.schema)
 
 
 def _found(docs: DataFrame, index: Index) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = Terms(index.ids)
         for pdf in batches:
-            hits = [(d, *m) for d, w in zip(pdf["doc_id"], _words(pdf["text"], terms)) for m in _matches(w, index)]
+            hits = [(d, *m) for d, w in zip(pdf["doc_id"], _words(pdf["text"], index.ids)) for m in _matches(w, index)]
             out = pd.DataFrame(hits, columns=["doc_id", "item_id", "cosine", "lcs", "first_word", "end_word"])
             yield out.astype({"doc_id": "Int64", "item_id": "Int64", "cosine": float, "lcs": float, "first_word": "int64", "end_word": "int64"})
 
