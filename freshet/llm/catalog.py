@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from freshet.llm import (
-    op1_language_id, op2_secrets, op3_url_filters, op4_quality, op5_chat, op7_simhash, op8_decontamination, op9_mixing, op10_ann,
+    op1_language_id, op2_secrets, op3_url_filters, op4_quality, op5_chat, op6_html, op7_simhash, op8_decontamination, op9_mixing, op10_ann,
 )
 
 MODULES = (
-    op1_language_id, op2_secrets, op3_url_filters, op4_quality, op5_chat, op7_simhash, op8_decontamination, op9_mixing, op10_ann,
+    op1_language_id, op2_secrets, op3_url_filters, op4_quality, op5_chat, op6_html, op7_simhash, op8_decontamination, op9_mixing, op10_ann,
 )
 
 
