@@ -4,23 +4,20 @@
 task. The functions here compute the same numbers in two passes that stay
 parallel:
 
-1. Cut the ordering key into ranges ("buckets") whose bounds come from a
-   Bernoulli sample of the key; the driver receives at most
-   ``2 * buckets * SAMPLES_PER_BUCKET`` key tuples, independent of the
-   table size.
-2. In one query: the total of each bucket (a partial aggregate, one row per
-   bucket), the running total of the buckets before it (a window over at
-   most ``buckets`` rows, then broadcast: its size is bounded by the bucket
-   count we chose), and the in-bucket running value (a window partitioned
-   by bucket). The answer is offset + in-bucket value.
-
-The bucket of a row is a pure function of its ordering key, so both
-branches agree on it and a retried task recomputes the same value. A
-single numeric key is bucketed by ML's ``Bucketizer`` (a JVM binary search
-over the split array, up to ``MAX_NUMERIC_BUCKETS``); other keys by a balanced tree of
-comparisons over literal bounds, whose generated code limits it to a few
-hundred buckets. The ordering must be unique for the numbers to be
-deterministic; callers pass a key that is.
+1. ``repartitionByRange`` deals the rows to ranges of the ordering key, and
+   the result is written to the shared folder together with the range's
+   number (``spark_partition_id``). Spark's sort order rules throughout, so
+   NULL, NaN and infinite keys, strings and composite keys need no case of
+   their own, and the number of ranges is only bounded by the cluster.
+2. In one query over what was written: the total of each range (a partial
+   aggregate, one row per range), the running total of the ranges before it
+   (a window over those rows, then broadcast: as many rows as we asked for
+   ranges), and the running value inside the range (a window partitioned by
+   range). The answer is offset + value inside.
+
+The range of a row is read from the written file, so both branches agree on
+it and a retried task cannot deal a row elsewhere. The ordering must be
+unique for the numbers to be deterministic; callers pass a key that is.
 """
 
 from __future__ import annotations
@@ -29,118 +26,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Bucket count limits: a numeric key uses a JVM binary search (the limit only
-# bounds the split array shipped with the plan); comparison trees generate
-# code that grows with the bucket count (past ~1000 single-column leaves the
-# method exceeds 64 KB and Spark falls back to interpreted evaluation).
-MAX_NUMERIC_BUCKETS = 16384
-MAX_TREE_BUCKETS = 512
-MAX_COMPOSITE_BUCKETS = 64
-SAMPLES_PER_BUCKET = 32
-_SEED = 29
-
-
-def _is_numeric_key(df: DataFrame, cols: Sequence[str]) -> bool:
-    return len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, T.NumericType)
-
-
-def default_buckets(df: DataFrame, cols: Sequence[str] | None = None) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(bucket_limit(df, cols or df.columns[:1]), 4 * parts))
-
-
-def bucket_limit(df: DataFrame, cols: Sequence[str]) -> int:
-    if _is_numeric_key(df, cols):
-        return MAX_NUMERIC_BUCKETS
-    return MAX_TREE_BUCKETS if len(cols) == 1 else MAX_COMPOSITE_BUCKETS
-
-
-def sample_bounds(
-    source: DataFrame, cols: Sequence[str], n_buckets: int
-) -> list[tuple]:
-    """Up to ``n_buckets - 1`` increasing key tuples splitting ``source`` evenly."""
-    if n_buckets <= 1:
-        return []
-    keys = source.select(*cols)
-    # A Bernoulli sample is one cheap pass (and the count is read from parquet
-    # footers for the staged inputs the callers pass); measured on 9.6M keys
-    # it took 1.4 s where approxQuantile / percentile_approx took 6-8 s.
-    total = keys.count()
-    if total == 0:
-        return []
-    want = n_buckets * SAMPLES_PER_BUCKET
-    fraction = min(1.0, want / total)
-    # Bounded: a Bernoulli sample of ~want rows; the limit only guards the tail.
-    rows = (
-        keys.sample(withReplacement=False, fraction=fraction, seed=_SEED)
-        .orderBy(*cols)
-        .limit(2 * want)
-        .collect()
-    )
-    if not rows:
-        return []
-    step = len(rows) / n_buckets
-    bounds: list[tuple] = []
-    for i in range(1, n_buckets):
-        b = tuple(rows[min(len(rows) - 1, int(i * step))])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds
-
-
-def _key(cols: Sequence[str]) -> Column:
-    # A single key is compared as is; a composite key as a struct
-    # (lexicographic, NULL fields first like ORDER BY ... ASC).
-    if len(cols) == 1:
-        return F.col(cols[0])
-    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])
-
-
-def _bound_literals(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) -> list[Column]:
-    types = [df.schema[c].dataType for c in cols]
-    if len(cols) == 1:
-        return [F.lit(b[0]).cast(types[0]) for b in bounds]
-    return [
-        F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
-        for b in bounds
-    ]
-
-
-def bucket_of(key: Column, bounds: list[Column]) -> Column:
-    """Number of bounds <= key, as a balanced tree of comparisons (log2 depth).
-
-    A NULL key compares as unknown, so it takes the ``otherwise`` branches
-    and lands in bucket 0, i.e. first, as ``ORDER BY ... ASC`` puts it.
-    """
 
-    def search(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= bounds[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
+from freshet.operators.materialize import materialize
 
-    return search(0, len(bounds))
+RANGES_PER_PARTITION = 4  # ranges are hashed to tasks again; more of them even that out
 
 
-def tag_buckets(df: DataFrame, order_cols: Sequence[str], bounds: list[tuple]) -> DataFrame:
-    """Add ``_bkt`` = number of bounds <= the row's key (NULL keys: 0)."""
-    if not bounds:
-        return df.withColumn("_bkt", F.lit(0))
-    if _is_numeric_key(df, order_cols):
-        from pyspark.ml.feature import Bucketizer
-
-        k = order_cols[0]
-        splits = [float("-inf")] + sorted({float(b[0]) for b in bounds}) + [float("inf")]
-        # "keep" sends NULL to an extra last bucket; NULLs sort first, so pin them to 0.
-        # NaN also lands last, where a NaN key sorts.
-        tmp = df.withColumn("_bkey", F.col(k).cast("double"))
-        out = Bucketizer(splits=splits, inputCol="_bkey", outputCol="_braw", handleInvalid="keep").transform(tmp)
-        bkt = F.when(F.col(k).isNull(), F.lit(0)).otherwise(F.col("_braw").cast("int"))
-        return out.withColumn("_bkt", bkt).drop("_bkey", "_braw")
-    lits = _bound_literals(df, order_cols, bounds)
-    return df.withColumn("_bkt", bucket_of(_key(order_cols), lits))
+def default_buckets(df: DataFrame) -> int:
+    return RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def running_total(
@@ -150,24 +43,19 @@ def running_total(
     out: str = "rnum",
     inclusive: bool = True,
     n_buckets: int | None = None,
-    bounds_from: tuple[DataFrame, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` (default 1) in ``order_cols`` order.
 
     With ``value=None`` and ``inclusive=True`` this is ``row_number()`` over
     the whole table. ``inclusive=False`` excludes the current row (the frame
     ``rowsBetween(unboundedPreceding, -1)``), 0 for the first row.
-    ``bounds_from`` lets the bounds be sampled from a cheaper table holding
-    the same key values (e.g. the base table before expensive joins).
+    ``df`` is read twice (Spark samples the range bounds first), so stage it
+    if it is expensive.
     """
     order_cols = list(order_cols)
-    limit = bucket_limit(df, order_cols)
-    n_buckets = min(n_buckets or default_buckets(df, order_cols), limit)
-    src, src_cols = bounds_from if bounds_from else (df, order_cols)
-    bounds = sample_bounds(src, list(src_cols), n_buckets)
     val = F.lit(1).cast("long") if value is None else value
-
-    tagged = tag_buckets(df, order_cols, bounds).withColumn("_val", val)
+    ranged = df.withColumn("_val", val).repartitionByRange(n_buckets or default_buckets(df), *order_cols)
+    tagged = materialize(ranged.withColumn("_bkt", F.spark_partition_id()), "ordinal")
 
     totals = tagged.groupBy("_bkt").agg(F.sum("_val").alias("_bsum"))
     before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
@@ -187,7 +75,7 @@ def running_total(
         )
 
     numbered = tagged.withColumn("_within", within)
-    joined = numbered.join(F.broadcast(offsets), "_bkt")
+    joined = numbered.join(F.broadcast(offsets), "_bkt")  # at most n_buckets rows
     return joined.select(*[F.col(c) for c in df.columns], (F.col("_boff") + F.col("_within")).alias(out))
 
 
@@ -196,7 +84,6 @@ def global_row_number(
     order_cols: Sequence[str],
     out: str = "rnum",
     n_buckets: int | None = None,
-    bounds_from: tuple[DataFrame, Sequence[str]] | None = None,
 ) -> DataFrame:
     """``row_number() over (order by order_cols)`` computed in parallel."""
-    return running_total(df, order_cols, None, out, True, n_buckets, bounds_from)
+    return running_total(df, order_cols, None, out, True, n_buckets)

@@ -12,10 +12,8 @@ plus message and audit rows. The procedural loop of the original becomes:
 
 Scale notes: the versions table is reduced to one row per tariff with a
 partial aggregate (``max_by`` + ``count``) before any join, so a tariff
-holding a third of all versions costs no more than any other. When the
-scope is staged for the ordinal, that aggregate runs in a packed,
-hash-aggregatable form (exact fallback, see ``latest_versions``). The
-ordinal is the two-pass bucketed running sum from ``operators.ordinal``.
+holding a third of all versions costs no more than any other. The ordinal
+is the two-pass running sum over key ranges from ``operators.ordinal``.
 """
 
 from __future__ import annotations
@@ -49,39 +47,13 @@ CANDIDATE_COLUMNS = [
 ]
 
 
-def latest_versions(tariff_data: DataFrame, packed: bool = False) -> DataFrame:
+def latest_versions(tariff_data: DataFrame) -> DataFrame:
     """Newest active version per tariff and the number of active versions.
 
     Equivalent to ``row_number() over (partition by tariff order by id desc)
     = 1`` but computed as a partial aggregate, so it combines map-side.
-
-    ``packed=True`` carries the newest version's flag as its character code
-    so that every aggregation buffer is primitive and Spark can hash-aggregate
-    (a string or struct buffer forces a sort per map partition; measured
-    5.6 s against 9.2 s on 9.6M versions). It is exact for flags of at most
-    one ASCII character; ``_unpackable`` is 1 for a tariff holding any other
-    flag, and the caller must then use the unpacked form.
     """
     active = tariff_data.filter(F.col("amnd_state") == ACTIVE)
-    if packed:
-        flag = F.col("is_ready")
-        code = F.ascii(flag)
-        agg = active.groupBy("tariff__oid").agg(
-            F.max("id").alias("_tv_id"),
-            F.max_by(code, F.col("id")).alias("_code"),
-            F.max_by(F.col("date_from"), F.col("id")).alias("_date"),
-            F.max(F.when((F.length(flag) > 1) | (code > 127), 1).otherwise(0)).alias("_unpackable"),
-            F.count(F.lit(1)).alias("n_versions"),
-        )
-        ready = F.when(F.col("_code") == 0, F.lit("")).otherwise(F.expr("chr(_code)"))
-        return agg.select(
-            "tariff__oid",
-            F.struct(
-                F.col("_tv_id").alias("tv_id"), ready.alias("tv_is_ready"),
-                F.col("_date").alias("tv_date_from"),
-            ).alias("tv"),
-            "n_versions", "_unpackable",
-        )
     newest = F.max_by(
         F.struct(
             F.col("id").alias("tv_id"),
@@ -95,13 +67,11 @@ def latest_versions(tariff_data: DataFrame, packed: bool = False) -> DataFrame:
     )
 
 
-def renewal_scope(tariff: DataFrame, tariff_domain: DataFrame, tariff_data: DataFrame,
-                  packed: bool = False) -> DataFrame:
+def renewal_scope(tariff: DataFrame, tariff_domain: DataFrame, tariff_data: DataFrame) -> DataFrame:
     """Active tariffs of personal='N' domains, each with its newest active version.
 
     ``n_rows`` is how many rows the tariff contributes to the joined relation
     (its active versions, or 1 when it has none): the weight of ``rnum``.
-    With ``packed``, ``_unpackable`` tells whether the packed form was exact.
     """
     t = tariff.filter(F.col("amnd_state") == ACTIVE).select(
         F.col("id").alias("t_id"),
@@ -115,7 +85,7 @@ def renewal_scope(tariff: DataFrame, tariff_domain: DataFrame, tariff_data: Data
     scoped = t.join(td, t["tariff_domain__oid"] == td["_td_id"], "inner").drop("_td_id")
     # The residual amnd_state predicate of the LEFT JOIN is applied to the
     # right side before joining, which keeps tariffs without a version.
-    v = latest_versions(tariff_data, packed=packed)
+    v = latest_versions(tariff_data)
     joined = scoped.join(v, scoped["t_id"] == v["tariff__oid"], "left")
     return joined.select(
         "t_id", "tariff_domain__oid", "t_name", "t_is_ready",
@@ -123,24 +93,9 @@ def renewal_scope(tariff: DataFrame, tariff_domain: DataFrame, tariff_data: Data
         F.col("tv.tv_is_ready").alias("tv_is_ready"),
         F.col("tv.tv_date_from").alias("tv_date_from"),
         F.coalesce(F.col("n_versions"), F.lit(1).cast("long")).alias("n_rows"),
-        *(["_unpackable"] if packed else []),
     )
 
 
-def staged_scope(tariff: DataFrame, tariff_domain: DataFrame, tariff_data: DataFrame) -> DataFrame:
-    """The renewal scope written once to the shared folder.
-
-    Staged with the hash-aggregatable packed versions; if any active version
-    has a flag the packing cannot carry, the scope is staged again with the
-    exact form (checked by reading one column of what was written).
-    """
-    scope = materialize(renewal_scope(tariff, tariff_domain, tariff_data, packed=True), "renewal_scope")
-    if scope.agg(F.max("_unpackable")).first()[0]:
-        scope = materialize(renewal_scope(tariff, tariff_domain, tariff_data), "renewal_scope")
-        return scope
-    return scope.drop("_unpackable")
-
-
 def needs_renewal() -> Column:
     """Three-valued: a NULL flag makes its side UNKNOWN, never TRUE."""
     return (F.col("t_is_ready") != YES) | (F.col("tv_is_ready") != YES)
@@ -155,9 +110,9 @@ def renewal_candidates(
 ) -> DataFrame:
     cols = list(CANDIDATE_COLUMNS)
     if with_rnum:
-        # The ordinal reads its input twice (bucket totals, numbers); write the
+        # The ordinal reads its input twice (range bounds, ranges); write the
         # one-row-per-tariff scope once instead of re-aggregating tariff_data.
-        scope = staged_scope(tariff, tariff_domain, tariff_data)
+        scope = materialize(renewal_scope(tariff, tariff_domain, tariff_data), "renewal_scope")
         scope = running_total(scope, ["t_id"], value=F.col("n_rows"), out="rnum", n_buckets=n_buckets)
         cols.append("rnum")
     else:
@@ -179,43 +134,39 @@ def commit_batches(df: DataFrame, order_col: str = "rnum", interval: int = COMMI
                          inclusive=False, n_buckets=n_buckets)
 
 
+def _replaced(df: DataFrame, column: str, value: Column) -> list[Column]:
+    """All columns of ``df`` in place; ``column`` (any case) gets ``value`` under
+    the name and type it has."""
+    return [
+        value.cast(f.dataType).alias(f.name) if f.name.lower() == column else F.col(f"`{f.name}`")
+        for f in df.schema.fields
+    ]
+
+
 def mark_ready(tariff: DataFrame, candidates: DataFrame) -> DataFrame:
-    """New tariff snapshot: is_ready = 'Y' for candidates without a version."""
+    """New tariff snapshot: is_ready = 'Y' for candidates without a version.
+    Every other column stays as it is."""
     hits = candidates.filter(F.col("tv_id").isNull()).select(
         F.col("t_id").alias("_hit_id"), F.lit(True).alias("_hit")
     )
     j = tariff.join(hits, tariff["id"] == hits["_hit_id"], "left")
-    return j.select(
-        *[
-            F.when(F.col("_hit"), F.lit(YES)).otherwise(F.col("is_ready")).alias("is_ready")
-            if c == "is_ready" else F.col(c)
-            for c in tariff.columns
-        ]
-    )
+    return j.select(*_replaced(tariff, "is_ready", F.when(F.col("_hit"), F.lit(YES)).otherwise(F.col("is_ready"))))
 
 
 def clear_date_from(tariff_data: DataFrame, candidates: DataFrame) -> DataFrame:
-    """New tariff_data snapshot: date_from = NULL on unready dated newest versions."""
+    """New tariff_data snapshot: date_from = NULL on unready dated newest
+    versions. Every other column stays as it is."""
     hits = candidates.filter(
         (F.col("tv_is_ready") == NO) & F.col("tv_date_from").isNotNull()
     ).select(F.col("tv_id").alias("_hit_id"), F.lit(True).alias("_hit"))
     j = tariff_data.join(hits, tariff_data["id"] == hits["_hit_id"], "left")
-    return j.select(
-        *[
-            F.when(F.col("_hit"), F.lit(None).cast("date")).otherwise(F.col("date_from")).alias("date_from")
-            if c == "date_from" else F.col(c)
-            for c in tariff_data.columns
-        ]
-    )
+    return j.select(*_replaced(tariff_data, "date_from", F.when(F.col("_hit"), F.lit(None)).otherwise(F.col("date_from"))))
 
 
 def set_constants(constants: DataFrame, ldate: Column) -> DataFrame:
     """Whole-table update without WHERE: date_from = ldate + 1, date_to = NULL."""
-    return constants.select(
-        *[c for c in constants.columns if c not in ("date_from", "date_to")],
-        F.date_add(ldate, 1).alias("date_from"),
-        F.lit(None).cast("date").alias("date_to"),
-    )
+    new = {"date_from": F.date_add(ldate, 1), "date_to": F.lit(None).cast("date")}
+    return constants.select(*[new[c.lower()].alias(c) if c.lower() in new else F.col(f"`{c}`") for c in constants.columns])
 
 
 def template_domains(tariff: DataFrame, tariff_domain: DataFrame) -> DataFrame:

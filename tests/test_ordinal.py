@@ -1,10 +1,12 @@
 """The bucketed running total against brute force on small inputs."""
 
 import random
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from freshet.operators.ordinal import bucket_of, global_row_number, running_total, sample_bounds
+from freshet.operators.ordinal import global_row_number, running_total
 
 
 def test_row_number_many_buckets(spark):
@@ -42,19 +44,6 @@ def test_empty_input(spark):
     assert global_row_number(df, ["id"]).count() == 0
 
 
-def test_bucket_of_is_upper_bound(spark):
-    bounds = [F.lit(v) for v in (10, 20, 30)]
-    df = spark.createDataFrame([(k,) for k in (5, 10, 15, 20, 29, 30, 99)], "k long")
-    got = [r.b for r in df.select(bucket_of(F.col("k"), bounds).alias("b")).collect()]
-    assert got == [0, 1, 1, 2, 2, 3, 3]
-
-
-def test_sample_bounds_increasing(spark):
-    df = spark.range(0, 10000).withColumnRenamed("id", "k")
-    b = sample_bounds(df, ["k"], 16)
-    assert len(b) >= 10 and b == sorted(b)
-
-
 def test_numeric_key_many_buckets_with_nulls(spark):
     rnd = random.Random(3)
     keys = rnd.sample(range(10**12, 10**12 + 10**7), 5000) + [None, None]
@@ -69,12 +58,35 @@ def test_numeric_key_many_buckets_with_nulls(spark):
     assert sorted(r.rnum for r in nulls) == [1, 2]
 
 
-def test_composite_keys_are_capped(spark):
-    from freshet.operators.ordinal import MAX_COMPOSITE_BUCKETS, bucket_limit
+NAN, INF = float("nan"), float("inf")
+
+
+def _spark_key(v):
+    """Ascending order of Spark: NULL first, NaN after infinity."""
+    return (v is not None, v is not None and v != v, 0 if v is None or v != v else v)
+
+
+@pytest.mark.parametrize("kind, special", [
+    ("long", [None, -2**63, 2**63 - 1]), ("double", [None, NAN, INF, -INF, -0.5]),
+    ("decimal(20,3)", [None, Decimal("-1.500"), Decimal("0.001")]), ("string", [None, "", "é", "zz"]),
+])
+@pytest.mark.parametrize("n", [3, 5000])
+def test_every_key_type_with_nulls_and_extremes(spark, kind, special, n):
+    make = {"long": lambda i: i * 7, "double": lambda i: i / 3, "decimal(20,3)": lambda i: Decimal(i), "string": lambda i: f"k{i:05d}"}[kind]
+    keys = (special + [make(i + 2) for i in range(n)])[:max(n, len(special))]
+    random.Random(9).shuffle(keys)
+    df = spark.createDataFrame([(k,) for k in keys], f"k {kind}").repartition(4)
+    got = [r.k for r in global_row_number(df, ["k"]).orderBy("rnum").collect()]
+    want = sorted(keys, key=_spark_key)
+    assert list(map(_spark_key, got)) == list(map(_spark_key, want))
+
 
-    df = spark.createDataFrame([("a", 1)], "g string, i long")
-    assert bucket_limit(df, ["g", "i"]) == MAX_COMPOSITE_BUCKETS
-    assert global_row_number(df, ["g", "i"], n_buckets=10_000).first().rnum == 1
+@pytest.mark.parametrize("n", [3, 5000])
+def test_composite_keys(spark, n):
+    rows = [(None if i % 7 == 0 else f"g{i % 5}", i) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, i long").repartition(4)
+    got = [(r.g, r.i) for r in global_row_number(df, ["g", "i"], n_buckets=100).orderBy("rnum").collect()]
+    assert got == sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402

@@ -148,17 +148,23 @@ def test_no_versions_and_no_tariffs(tables):
     assert renewal.commit_batches(renewal.renewal_candidates(t.limit(0), td, tv)).count() == 0
 
 
-def test_packed_versions_fall_back_for_other_flags(spark, tables):
+def test_flags_of_any_text(tables):
     from pyspark.sql import functions as F
 
     t, td, tv, _, _ = tables
-    exact = sorted(tuple(r) for r in renewal.renewal_scope(t, td, tv).collect())
-    packed = renewal.renewal_scope(t, td, tv, packed=True)
-    assert packed.agg(F.max("_unpackable")).first()[0] == 0
-    assert sorted(tuple(r)[:-1] for r in packed.collect()) == exact
-    # multi-character and non-ASCII flags: the staged scope takes the exact form
     odd = tv.withColumn("is_ready", F.when(F.col("id") == 121, "YES").when(F.col("id") == 213, "É")
                         .otherwise(F.col("is_ready")))
     rows = {r.t_id: r.tv_is_ready for r in renewal.renewal_candidates(t, td, odd, n_buckets=2).collect()}
     assert rows[12] == "YES" and rows[21] == "É"
-    assert renewal.staged_scope(t, td, odd).columns[-1] == "n_rows"
+
+
+def test_updates_keep_every_other_column(spark, tables):
+    from pyspark.sql import functions as F
+
+    t, td, tv, _, _ = tables
+    wide_t = t.withColumnRenamed("is_ready", "IS_READY").withColumn("rate", F.lit(1.5)).select("rate", *[c for c in t.columns if c != "is_ready"], "IS_READY")
+    wide_v = tv.select(F.lit("x").alias("owner"), "*", F.col("date_from").cast("timestamp").alias("stamp"))
+    cands = renewal.renewal_candidates(t, td, tv, with_rnum=False)
+    assert renewal.mark_ready(wide_t, cands).schema == wide_t.schema
+    assert {r.id: r.IS_READY for r in renewal.mark_ready(wide_t, cands).collect()}[10] == "Y"
+    assert renewal.clear_date_from(wide_v, cands).columns == wide_v.columns
