@@ -1,7 +1,7 @@
 """Command-line entry points (``python -m freshet <command> ...``).
 
     seed      create the status table from a location -> key table
-    listing   print the status table listing (ordinal, location, data, ...)
+    listing   write the status table listing (ordinal, location, data, ...)
     refresh   apply a batch of landed responses to the status table
     stream    keep refreshing the status table from a landing directory
     ingest    parse a response log into a typed conditions table
@@ -50,13 +50,15 @@ def cmd_listing(spark, args) -> int:
     from freshet.operators.snapshot import read_current
     from freshet.plans import weather
 
-    from freshet.sources.schemas import conform_status
-
     status = read_current(spark, args.status_root)
     if status is None:
         print(f"no published status table under {args.status_root}", file=sys.stderr)
         return 1
-    weather.status_listing(conform_status(status)).show(args.rows, truncate=False)
+    listing = weather.status_listing(status)
+    if args.out:
+        listing.write.mode("errorifexists").parquet(args.out)
+    if args.rows:  # a look at the first rows, only if asked for
+        listing.show(args.rows, truncate=False)
     return 0
 
 
@@ -66,7 +68,7 @@ def cmd_refresh(spark, args) -> int:
 
     res = jobs.run_status_refresh(
         spark, args.status_root, read_landed(spark, args.responses, fmt=args.format),
-        _read(spark, args.locations), args.log, args.audit,
+        _read(spark, args.locations), args.log, args.audit, run_id=args.run_id,
     )
     print({"published": res.published, **res.versions})
     return 0 if res.published else 2
@@ -79,7 +81,7 @@ def cmd_stream(spark, args) -> int:
     q = run_status_refresh(
         spark, read_landed_stream(spark, args.landing, fmt=args.format),
         _read(spark, args.locations), args.status_root, args.log, args.audit,
-        args.checkpoint, available_now=not args.continuous,
+        args.checkpoint, available_now=not args.continuous, interval=args.interval,
     )
     q.awaitTermination()
     return 0
@@ -125,7 +127,8 @@ def main(argv=None) -> int:
 
     s = sub.add_parser("listing")
     s.add_argument("--status-root", required=True)
-    s.add_argument("--rows", type=int, default=100)
+    s.add_argument("--out", help="folder for the whole listing (parquet)")
+    s.add_argument("--rows", type=int, help="print so many rows")
 
     for name in ("refresh", "stream"):
         s = sub.add_parser(name)
@@ -136,10 +139,12 @@ def main(argv=None) -> int:
         s.add_argument("--format", default="json")
         if name == "refresh":
             s.add_argument("--responses", required=True)
+            s.add_argument("--run-id", help="a run repeated under its id replaces its log and audit")
         else:
             s.add_argument("--landing", required=True)
             s.add_argument("--checkpoint", required=True)
             s.add_argument("--continuous", action="store_true")
+            s.add_argument("--interval", default="1 minute", help="between batches, with --continuous")
 
     s = sub.add_parser("ingest")
     s.add_argument("--log", required=True)

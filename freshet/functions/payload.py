@@ -21,8 +21,8 @@ MISSING_NUMBER = -9999.0
 RFC822_PATTERN = "d MMM yyyy HH:mm:ss xx"
 RFC822_WEEKDAY_PREFIX = 5
 
-# Leading number of a text such as "110 ft", "66%", " 0", "-9999.00 in (..)".
-_LEADING_NUMBER = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)"
+# Leading number of a text such as "240 ft", "58%", " 0", "-9999.00 in (..)".
+_LEADING_NUMBER = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 
 _S = T.StringType()
 

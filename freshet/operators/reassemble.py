@@ -32,15 +32,24 @@ def reassemble(
     text_col: str,
     out: str = "body",
     extra: Mapping[str, tuple[Column, Callable[[Column], Column]]] | None = None,
-    block: int = BLOCK_CHUNKS,
+    block: int | None = BLOCK_CHUNKS,
 ) -> DataFrame:
     """One row per key with the chunks joined in ``order_col`` order.
 
+    ``block=None`` takes the single-exchange form: the text crosses the
+    network once, and all chunks of one key meet in one task. It suits keys
+    that are small by nature, like the chunks of one response.
+
     ``extra`` maps an output name to ``(partial aggregate, combiner)``; the
     partial runs per block and the combiner over the blocks of a key, e.g.
     ``{"n": (F.count(F.lit(1)), F.sum)}`` or ``{"t": (F.max("t"), F.max)}``.
     """
     extra = dict(extra or {})
+    if block is None:
+        return df.groupBy(*keys).agg(
+            _ordered_concat(text_col, order_col).alias(out),
+            *[partial.alias(name) for name, (partial, _) in extra.items()],
+        )
     blocks = df.groupBy(
         *keys, F.floor(F.col(order_col) / F.lit(block)).alias("_blk")
     ).agg(

@@ -13,21 +13,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet import jobs
 from freshet.functions.payload import to_json_text
 from freshet.operators.latest import latest_by_key
 from freshet.operators.materialize import materialize
 from freshet.operators.ordinal import global_row_number
 from freshet.operators.reassemble import reassemble
-from freshet.operators.snapshot import publish_if, read_current
+from freshet.operators.snapshot import publish, publish_if, read_current, same_table, write_version
 from freshet.operators.status import applies, update_status
 from freshet.plans import renewal, weather
 from freshet.plans.standins import (
-    conditions_log_records, landed_chunks, standin, status_locations, with_standins,
+    BROKEN_EVERY, STANDINS, conditions_log_records, landed_chunks, standin, status_locations, with_standins,
 )
 from freshet.session import work_path
+from freshet.sources.landing import read_landed, read_landed_stream
 from freshet.sources.response_log import read_response_log, write_response_log
 from freshet.sources.tables import load
-from freshet.streaming.status_stream import read_latest, run_latest_per_key
+from freshet.streaming.status_stream import read_latest, run_latest_per_key, run_status_refresh
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -94,13 +96,60 @@ def q_error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, td, tv = _renewal_inputs(spark, sf_dir)
-    cands = renewal.renewal_candidates(t, td, tv)
+    # Counted and joined with the outcomes: written once.
+    cands = materialize(renewal.renewal_candidates(t, td, tv), "candidates")
     domains = renewal.template_domains(t, td)
     tmsg = renewal.tariff_messages(cands, td, standin(spark, sf_dir, "tariff_apply_result"))
     dmsg = renewal.domain_messages(domains, standin(spark, sf_dir, "approve_domain_result"))
     return renewal.audit_log(cands, domains, tmsg, dmsg)
 
 
+def _wide(spark: SparkSession, sf_dir: str, name: str, *extra: str) -> DataFrame:
+    """The stand-in with further columns of its table, some before its own."""
+    source, cols = STANDINS[name]
+    return load(spark, sf_dir, source).selectExpr(extra[0], *[f"{e} AS {c}" for c, e in cols.items()], *extra[1:])
+
+
+def _constants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.col("o_orderdate").cast("date")
+    return load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), day.alias("date_from"), F.date_add(day, 30).alias("date_to"))
+
+
+def _run_renewal(spark: SparkSession, sf_dir: str, root: str, ldate: str, reject: bool = False) -> None:
+    res = jobs.run_renewal(
+        spark, root, _wide(spark, sf_dir, "tariff", "c_mktsegment", "c_acctbal"), standin(spark, sf_dir, "tariff_domain"),
+        _wide(spark, sf_dir, "tariff_data", "o_totalprice", "o_orderpriority"), _constants(spark, sf_dir),
+        standin(spark, sf_dir, "tariff_apply_result"), standin(spark, sf_dir, "approve_domain_result"),
+        ldate=F.lit(ldate).cast("date"), reject=reject,
+    )
+    if res.published == reject:
+        raise RuntimeError(f"published: {res.published}, rejected: {reject}")
+
+
+def _after_renewal(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_path(spark, "renewal_job")
+    _run_renewal(spark, sf_dir, root, "2024-12-31")
+    return read_current(spark, f"{root}/{table}")
+
+
+def q_renewal_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tariff table the whole job publishes, with columns it does not know."""
+    return _after_renewal("tariff", spark, sf_dir)
+
+
+def q_renewal_job_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after_renewal("tariff_data", spark, sf_dir)
+
+
+def q_renewal_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The constants readers get after one good and one rejected run."""
+    root = work_path(spark, "renewal_rejected")
+    _run_renewal(spark, sf_dir, root, "2024-12-31")
+    _run_renewal(spark, sf_dir, root, "2030-12-31", reject=True)
+    return read_current(spark, f"{root}/v_local_constants")
+
+
 # The renewal selection over tables named tariff, tariff_domain, tariff_data
 # (CTE bodies without WITH, so tests can run it over fixture tables).
 RENEWAL_LOGIC_SQL = """joined AS (
@@ -175,6 +224,19 @@ SELECT tv.id, tv.tariff__oid, tv.amnd_state, tv.is_ready,
 FROM tariff_data tv
 LEFT JOIN (SELECT tv_id FROM cands WHERE tv_is_ready = 'N' AND tv_date_from IS NOT NULL) c
   ON c.tv_id = tv.id""",
+    "renewal_job": _RENEWAL_CTES + """
+SELECT c_mktsegment, t.id, t.tariff_domain__oid, t.name,
+       CASE WHEN c.t_id IS NOT NULL THEN 'Y' ELSE t.is_ready END AS is_ready, t.amnd_state, c_acctbal
+FROM customer JOIN tariff t ON t.id = c_custkey
+LEFT JOIN (SELECT t_id FROM cands WHERE tv_id IS NULL) c ON c.t_id = t.id""",
+    "renewal_job_versions": _RENEWAL_CTES + """
+SELECT o_totalprice, tv.id, tv.tariff__oid, tv.amnd_state, tv.is_ready,
+       CASE WHEN c.tv_id IS NOT NULL THEN CAST(NULL AS DATE) ELSE tv.date_from END AS date_from, o_orderpriority
+FROM orders JOIN tariff_data tv ON tv.id = o_orderkey
+LEFT JOIN (SELECT tv_id FROM cands WHERE tv_is_ready = 'N' AND tv_date_from IS NOT NULL) c
+  ON c.tv_id = tv.id""",
+    "renewal_rejected": """
+SELECT o_orderkey AS id, DATE '2025-01-01' AS date_from, CAST(NULL AS DATE) AS date_to FROM orders""",
     "error_messages": _MESSAGES_CTES + """
 SELECT stage, id, severity, message FROM tmsg
 UNION ALL
@@ -207,6 +269,9 @@ RENEWAL_QUERIES: dict[str, QueryFn] = {
     "clear_date_from": q_clear_date_from,
     "error_messages": q_error_messages,
     "audit_log": q_audit_log,
+    "renewal_job": q_renewal_job,
+    "renewal_job_versions": q_renewal_job_versions,
+    "renewal_rejected": q_renewal_rejected,
 }
 
 
@@ -214,10 +279,12 @@ RENEWAL_QUERIES: dict[str, QueryFn] = {
 
 # Placeholder for the runtime API key (never a real credential).
 API_KEY = "API_KEY"
-MIN_LANDED_FILES = 4
-ROWS_PER_LANDED_FILE = 1_000_000
-STREAM_BATCHES = 4
-ROWS_PER_STATE_PARTITION = 2_000_000
+# The streams of the queries: landed files, files a batch takes, batches between
+# two snapshots. What a poller lands and a trigger takes is set per deployment.
+LANDED_FILES = 8
+FILES_PER_TRIGGER = 2
+COMPACT_EVERY = 2
+LANDED_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"  # the JSON writer's own keeps milliseconds only
 
 
 def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +367,7 @@ def _refreshed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = standin(spark, sf_dir, "status")
     r = standin(spark, sf_dir, "responses")
     rows = r.filter(applies(F.col("status"))).select("key", "status", "data", "received_at", "request_id")
-    return weather.refresh_status(state, weather.reduce_updates(rows))
+    return weather.visible(weather.refresh_status(state, weather.reduce_updates(rows)))
 
 
 def q_keyed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,12 +383,12 @@ def q_status_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     -> latest per key -> keyed update without insert."""
     state = standin(spark, sf_dir, "status").withColumn("key", F.col("key").cast("string"))
     new_status, _, _ = weather.refresh(state, landed_chunks(spark, sf_dir), status_locations(spark, sf_dir))
-    return new_status
+    return weather.visible(new_status)
 
 
 def q_status_refresh_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The status page over the refreshed string-keyed status table (the
-    ordinal's sampled-bounds path for non-numeric keys)."""
+    """The status page over the refreshed string-keyed status table (an
+    ordinal over a text key)."""
     return weather.status_listing(materialize(q_status_refresh(spark, sf_dir), "refreshed_status"))
 
 
@@ -333,29 +400,66 @@ def q_renewal_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the responses as files, stream them (availableNow, in about
-    STREAM_BATCHES micro-batches), keep the latest per key in streaming state,
-    fold the outputs."""
+    """Land the responses as files, stream them (availableNow), keep the latest
+    per key in streaming state, compact on the way, fold the outputs."""
     root = work_path(spark, "stream_latest")
     landing = f"{root}/landing"
     r = standin(spark, sf_dir, "responses")
-    rows = r.count()
-    # Files sized by volume, landed in arrival order; about STREAM_BATCHES batches.
-    files = max(MIN_LANDED_FILES, -(-rows // ROWS_PER_LANDED_FILE))
-    r.repartitionByRange(files, "received_at", "request_id").write.parquet(landing)
-    per_trigger = -(-files // STREAM_BATCHES)
-    # State partitions sized by the landed volume, never above the session's.
-    session_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    state_parts = max(4, min(session_parts, -(-rows // ROWS_PER_STATE_PARTITION)))
-    stream = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", str(per_trigger)).parquet(landing)
-    values = ["data", "received_at", "request_id"]
-    q = run_latest_per_key(stream, ["key"], weather.ARRIVAL_ORDER, values,
-                           f"{root}/out", f"{root}/_checkpoint", state_partitions=state_parts)
+    r.repartitionByRange(LANDED_FILES, "received_at", "request_id").write.parquet(landing)
+    stream = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", str(FILES_PER_TRIGGER)).parquet(landing)
+    values = ["data"]
+    q = run_latest_per_key(stream, ["key"], weather.ARRIVAL_ORDER, values, f"{root}/out", f"{root}/_checkpoint",
+                           compact_every=COMPACT_EVERY)
     q.awaitTermination()
     latest = read_latest(spark, f"{root}/out", ["key"], weather.ARRIVAL_ORDER, values)
     return latest.select("key", "data", F.col("received_at").alias("last_update"), "request_id")
 
 
+def _seeded_status(spark: SparkSession, sf_dir: str, root: str) -> str:
+    state = standin(spark, sf_dir, "status").withColumn("key", F.col("key").cast("string"))
+    publish(spark, f"{root}/status", write_version(state, f"{root}/status"))
+    return f"{root}/status"
+
+
+def q_status_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The refresh as a stream over landed JSON files: out of arrival order,
+    and with the chunks of most responses spread over files and batches."""
+    root = work_path(spark, "stream_status")
+    status = _seeded_status(spark, sf_dir, root)
+    chunks = landed_chunks(spark, sf_dir)
+    chunks.repartition(LANDED_FILES, F.xxhash64("request_id", "seq")).write.option("timestampFormat", LANDED_TIME).json(f"{root}/landing")
+    stream = read_landed_stream(spark, f"{root}/landing", max_files_per_trigger=FILES_PER_TRIGGER)
+    run_status_refresh(spark, stream, status_locations(spark, sf_dir), status, f"{root}/log", f"{root}/audit",
+                       f"{root}/_checkpoint", give_up_after="1000 days").awaitTermination()
+    return weather.visible(read_current(spark, status))
+
+
+def _refresh_job(spark: SparkSession, sf_dir: str, **kind: bool) -> str:
+    """Landed JSON files through the batch job, which is run twice."""
+    root = work_path(spark, "refresh_job")
+    status = _seeded_status(spark, sf_dir, root)
+    landed_chunks(spark, sf_dir, **kind).write.option("timestampFormat", LANDED_TIME).json(f"{root}/landing")
+    for _ in range(2):
+        jobs.run_status_refresh(spark, status, read_landed(spark, f"{root}/landing"), status_locations(spark, sf_dir),
+                                f"{root}/log", f"{root}/audit", run_id="1")
+    return root
+
+
+def q_refresh_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the refresh could not apply: transport errors and broken bodies."""
+    audit = spark.read.parquet(f"{_refresh_job(spark, sf_dir, broken=True)}/audit")
+    return audit.select("event", "request_id", "location", F.col("received_at").cast("timestamp_ntz").alias("received_at"))
+
+
+def q_refresh_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of bodies that came in many lines: its records, and how many
+    lines it has (two for each)."""
+    path = f"{_refresh_job(spark, sf_dir, pretty=True)}/log"
+    lines = spark.read.text(path).count()
+    return read_response_log(spark, path).select(
+        "city", F.col("logged_at").cast("timestamp_ntz").alias("logged_at"), "body", F.lit(lines).cast("long").alias("log_lines"))
+
+
 def q_publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the updated tariff_data as a new version; publish it only if no
     row was lost; return the published version."""
@@ -363,8 +467,7 @@ def q_publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     cands = renewal.renewal_candidates(t, td, tv, with_rnum=False)
     new_tv = renewal.clear_date_from(tv, cands)
     root = work_path(spark, "tables", "tariff_data")
-    expected = tv.count()
-    ok, _ = publish_if(spark, new_tv, root, gate=lambda written: written.count() == expected)
+    ok, _ = publish_if(spark, new_tv, root, gate=lambda written: same_table(written, tv))
     if not ok:
         raise RuntimeError("publish gate rejected the new tariff_data version")
     return read_current(spark, root)
@@ -434,6 +537,17 @@ r AS (SELECT *, row_number() OVER (PARTITION BY city
 SELECT city, weather, temp_f, wind_gust_mph, relative_humidity, precip_1hr_in, heat_index_f,
        solarradiation, station_id, observed_at
 FROM r WHERE rn = 1""",
+    "status_refresh_stream": _REFRESH_CTES + """
+SELECT CAST(key AS VARCHAR) AS key, location, data, update_status, last_update FROM refreshed""",
+    "refresh_audit": with_standins("responses") + f"""
+SELECT CASE WHEN status IS NULL THEN 'transport_error' ELSE 'unparsable_body' END AS event,
+       request_id, 'L/' || key AS location, received_at
+FROM responses WHERE status IS NULL OR (status = 200 AND request_id % {BROKEN_EVERY} = 0)""",
+    "refresh_log": with_standins("responses") + """
+SELECT CAST(key AS VARCHAR) AS city, date_trunc('second', received_at) AS logged_at,
+       '{"current_observation": {"display_location": {"city": "' || key || '"},"weather": "' || data || '"}}' AS body,
+       2 * count(*) OVER () AS log_lines
+FROM responses WHERE status = 200""",
     "status_refresh": _REFRESH_CTES + """
 SELECT CAST(key AS VARCHAR) AS key, location, data, update_status, last_update FROM refreshed""",
     "status_refresh_listing": _REFRESH_CTES + """
@@ -460,6 +574,9 @@ WEATHER_QUERIES: dict[str, QueryFn] = {
     "latest_state_stream": q_latest_state_stream,
     "publish_gate": q_publish_gate,
     "status_refresh": q_status_refresh,
+    "status_refresh_stream": q_status_refresh_stream,
+    "refresh_audit": q_refresh_audit,
+    "refresh_log": q_refresh_log,
     "renewal_batches": q_renewal_batches,
     "conditions_latest": q_conditions_latest,
     "status_refresh_listing": q_status_refresh_listing,

@@ -106,19 +106,30 @@ def with_standins(*names: str) -> str:
 BODY_CHUNKS = 3
 
 
-def landed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Fixed values of the broken bodies: every so many-th request, cut before its city.
+BROKEN_EVERY, BROKEN_CHARS = 97, 30
+
+
+def landed_chunks(spark: SparkSession, sf_dir: str, pretty: bool = False, broken: bool = False) -> DataFrame:
     """Landed responses (one row per chunk) built from ``events``.
 
     Each response with status 200 carries a JSON body cut into
     ``BODY_CHUNKS`` pieces; other responses land as one NULL chunk.
+    ``pretty`` spreads the body over many lines, ``broken`` cuts some short.
     """
     from pyspark.sql import functions as F
 
     r = standin(spark, sf_dir, "responses")
+    key = F.col("key").cast("string")
     body = F.to_json(F.struct(F.struct(
-        F.struct(F.col("key").cast("string").alias("city")).alias("display_location"),
+        F.struct(key.alias("city")).alias("display_location"),
         F.col("data").alias("weather"),
     ).alias("current_observation")))
+    if pretty:
+        body = F.concat(F.lit('{\n  "current_observation": {\n    "display_location": {\r\n      "city": "'), key,
+                        F.lit('"\n    },\n    "weather": "'), F.col("data"), F.lit('"\n  }\n}\n'))
+    if broken:
+        body = F.when(F.col("request_id") % BROKEN_EVERY == 0, F.substring(body, 1, BROKEN_CHARS)).otherwise(body)
     with_body = r.select(
         "request_id",
         F.concat(F.lit("L/"), F.col("key").cast("string")).alias("location"),
@@ -134,7 +145,8 @@ def landed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exploded.select(
         "request_id", "location", "status", F.col("seq").cast("int").alias("seq"),
         F.expr("substring(body, 1 + seq * _w, _w)").alias("chunk"),
-        "received_at",
+        F.col("received_at").cast("timestamp").alias("received_at"),
+        F.size(seqs).alias("n_chunks"),
     )
 
 
@@ -155,13 +167,14 @@ def conditions_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events")
     v = F.col("value").cast("string")
     kind = F.col("event_type")
+    exponent = F.when(v.contains("E"), v).otherwise(F.concat(v, F.lit("e+0")))
     quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     fields = [
         ("station_id", quoted(F.col("event_id").cast("string"))),
         ("observation_epoch", quoted(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))),
         ("weather", quoted(kind)),
-        ("temp_f", v),
-        ("wind_gust_mph", F.when(kind == "click", quoted(v)).otherwise(v)),
+        ("temp_f", F.when(kind == "view", exponent).otherwise(v)),
+        ("wind_gust_mph", F.when(kind == "click", quoted(v)).when(kind == "view", quoted(exponent)).otherwise(exponent)),
         ("relative_humidity", quoted(F.concat((F.floor("value").cast("long") % 100).cast("string"), F.lit("%")))),
         ("precip_1hr_in", quoted(F.when(kind == "error", F.lit("-9999.00")).otherwise(v))),
         ("heat_index_f", F.when(F.col("value") < 50, F.lit('"NA"')).otherwise(v)),

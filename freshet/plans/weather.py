@@ -14,7 +14,11 @@ Semantics kept from the original poller, applied in arrival order
   location's key (via the ``location -> key`` mapping; the original looked
   it up with a loop variable that had already moved on, and with the
   location text rather than the city key, so it never hit a row);
-* transport error (no status): no state change, other locations go on.
+* transport error (no status): no state change, other locations go on;
+* 200 with a body that cannot be read: no state change.
+
+The last two go to the audit. The arrival order holds across batches: a
+response that is read late never overwrites a later one.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from freshet.operators.ordinal import global_row_number
 from freshet.operators.reassemble import reassemble
 from freshet.operators.status import HTTP_OK, applies, update_status
 from freshet.sources.response_log import read_response_log, write_response_log
+from freshet.sources.schemas import status_names
 
 ARRIVAL_ORDER = ("received_at", "request_id")
 
@@ -51,79 +56,120 @@ def request_paths(locations: DataFrame, api_key: Column) -> DataFrame:
 
 
 def response_bodies(responses: DataFrame) -> DataFrame:
-    """Chunks -> (request_id, location, status, received_at, body)."""
+    """Chunks -> (request_id, location, status, received_at, body). The chunks
+    of one response are one small group, so the text is shuffled once."""
     return reassemble(
         responses, ["request_id", "location", "status"], "seq", "chunk", out="body",
-        extra={"received_at": (F.max("received_at"), F.max)},
+        extra={"received_at": (F.max("received_at"), F.max)}, block=None,
     )
 
 
-def with_payload(bodies: DataFrame) -> DataFrame:
-    return bodies.withColumn("payload", parse_body(F.col("body")))
+def parsed_bodies(responses: DataFrame) -> DataFrame:
+    """Bodies with the two fields the refresh needs: city and weather. A body
+    that is no JSON object of the expected form leaves them NULL."""
+    co = F.col("_payload.current_observation")
+    parsed = response_bodies(responses).withColumn("_payload", parse_body(F.col("body")))
+    return parsed.withColumns({"city": co["display_location"]["city"], "weather": co["weather"]}).drop("_payload")
+
+
+def unparsable() -> Column:
+    """A 200 response whose body names no city: nothing to update or to log."""
+    return (F.col("status") == HTTP_OK) & F.col("city").isNull()
 
 
 def keyed_responses(parsed: DataFrame, locations: DataFrame) -> DataFrame:
-    """Responses that change state, with the status key each one targets."""
-    loc = locations.select(F.col("location").alias("_loc"), F.col("key").alias("_loc_key"))
-    j = parsed.join(loc, parsed["location"] == loc["_loc"], "left")
-    co = F.col("payload.current_observation")
-    key = F.when(F.col("status") == HTTP_OK, co["display_location"]["city"]).otherwise(F.col("_loc_key"))
-    return j.filter(applies(F.col("status"))).select(
-        key.alias("key"), "status", co["weather"].alias("data"), "received_at", "request_id",
-    )
+    """The last response per target, of those that change state, with the
+    status key it targets: successes target their body's city, failures the
+    polled location. Both are reduced first; only the last failure of each
+    location then meets the mapping."""
+    ok = F.col("status") == HTTP_OK
+    kept = parsed.filter(applies(F.col("status")) & ~F.coalesce(unparsable(), F.lit(False)))
+    carried = ["status", F.col("weather").alias("data"), *ARRIVAL_ORDER]
+    last = kept.groupBy(ok.alias("_ok"), F.when(ok, F.col("city")).otherwise(F.col("location")).alias("_target")).agg(
+        latest_value(carried, ARRIVAL_ORDER).alias("_r")).select("_ok", "_target", "_r.*")
+    rows = ["key", "status", "data", *ARRIVAL_ORDER]
+    loc = locations.select(F.col("location").alias("_target"), "key")
+    return last.filter("_ok").withColumnRenamed("_target", "key").select(*rows).unionByName(
+        last.filter("not _ok").join(loc, "_target").select(*rows))
 
 
 def reduce_updates(rows: DataFrame) -> DataFrame:
     """Per key: the outcome of the last response and the last successful one.
 
     ``rows``: key, status, data, received_at, request_id (status not NULL).
-    Output: key, set_status, update_status, set_ok, data, last_update.
+    Output: key, set_status, update_status, seen_at, seen_id, set_ok, data,
+    last_update, ok_at, ok_id.
     """
     agg = rows.groupBy("key").agg(
-        latest_value(["status"], ARRIVAL_ORDER).alias("_last"),
-        latest_value(["data", "received_at"], ARRIVAL_ORDER, where=F.col("status") == HTTP_OK).alias("_ok"),
+        latest_value(["status", *ARRIVAL_ORDER], ARRIVAL_ORDER).alias("_last"),
+        latest_value(["data", *ARRIVAL_ORDER], ARRIVAL_ORDER, where=F.col("status") == HTTP_OK).alias("_ok"),
     )
     return agg.select(
         "key",
         F.col("_last").isNotNull().alias("set_status"),
         update_status(F.col("_last.status")).alias("update_status"),
+        F.col("_last.received_at").alias("seen_at"), F.col("_last.request_id").alias("seen_id"),
         F.col("_ok").isNotNull().alias("set_ok"),
         F.col("_ok.data").alias("data"),
         F.col("_ok.received_at").alias("last_update"),
+        F.col("_ok.received_at").alias("ok_at"), F.col("_ok.request_id").alias("ok_id"),
     )
 
 
+# Arrival of the response that set update_status, and of the one that set data.
+ARRIVAL_COLUMNS = {"_seen_at": "timestamp", "_seen_id": "long", "_ok_at": "timestamp", "_ok_id": "long"}
+
+
+def with_arrival(status: DataFrame) -> DataFrame:
+    """``status`` with its arrival columns; NULL where it has none yet."""
+    return status.withColumns({c: F.lit(None).cast(t) for c, t in ARRIVAL_COLUMNS.items() if c not in status.columns})
+
+
+def visible(status: DataFrame) -> DataFrame:
+    """``status`` without its arrival columns."""
+    return status.drop(*ARRIVAL_COLUMNS)
+
+
 def refresh_status(status: DataFrame, updates: DataFrame) -> DataFrame:
-    """Keyed update without insert; location and unset columns are kept."""
-    return update_no_insert(status, updates, "key", {
-        "update_status": ("set_status", "update_status"),
-        "data": ("set_ok", "data"),
-        "last_update": ("set_ok", "last_update"),
+    """Keyed update without insert; columns not set, further columns, names and
+    types are kept. The arrival of what a row shows is kept beside it, and
+    only later arrivals are applied: it does not matter in which batches, or
+    how often, responses are read."""
+    names = status_names(status)
+    return update_no_insert(with_arrival(status), updates, names["key"], {
+        names["update_status"]: ("set_status", "update_status"),
+        names["data"]: ("set_ok", "data"),
+        names["last_update"]: ("set_ok", "last_update"),
+        "_seen_at": ("set_status", "seen_at"), "_seen_id": ("set_status", "seen_id"),
+        "_ok_at": ("set_ok", "ok_at"), "_ok_id": ("set_ok", "ok_id"),
+    }, {
+        "set_status": (["seen_at", "seen_id"], ["_seen_at", "_seen_id"]),
+        "set_ok": (["ok_at", "ok_id"], ["_ok_at", "_ok_id"]),
     })
 
 
-def transport_errors(bodies: DataFrame) -> DataFrame:
-    """Audit rows for requests that got no response."""
-    return bodies.filter(F.col("status").isNull()).select(
-        F.lit("transport_error").alias("event"), "request_id", "location", "received_at",
-    )
+def unapplied(parsed: DataFrame) -> DataFrame:
+    """Audit rows for responses that change nothing: requests that got no
+    response, and 200 responses with a body that cannot be read."""
+    event = F.when(F.col("status").isNull(), F.lit("transport_error")).when(unparsable(), F.lit("unparsable_body"))
+    return parsed.select(event.alias("event"), "request_id", "location", "received_at").filter("event is not null")
 
 
 def status_listing(status: DataFrame) -> DataFrame:
     """Ordinal, location, data, update status, last update; ordered by key."""
-    numbered = global_row_number(status, ["key"], out="ordinal")
+    names = status_names(status)
+    shown = status.select(*[F.col(c).alias(n) for n, c in names.items()])
+    numbered = global_row_number(shown, ["key"], out="ordinal")
     return numbered.select("ordinal", "location", "data", "update_status", "last_update").orderBy("ordinal")
 
 
 def append_log(parsed: DataFrame, path: str, mode: str = "append") -> None:
-    """Two-line records of every successful response."""
-    ok = parsed.filter(F.col("status") == HTTP_OK)
+    """Two-line records of every successful response. JSON text has line breaks
+    only between its tokens, so dropping them keeps the value."""
+    one_line = lambda c: F.regexp_replace(c, r"[\r\n]+[ \t]*", "")
     write_response_log(
-        ok, path,
-        city=F.col("payload.current_observation.display_location.city"),
-        at=F.col("received_at"),
-        body=F.col("body"),
-        mode=mode,
+        parsed.filter((F.col("status") == HTTP_OK) & F.col("city").isNotNull()), path,
+        city=one_line(F.col("city")), at=F.col("received_at"), body=one_line(F.col("body")), mode=mode,
     )
 
 
@@ -145,8 +191,13 @@ def latest_reading(conditions: DataFrame) -> DataFrame:
 def refresh(
     status: DataFrame, responses: DataFrame, locations: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Whole batch step: (new status, parsed bodies, transport-error audit)."""
-    bodies = response_bodies(responses)
-    parsed = with_payload(bodies)
+    """Whole batch step: (new status, parsed bodies, audit of the unapplied)."""
+    return refresh_parsed(status, parsed_bodies(responses), locations)
+
+
+def refresh_parsed(
+    status: DataFrame, parsed: DataFrame, locations: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The step after the bodies; three outputs read ``parsed``, so jobs stage it."""
     updates = reduce_updates(keyed_responses(parsed, locations))
-    return refresh_status(status, updates), parsed, transport_errors(bodies)
+    return refresh_status(status, updates), parsed, unapplied(parsed)

@@ -9,12 +9,16 @@ when that setting is missing (local tests) do we choose one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "freshet",
@@ -40,6 +44,8 @@ def build_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Streaming state of millions of keys does not fit the JVM heap.
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -51,16 +57,25 @@ def build_session(
     return spark
 
 
+def require_local(master: str) -> None:
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(
+            f"spark.checkpoint.dir is not set; with the master {master} it must name a folder all machines share"
+        )
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     ``spark.checkpoint.dir`` is a core setting that cannot change at runtime,
     so a missing folder is set on the SparkContext and read back from it.
+    Only a local master may do without it: on a cluster a folder of our own
+    choice would be another one on every machine.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        # Only reached in local runs where the cluster names no shared folder.
+        require_local(sc.master)
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="freshet-ckpt-"))
         base = sc.getCheckpointDir()
     elif not sc.getCheckpointDir():

@@ -2,7 +2,9 @@
 
 One row per received chunk; a response is the chunks of one ``request_id``
 in ``seq`` order. ``status`` is the HTTP status, NULL for a transport
-error (no response at all).
+error (no response at all). ``n_chunks`` is how many chunks the response
+has; a stream holds a response back until it has them all. NULL means the
+poller does not know, and the response counts as whole when it is read.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ RESPONSE_SCHEMA = T.StructType([
     T.StructField("seq", T.IntegerType()),
     T.StructField("chunk", T.StringType()),
     T.StructField("received_at", T.TimestampType()),
+    T.StructField("n_chunks", T.IntegerType()),
 ])
 
 LOCATION_SCHEMA = T.StructType([

@@ -62,4 +62,16 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False,
 
 
 def conform_status(df: DataFrame) -> DataFrame:
+    """The five declared columns for reading; never what gets published."""
     return conform(df, STATUS, aliases=STATUS_ALIASES)
+
+
+def status_names(df: DataFrame) -> dict[str, str]:
+    """Declared column -> the name ``df`` has for it."""
+    have = {c.lower(): c for c in df.columns}
+    spellings = {f.name: (f.name, *STATUS_ALIASES.get(f.name, ())) for f in STATUS.fields}
+    found = {n: next((have[s.lower()] for s in ss if s.lower() in have), None) for n, ss in spellings.items()}
+    missing = [n for n, c in found.items() if not c]
+    if missing:
+        raise ValueError(f"missing columns {missing}; have {df.columns}")
+    return found

@@ -7,21 +7,26 @@ batch id, so a retried batch overwrites its own output instead of
 appending a second copy (exactly-once results on an at-least-once engine).
 State lives in the checkpoint folder below ``spark.checkpoint.dir``.
 
-The original has no watermark, window or late-data rule: the last response
-to arrive wins whatever its observation time, so none is added here.
+The original has no watermark or window: the last response to arrive wins
+whatever its observation time. Arrival is ``received_at``, then
+``request_id``, in both streams and whatever batch a response is read in.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.jobs import refresh_and_publish
 from freshet.operators.latest import latest_by_key, latest_value
-from freshet.operators.snapshot import publish, read_current, write_version
+from freshet.operators.materialize import materialize
+from freshet.operators.snapshot import current_version, publish
 from freshet.plans import weather
-from freshet.sources import schemas
+from freshet.sources.landing import RESPONSE_SCHEMA
 
 
 def run_latest_per_key(
@@ -33,9 +38,14 @@ def run_latest_per_key(
     checkpoint: str,
     available_now: bool = True,
     state_partitions: int | None = None,
+    interval: str = "1 minute",
+    compact_every: int = 100,
 ):
     """Maintain the latest row per key; each batch writes the keys it changed.
 
+    Every ``compact_every`` batches the outputs so far are folded into one
+    snapshot, so a reader's work does not grow with the stream's age.
+
     Output mode ``update`` emits only keys touched in the batch, so a batch
     costs its own size plus state lookups, not a rewrite of all keys.
     ``state_partitions`` fixes the number of state store partitions, which a
@@ -46,16 +56,23 @@ def run_latest_per_key(
     agg = stream.groupBy(*keys).agg(latest_value(carried, ordering).alias("_latest"))
     flat = agg.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in carried])
 
+    spark = stream.sparkSession
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            compact(spark, out_dir, keys, ordering, values, batch_id)
 
     writer = (
         flat.writeStream.outputMode("update")
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return _start(writer, flat.sparkSession, state_partitions)
+    return _start(_triggered(writer, available_now, interval), spark, state_partitions)
+
+
+def _triggered(writer, available_now: bool, interval: str):
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
 
 
 def _start(writer, spark: SparkSession, state_partitions: int | None):
@@ -71,11 +88,48 @@ def _start(writer, spark: SparkSession, state_partitions: int | None):
         spark.conf.set(key, before)
 
 
+_BATCH = re.compile(r"batch_id=(\d+)")
+
+
+def _snapshot(spark: SparkSession, out_dir: str) -> tuple[str | None, int]:
+    """Path of the newest published snapshot and the last batch it holds."""
+    path = current_version(spark, f"{out_dir}_snapshots")
+    return (path, int(re.search(r"upto=(\d+)", path).group(1))) if path else (None, -1)
+
+
+def files_to_read(spark: SparkSession, out_dir: str) -> tuple[str | None, list[str]]:
+    """The newest snapshot and the files of the batches after it."""
+    path, upto = _snapshot(spark, out_dir)
+    files = spark.read.parquet(out_dir).inputFiles()
+    return path, [f for f in files if int(_BATCH.search(f).group(1)) > upto]
+
+
 def read_latest(spark: SparkSession, out_dir: str, keys: Sequence[str], ordering: Sequence[str],
                 values: Sequence[str]) -> DataFrame:
-    """Fold the per-batch outputs into the current latest row per key."""
+    """The current latest row per key: the newest snapshot and the batches
+    after it, folded."""
     carried = list(values) + [o for o in ordering if o not in values]
-    return latest_by_key(spark.read.parquet(out_dir), keys, ordering, carried)
+    path, files = files_to_read(spark, out_dir)
+    parts = [spark.read.parquet(*p).select(*keys, *carried) for p in ([path] if path else [], files) if p]
+    return latest_by_key(reduce(DataFrame.unionByName, parts), keys, ordering, carried)
+
+
+def compact(spark: SparkSession, out_dir: str, keys: Sequence[str], ordering: Sequence[str],
+            values: Sequence[str], batch_id: int) -> None:
+    """Publish a snapshot of all batches up to ``batch_id``. A repeated batch
+    publishes the same content again."""
+    if _snapshot(spark, out_dir)[1] >= batch_id:
+        return
+    path = f"{out_dir}_snapshots/upto={batch_id}"
+    read_latest(spark, out_dir, keys, ordering, values).write.mode("overwrite").parquet(path)
+    publish(spark, f"{out_dir}_snapshots", path)
+
+
+def _split_whole(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(chunks of whole responses, chunks of those still waiting for some)."""
+    n = chunks.groupBy("request_id").agg(F.count_distinct("seq").alias("have"), F.max("n_chunks").alias("want"))
+    waiting = n.filter("want is not null and have < want").select("request_id")
+    return chunks.join(waiting, "request_id", "left_anti"), chunks.join(waiting, "request_id", "left_semi")
 
 
 def run_status_refresh(
@@ -87,28 +141,37 @@ def run_status_refresh(
     audit_dir: str,
     checkpoint: str,
     available_now: bool = True,
+    interval: str = "1 minute",
+    give_up_after: str = "1 day",
 ):
     """Per micro-batch: keyed update of the current status snapshot, publish a
-    new version, append the batch's log records and transport-error audit.
-
-    A response's chunks are expected to land in the same file (one file per
-    poll); a batch then holds whole responses.
+    new version behind the gate, write the batch's log records and audit.
+
+    A response whose chunks land in several batches waits (in a folder beside
+    the checkpoint, one table per batch) until all ``n_chunks`` are there. One
+    that is ``give_up_after`` older than the newest response of a batch goes
+    to the audit instead, so nothing waits for ever. Every output is addressed
+    by the batch id and the status only takes later arrivals, so a repeated
+    batch changes nothing.
     """
+    pending = f"{checkpoint.rstrip('/')}_pending"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read by three writes below; the batch is bounded by the trigger
-        try:
-            status = schemas.conform_status(read_current(spark, status_root))
-            new_status, parsed, errors = weather.refresh(status, batch, locations)
-            path = write_version(new_status, status_root)
-            publish(spark, status_root, path)
-            weather.append_log(parsed, f"{log_dir}/batch_id={batch_id}", mode="overwrite")
-            errors.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-                f"{audit_dir}/batch_id={batch_id}"
-            )
-        finally:
-            batch.unpersist()
+        chunks = batch.select(*RESPONSE_SCHEMA.fieldNames())
+        if batch_id:
+            chunks = chunks.unionByName(spark.read.schema(RESPONSE_SCHEMA).parquet(f"{pending}/batch_id={batch_id - 1}"))
+        chunks = materialize(chunks, "chunks")
+        whole, waiting = _split_whole(chunks)
+        newest = chunks.agg(F.max("received_at").alias("t")).first()["t"]
+        old = F.col("received_at") < F.lit(newest).cast("timestamp") - F.expr(f"interval {give_up_after}")
+        aged = waiting.groupBy("request_id").agg(F.max("location").alias("location"), F.max("received_at").alias("received_at")).filter(old)
+        waiting.join(aged.select("request_id"), "request_id", "left_anti").select(*RESPONSE_SCHEMA.fieldNames()) \
+            .write.mode("overwrite").parquet(f"{pending}/batch_id={batch_id}")
+        lost = aged.select(F.lit("incomplete_response").alias("event"), "request_id", "location", "received_at")
+        parsed = materialize(weather.parsed_bodies(whole), "bodies")
+        res = refresh_and_publish(spark, status_root, parsed, locations, f"{log_dir}/batch_id={batch_id}", f"{audit_dir}/batch_id={batch_id}", lost)
+        if not res.published:
+            raise RuntimeError(f"the gate rejected the status of batch {batch_id}; the previous version stays")
 
     writer = responses.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    return _triggered(writer, available_now, interval).start()

@@ -52,14 +52,14 @@ def payload(city, full, state, lat, lon, weather, epoch, rfc822, temp_f, gust, h
 
 
 RIVERTON_1 = payload("Riverton", "Riverton, RV", "RV", "41.25000000", "-95.90000000", "Clear",
-                     1714806900, "Sat, 04 May 2024 07:15:00 -0500", 74.5, "2.5", "NA",
-                     "66%", "-9999.00", " 0", "", "--", "110 ft")
+                     1714806900, "Sat, 04 May 2024 07:15:00 -0500", 68.25, "2.5", "NA",
+                     "58%", "-9999.00", " 0", "", "--", "240 ft")
 HARBOR_1 = payload("Harbor City", "Harbor City", "", "1.30000000", "103.80000000", "Haze",
                    1714806960, "Sat, 04 May 2024 20:16:00 +0800", 88, 0, 99,
-                   "71%", "0.00", "--", "0.12", "0", "52 ft")
+                   "71%", "0.00", "--", "0.12", "0", "37 ft")
 RIVERTON_2 = payload("Riverton", "Riverton, RV", "RV", "41.25000000", "-95.90000000", "Mostly Cloudy",
                      1714807020, "Sat, 04 May 2024 07:17:00 -0500", 75, 0, "NA",
-                     "64%", "0.01", " 0", "0.01", "0", "110 ft")
+                     "64%", "0.01", " 0", "0.01", "0", "240 ft")
 
 
 def body(p):

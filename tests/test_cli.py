@@ -37,10 +37,20 @@ def test_refresh_and_listing_commands(spark, capsys):
     assert main(["refresh", "--status-root", f"{root}/status", "--locations", f"{root}/locations",
                  "--responses", f"{root}/landed", "--log", f"{root}/log", "--audit", f"{root}/audit"]) == 0
     _check_refreshed(read_current(spark, f"{root}/status").collect())
-    assert main(["listing", "--status-root", f"{root}/status"]) == 0
+    assert main(["listing", "--status-root", f"{root}/status", "--rows", "5"]) == 0
     assert "HC/Harbor_City" in capsys.readouterr().out
 
 
+def test_listing_writes_every_row(spark, capsys):
+    root = work_path(spark, "cli_listing")
+    status = spark.range(150).selectExpr("lpad(id, 3, '0') AS key", "'L' || id AS location", "CAST(NULL AS STRING) AS data",
+                                         "CAST(NULL AS STRING) AS updateStatus", "CAST(NULL AS TIMESTAMP) AS lastUpdate")
+    publish(spark, f"{root}/status", write_version(status, f"{root}/status"))
+    assert main(["listing", "--status-root", f"{root}/status", "--out", f"{root}/out"]) == 0
+    assert [r.location for r in spark.read.parquet(f"{root}/out").orderBy("ordinal").collect()] == [f"L{i}" for i in range(150)]
+    assert "L1" not in capsys.readouterr().out
+
+
 def test_seed_command(spark):
     from freshet.sources.landing import STATUS_SCHEMA
 

@@ -4,8 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from freshet import jobs
-from freshet.operators.snapshot import publish, read_current, write_version
+from freshet.operators.snapshot import current_version, publish, publish_all, read_current, write_version
+from freshet.plans import weather
 from freshet.session import work_path
 from tests.test_renewal_fixtures import tables  # noqa: F401  (fixture)
 from tests.test_weather_fixtures import _check_refreshed, _responses, _state
@@ -78,14 +81,85 @@ def test_status_with_camel_case_fields(spark):
     res = jobs.run_status_refresh(spark, f"{root}/status", _responses(spark), locations,
                                   f"{root}/log", f"{root}/audit")
     assert res.published
-    current = read_current(spark, f"{root}/status")
-    assert current.schema == schemas.STATUS
-    _check_refreshed(current.collect())
+    current = weather.visible(read_current(spark, f"{root}/status"))
+    assert current.columns == camel.columns  # written back under the names found
+    _check_refreshed(schemas.conform_status(current).collect())
 
 
-def test_newest_pointer_wins(spark):
-    from freshet.operators.snapshot import current_version
+def test_a_run_that_dies_publishes_nothing(spark, tables, monkeypatch):  # noqa: F811
+    t, td, tv, apply_res, approve_res = tables
+    root = work_path(spark, "jobs_renewal_dies")
+    run = lambda day: jobs.run_renewal(spark, root, t, td, tv, _constants(spark), apply_res, approve_res, ldate=F.lit(day))
+    run(dt.date(2024, 12, 31))
+    names = ("tariff", "tariff_data", "v_local_constants", "candidates", "audit")
+    before = [current_version(spark, f"{root}/{n}") for n in names]
+    written = []
+
+    def dies(df, path):
+        if len(written) == 3:
+            raise RuntimeError("lost driver")
+        written.append(path)
+        return write_version(df, path)
+
+    monkeypatch.setattr(jobs, "write_version", dies)
+    with pytest.raises(RuntimeError, match="lost driver"):
+        run(dt.date(2030, 1, 1))
+    assert [current_version(spark, f"{root}/{n}") for n in names] == before and all(before)
+
+
+def test_published_tables_keep_unknown_columns(spark, tables):  # noqa: F811
+    t, td, tv, apply_res, approve_res = tables
+    root = work_path(spark, "jobs_renewal_wide")
+    wide_t = t.withColumn("owner", F.lit("x")).withColumn("id", F.col("id").cast("int"))
+    wide_v = tv.withColumn("rate", F.lit(2.5))
+    res = jobs.run_renewal(spark, root, wide_t, td, wide_v, _constants(spark), apply_res, approve_res, ldate=F.lit(dt.date(2024, 12, 31)))
+    assert res.published
+    assert read_current(spark, f"{root}/tariff").dtypes == wide_t.dtypes
+    assert read_current(spark, f"{root}/tariff_data").dtypes == wide_v.dtypes
+
+
+def test_late_batches_do_not_overwrite_newer_ones(spark):
+    status, locations = _state(spark)
+    status = status.withColumn("note", F.lit("kept"))
+    root = work_path(spark, "jobs_status_late")
+    publish(spark, f"{root}/status", write_version(status, f"{root}/status"))
+    late = _responses(spark).withColumn("received_at", F.col("received_at") - F.expr("interval 1 hour")) \
+        .withColumn("status", F.when(F.col("status") == 200, 500).otherwise(F.col("status")))
+    for responses in (_responses(spark), late, _responses(spark)):
+        assert jobs.run_status_refresh(spark, f"{root}/status", responses, locations, f"{root}/log", f"{root}/audit").published
+        _check_refreshed(read_current(spark, f"{root}/status").collect())
+    assert {r.note for r in read_current(spark, f"{root}/status").collect()} == {"kept"}
+
 
+def test_a_repeated_run_replaces_its_log_and_audit(spark):
+    status, locations = _state(spark)
+    root = work_path(spark, "jobs_status_again")
+    publish(spark, f"{root}/status", write_version(status, f"{root}/status"))
+    for _ in range(2):
+        jobs.run_status_refresh(spark, f"{root}/status", _responses(spark), locations, f"{root}/log", f"{root}/audit", run_id="a")
+    assert spark.read.parquet(f"{root}/audit").count() == 1 and spark.read.text(f"{root}/log").count() == 8
+
+
+def test_a_writer_notices_another_one(spark):
+    root = work_path(spark, "two_writers")
+    publish(spark, root, write_version(spark.range(1), root))
+    base = current_version(spark, root)
+    publish(spark, root, write_version(spark.range(2), root))
+    with pytest.raises(RuntimeError, match="changed meanwhile"):
+        publish(spark, root, write_version(spark.range(3), root), base=base, check_base=True)
+    assert read_current(spark, root).count() == 2
+
+
+def test_manifests_of_a_run_and_of_one_table(spark):
+    root = work_path(spark, "manifests")
+    publish_all(spark, root, {"a": write_version(spark.range(1), f"{root}/a"), "b": write_version(spark.range(2), f"{root}/b")})
+    publish(spark, f"{root}/a", write_version(spark.range(5), f"{root}/a"))
+    publish_all(spark, root, {"b": write_version(spark.range(6), f"{root}/b")})
+    assert [read_current(spark, f"{root}/{n}").count() for n in "ab"] == [5, 6]
+    assert current_version(spark, f"{root}/c") is None
+
+
+def test_newest_pointer_wins(spark):
     root = work_path(spark, "pointers")
     assert current_version(spark, root) is None
     paths = []
