@@ -24,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import fold, table
+from freshet.llm.common import fold, map_texts, table
 
 DIMS = 1024
 SEED = 20_16
@@ -186,20 +187,14 @@ def _judge(texts: list[str | None], binder: Binder, langs: list[str], unit: np.n
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dims: int = DIMS, seed: int = SEED) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` appended (earlier columns of
     these names are replaced); reads the column ``text`` alone."""
-    keep = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    names = [f.name for f in keep]
     langs = list(prototypes)
     unit = np.stack([v / np.linalg.norm(v) for v in prototypes.values()]) if langs else np.empty((0, dims))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def factory():
         binder = Binder(dims, seed)
-        for pdf in batches:
-            texts = [t if isinstance(t, str) else None for t in pdf["__text"]]
-            found, score = _judge(texts, binder, langs, unit)
-            yield pdf.drop(columns="__text").assign(lang_pred=found, score=score)
+        return lambda texts: _judge(texts, binder, langs, unit)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), "lang_pred string", "score double"])
-    return docs.select(*[F.col(f"`{n}`") for n in names], F.col("text").alias("__text")).mapInPandas(run, schema)
+    return map_texts(docs, factory, {"lang_pred": ("string", pa.string()), "score": ("double", pa.float64())})
 
 
 def prototypes_of(docs: DataFrame) -> dict[str, np.ndarray]:

@@ -34,11 +34,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import fold, table
+from freshet.llm.common import fold, map_texts, table
 from freshet.operators.materialize import materialize
 
 FOLDS, HELD_OUT = 3, 1
@@ -97,16 +97,12 @@ WIDTH = 6 + _CLASSES + 9 + len(_MARKS) + 3
 
 def with_features(docs: DataFrame) -> DataFrame:
     """``docs`` without text but with ``x``, the features."""
-    keep = [f for f in docs.schema.fields if f.name not in ("text", "x")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def factory():
         kind = _char_table()
-        for pdf in batches:
-            x = [features(t if isinstance(t, str) else None, kind) for t in pdf["text"]]
-            yield pdf.drop(columns="text").assign(x=x)
+        return lambda texts: ([features(t, kind) for t in texts],)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), "x array<float>"])
-    return docs.select(*[F.col(f"`{f.name}`") for f in keep], "text").mapInPandas(run, schema)
+    return map_texts(docs, factory, {"x": ("array<float>", pa.list_(pa.float32()))}, drop=("text",))
 
 
 @dataclass
@@ -202,13 +198,14 @@ def score(rows: DataFrame, model: Model | None) -> DataFrame:
     """``rows`` with x replaced by ``score``."""
     keep = [f for f in rows.schema.fields if f.name not in ("x", "score")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            s = model.score(np.stack(pdf["x"].tolist()).astype(np.float64)) if model and len(pdf) else np.full(len(pdf), 0.5)
-            yield pdf.drop(columns="x").assign(score=s)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.asarray(b.column(b.num_columns - 1).flatten(), np.float64).reshape(-1, WIDTH)
+            made = model.score(x) if model else np.full(len(x), 0.5)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(made)], names=[*(f.name for f in keep), "score"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), "score double"])
-    return rows.select(*[F.col(f"`{f.name}`") for f in keep], "x").mapInPandas(run, schema)
+    return rows.select(*[F.col(f"`{f.name}`") for f in keep], "x").mapInArrow(run, schema)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

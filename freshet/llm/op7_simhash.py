@@ -38,11 +38,12 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import popcount, table
+from freshet.llm.common import map_texts, popcount, table
 from freshet.llm.components import component_labels
 from freshet.operators.materialize import materialize
 
@@ -77,18 +78,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprint(docs: DataFrame, column: str = "fp", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` without its text column(s) of the same name but with ``fp``,
-    the fingerprint as a signed long. Reads the column ``text``."""
-    keep = [f for f in docs.schema.fields if f.name != column]
-    names = [f.name for f in keep]
+    """``docs`` with ``column``, the fingerprint of ``text`` as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fps = [fingerprint(t if isinstance(t, str) else None, shingle) for t in pdf["__text"]]
-            yield pdf.drop(columns="__text").assign(**{column: np.array(fps, np.uint64).view(np.int64)})
+    def make(texts: list) -> tuple:
+        return (np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64),)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"`{column}` long"])
-    return docs.select(*[F.col(f"`{n}`") for n in names], F.col("text").alias("__text")).mapInPandas(run, schema)
+    return map_texts(docs, lambda: make, {column: ("long", pa.int64())})
 
 
 def masks(max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> list[int]:

@@ -39,6 +39,7 @@ from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -266,21 +267,23 @@ def _matches(words: np.ndarray, index: Index) -> list[tuple]:
 def _filtered(docs: DataFrame, index: Index) -> DataFrame:
     """The rows of ``docs`` in which no passage of the block is found."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf[[not _matches(w, index) for w in _words(pdf["text"], index.ids)]]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            clean = [not _matches(w, index) for w in _words(b.column("text").to_pylist(), index.ids)]
+            yield b.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _found(docs: DataFrame, index: Index) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            hits = [(d, *m) for d, w in zip(pdf["doc_id"], _words(pdf["text"], index.ids)) for m in _matches(w, index)]
-            out = pd.DataFrame(hits, columns=["doc_id", "item_id", "cosine", "lcs", "first_word", "end_word"])
-            yield out.astype({"doc_id": "Int64", "item_id": "Int64", "cosine": float, "lcs": float, "first_word": "int64", "end_word": "int64"})
+    types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hits = [(d, *m) for d, w in zip(b.column("doc_id").to_pylist(), _words(b.column("text").to_pylist(), index.ids)) for m in _matches(w, index)]
+            yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in hits], t) for i, t in enumerate(types)], names=_SCHEMA.replace(",", "").split()[::2])
 
-    return docs.select("doc_id", "text").mapInPandas(run, _SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
 
 
 _SCHEMA = "doc_id long, item_id long, cosine double, lcs double, first_word long, end_word long"
