@@ -144,10 +144,11 @@ def check_status(sf_dir, scratch, log_dir):
                                .otherwise(F.col("chunk"))) \
                    .withColumn("location", F.when(hot, F.lit("L/0")).otherwise(F.col("location")))
     path = os.path.join(scratch, "chunks")
+    chunks = chunks.withColumn("received_at", F.col("received_at").cast("timestamp_ntz"))  # as the status has it
     chunks.repartition(8).write.parquet(path)
     state = standin(spark, sf_dir, "status").withColumn("key", F.col("key").cast("string"))
     new, _, _ = weather.refresh(state, spark.read.parquet(path), status_locations(spark, sf_dir))
-    got = sorted(tuple(r) for r in new.collect())
+    got = sorted(tuple(r) for r in weather.visible(new).collect())
     state.write.parquet(os.path.join(scratch, "state"))
     status_locations(spark, sf_dir).write.parquet(os.path.join(scratch, "locations"))
     spark.stop()
