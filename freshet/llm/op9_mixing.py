@@ -119,11 +119,12 @@ def mix(rows: DataFrame) -> DataFrame:
         F.max(F.struct(up.alias("room"), "rank")).alias("up"), F.max(F.struct(down.alias("room"), "rank")).alias("down"),
     )
     off = F.round("target").cast("long") - F.col("words")
-    fixes = goals.join(sums, "no").select(
+    # Written, so its size is known: broadcast if small, else a join that splits hot sources.
+    fixes = materialize(goals.join(sums, "no").select(
         "no", "source", "source_size", "target",
         F.when(off > 0, F.col("up.rank")).otherwise(F.col("down.rank")).alias("fix_rank"),
         F.when(off > 0, F.least(off, F.col("up.room"))).otherwise(F.greatest(off, -F.col("down.room"))).alias("fix"),
-    )
+    ), "fixes")
     taken = F.col("copies") * F.col("size") + F.when(F.col("rank") == F.col("fix_rank"), F.col("fix")).otherwise(0)
     return placed.join(fixes, "no").select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
 
