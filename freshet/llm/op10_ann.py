@@ -39,10 +39,11 @@ from freshet.operators.materialize import materialize
 
 NEAREST = 20
 QUERY_EVERY = 20
-SHARD = 16_384
+SHARD = 8_192
 QUERY_BLOCK = 4_096
 DEGREE, ALPHA = 32, 1.2
 BUILD_BEAM, BEAM = 64, 192
+TASKS_PER_GROUP = 2  # fewer groups meet in a task by their hash
 _BATCH = 256  # rows that search together
 _WIDTH = 4  # nodes a search expands at once
 
@@ -170,8 +171,10 @@ def build_index(spark: SparkSession, vectors: DataFrame, shard_rows: int = SHARD
     """The written index: (shard, vec_id, v, at, near, start) for every row of
     ``vectors`` (vec_id, v); at is the row's place in its shard, near the
     places its edges lead to. A shard holds vectors of one length."""
-    shards = F.lit(max(1, -(-vectors.count() // shard_rows)))
-    keyed = vectors.withColumn("dims", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), shards).cast("int"))
+    shards = max(1, -(-vectors.count() // shard_rows))
+    keyed = vectors.withColumn("dims", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    # A shard is small but takes long: a task for each, not merged by size.
+    keyed = keyed.repartitionByRange(shards, "shard", "dims")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id", kind="stable")
@@ -217,7 +220,9 @@ def _search_block(index: pd.DataFrame, queries: pd.DataFrame, nearest: int, beam
 def search(spark: SparkSession, index: DataFrame, queries: DataFrame, nearest: int = NEAREST, beam: int = BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score) for every row of ``queries`` (query_id,
     v), which go to every shard in blocks."""
-    blocks = F.lit(max(1, -(-queries.count() // QUERY_BLOCK)))
+    n_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    tasks = TASKS_PER_GROUP * n_blocks * ((index.agg(F.max("shard")).first()[0] or 0) + 1)
+    blocks = F.lit(n_blocks)
     shards = index.select(F.col("shard").alias("s"), F.col("dims").alias("d")).distinct()
     asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), blocks).cast("int"))
     # A shard meets each block of the stated query set; pairs are (shard, block).
@@ -228,7 +233,7 @@ def search(spark: SparkSession, index: DataFrame, queries: DataFrame, nearest: i
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _search_block(left, right, nearest, beam)
 
-    hits = held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(run, _HITS)
+    hits = held.repartition(tasks, *keys).groupBy(*keys).cogroup(asked.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(run, _HITS)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
 

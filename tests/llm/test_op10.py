@@ -31,7 +31,7 @@ def check(rows, want, least):
         assert all(np.isclose(s, true[v], rtol=1e-12, atol=1e-15) for v, s in found if v in true)
 
 
-@pytest.mark.parametrize("shard", [16_384, 150])
+@pytest.mark.parametrize("shard", [8_192, 150])
 def test_given_embeddings(spark, monkeypatch, shard):
     monkeypatch.setattr(op, "SHARD", shard)
     monkeypatch.setattr(op, "QUERY_BLOCK", 16)
