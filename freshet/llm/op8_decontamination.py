@@ -49,7 +49,7 @@ PASSAGE = 64
 SHORTEST = 8  # a tail of fewer words joins the passage before it
 BLOCK = 512
 WINDOW = 32
-RANK, OVERSAMPLE, ITERATIONS = 256, 10, 2
+RANK, OVERSAMPLE, ITERATIONS = 384, 10, 2
 STOP_SHARE = 0.01  # terms in more than this share of the tiles are left out of the vectors
 MIN_COSINE = 0.2
 MIN_LCS = 0.7

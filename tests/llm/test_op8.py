@@ -51,6 +51,16 @@ def test_blocks_of_the_benchmark_give_the_same(spark, world, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
 
 
+def test_a_block_of_more_passages_than_the_rank(spark):
+    """A truncated latent space still proposes every planted item."""
+    rng = random.Random(11)
+    items = [prose(rng, 40) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(prose(rng, 50) + item + prose(rng, 50))) for i, item in enumerate(items)], "doc_id long, text string")
+    (block,) = op._blocks(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string"))
+    index = op.build_index(spark, docs.select("text"), block, rank=45)  # as 384 of 512
+    assert {(r["doc_id"], r["item_id"]) for r in op._found(docs, index).collect()} == {(i, i) for i in range(60)}
+
+
 def test_verbatim_items_of_given_documents(spark):
     sf = "/root/testdata/sf0.01"
     texts = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
