@@ -43,7 +43,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 LIMIT = 2  # a document's words are taken at most so many times
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET = 64  # sizes that share a bucket
+BUCKET = 16  # sizes that share a bucket
 SALTS = 64
 TOLERANCE = 1e-10
 MAX_ITERATIONS = 60
