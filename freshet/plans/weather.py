@@ -87,10 +87,11 @@ def keyed_responses(parsed: DataFrame, locations: DataFrame) -> DataFrame:
     carried = ["status", F.col("weather").alias("data"), *ARRIVAL_ORDER]
     last = kept.groupBy(ok.alias("_ok"), F.when(ok, F.col("city")).otherwise(F.col("location")).alias("_target")).agg(
         latest_value(carried, ARRIVAL_ORDER).alias("_r")).select("_ok", "_target", "_r.*")
-    rows = ["key", "status", "data", *ARRIVAL_ORDER]
-    loc = locations.select(F.col("location").alias("_target"), "key")
-    return last.filter("_ok").withColumnRenamed("_target", "key").select(*rows).unionByName(
-        last.filter("not _ok").join(loc, "_target").select(*rows))
+    loc = locations.select(F.col("location").alias("_location"), F.col("key").alias("_key"))
+    polled = F.when(~F.col("_ok"), F.col("_target"))  # NULL, so unmatched, for successes
+    j = last.join(loc, polled == F.col("_location"), "left")
+    key = F.when(F.col("_ok"), F.col("_target")).otherwise(F.col("_key"))
+    return j.select(key.alias("key"), "status", "data", *ARRIVAL_ORDER).filter("key is not null")
 
 
 def reduce_updates(rows: DataFrame) -> DataFrame:
