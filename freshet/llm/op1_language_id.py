@@ -184,9 +184,10 @@ def _judge(texts: list[str | None], binder: Binder, langs: list[str], unit: np.n
     return names, scores
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dims: int = DIMS, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` appended (earlier columns of
-    these names are replaced); reads the column ``text`` alone."""
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dims: int = DIMS, seed: int = SEED,
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with language and score appended under ``names`` (earlier columns
+    of these names are replaced); reads the column ``text`` alone."""
     langs = list(prototypes)
     unit = np.stack([v / np.linalg.norm(v) for v in prototypes.values()]) if langs else np.empty((0, dims))
 
@@ -194,7 +195,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], dims: int = DIMS
         binder = Binder(dims, seed)
         return lambda texts: _judge(texts, binder, langs, unit)
 
-    return map_texts(docs, factory, {"lang_pred": ("string", pa.string()), "score": ("double", pa.float64())})
+    return map_texts(docs, factory, dict(zip(names, [("string", pa.string()), ("double", pa.float64())])))
 
 
 def prototypes_of(docs: DataFrame) -> dict[str, np.ndarray]:
@@ -215,7 +216,8 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     learned = prototypes_of(docs)
     if not learned:  # nothing to compare with: only the presence of a letter counts
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return predict(docs, learned).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    found = predict(docs, learned, names=("__lang", "__score"))
+    return found.where(F.col("__lang") != UNKNOWN).select(*docs.columns)
 
 
 QUERIES = {"op1_language_id": op1_language_id}
