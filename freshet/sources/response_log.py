@@ -58,7 +58,7 @@ def read_response_log(spark: SparkSession, path: str) -> DataFrame:
         raw.filter(F.length(F.trim(v)) > 0)
         .select(header.alias("header"), rest.alias("rest"))
         .select(
-            F.regexp_extract(h, HEADER_PATTERN, 1).alias("city"),
+            F.nullif(F.regexp_extract(h, HEADER_PATTERN, 1), F.lit("")).alias("city"),
             F.try_to_timestamp(F.regexp_extract(h, HEADER_PATTERN, 2),
                                F.lit(HEADER_PARSE_FORMAT)).alias("logged_at"),
             body.alias("body"),

@@ -219,3 +219,10 @@ def test_header_text_format(spark):
                                "city string, at timestamp, b string")
     text = df.select(record_text(F.col("city"), F.col("at"), F.col("b")).alias("t")).first().t
     assert text == "Successfully get new data for Riverton on Mon Aug 29 2016 01:58:43 GMT+0000\n{}"
+
+
+def test_a_bad_header_leaves_nulls(spark):
+    text = log_text([("Riverton", "Sat May 04 2024 19:15:10 GMT+0700", RIVERTON_1)])
+    path = _local_file(spark, "bad", text + "Successfully get new data for nowhere in time\n{}\n")
+    recs = {r.body: (r.city, r.logged_at is None) for r in read_response_log(spark, path).collect()}
+    assert recs["{}"] == (None, True) and recs[body(RIVERTON_1)] == ("Riverton", False)
