@@ -69,8 +69,8 @@ CHROME_WORDS = {
 }
 MAIN = ("article", "main")
 
-_TAG = re.compile(r"<(?:!--(?P<c>.*?)(?:-->|\Z)|[!?][^>]*>|/(?![a-zA-Z])[^>]*>|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>)", re.S)
-_CUT = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")  # a tag the page ends in
+_TAG = re.compile(r"<(?:!--(?P<c>.*?)(?:-->|\Z)|[!?][^>]*>|/(?![a-zA-Z])[^>]*>|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]{0,65536}\"|'[^']{0,65536}')*+|[^>]*)>)", re.S)
+_CUT = re.compile(r"<[a-zA-Z/!?].*", re.S)  # a tag or comment the page ends in
 _ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
 
@@ -102,8 +102,9 @@ def parse(html: str) -> Node:
             if stack[i].tag in scopes:
                 return
 
+    last = html.rfind(">")  # no tag or comment is closed after it
     while at < len(html):
-        m = _TAG.search(html, at)
+        m = _TAG.search(html, at) if at <= last else None
         if m is None:
             stack[-1].kids.append(_CUT.sub("", html[at:]))
             break

@@ -35,6 +35,7 @@ def test_given_pages(spark):
     ("<table><tr><td>a<td>b<tr><td>c</table><script>never closed <p>x", "a\nb\nc"),
     ("<?xml version='1'?><!DOCTYPE html><P>Up</P></b></div>after</><div", "Up\nafter"),
     ("<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>end", "deep\nend"),
+    ("<p>x</p>" + "<a " * 200_000, "x"), ("<p>x</p>" + "<a b=\"" * 2_000 + ">y", "x\ny"), ("a<!-- never closed <p>b", "a"),
     ("<article>" + "<p>w</p>" * 30_000 + "</article>", "\n".join(["w"] * 30_000)),
 ])
 def test_odd_pages(html, want):
