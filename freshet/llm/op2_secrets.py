@@ -55,7 +55,7 @@ RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", 20, 0, ("akia",)),
     Rule("hex", 1, r"[0-9a-f]{24,}", 24),
     Rule("private_key", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 0, ("private key-----",)),
-    Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 1, 0, ("eyj",)),
+    Rule("web_token", 1, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 1, 0, ("eyj",)),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}", 1, 0, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
 )
 BASE = ("assign", "access", "hex")

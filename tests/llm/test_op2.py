@@ -51,6 +51,12 @@ def test_edge_cases(spark, tmp_path):
     assert [r["spans"] for r in rows if r["doc_id"] == 9] == ["private_key:0:31"]
 
 
+def test_runs_of_token_starts_take_time_in_proportion():
+    scan = op.scanner(op.RULES)
+    assert scan("eyJ" * 300_000, set()) == []
+    assert [s[0] for s in scan("x eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl y", set())] == ["web_token"]
+
+
 def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
     ledger = f"{tmp_path}/ledger"
     first = spark.createDataFrame([(1, f"token={KEY}"), (2, f"token={KEY}"), (3, "clean")], "doc_id long, text string")
