@@ -21,8 +21,8 @@
    passage's words, and ``MIN_ANSWER`` of the words of its last quarter (where
    an item states its answer) are in that subsequence's neighbourhood.
 
-Words are runs of letters and digits without case, so changed punctuation,
-inserted and changed words do not hide a passage.
+Words are compared without case and ASCII marks, so changed punctuation, inserted
+and changed words do not hide a passage.
 
 Defined cases: null, empty and blank texts match nothing; a null or empty item
 matches nothing; an item that repeats another's text reports under each id;
@@ -32,7 +32,6 @@ or an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice, repeat
@@ -54,25 +53,25 @@ STOP_SHARE = 0.01  # terms in more than this share of the tiles are left out of
 MIN_COSINE = 0.2
 MIN_LCS = 0.7
 MIN_ANSWER = 0.5
-_WORD = re.compile(r"\w+")
+_PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def words_of(text: str | None) -> list[str]:
-    """Runs of letters, digits and underscores, lower-cased."""
-    return _WORD.findall(text.lower()) if text else []
+def words_of(text: str | None) -> list[bytes]:
+    """Lower-cased words as UTF-8; white space and ASCII marks separate them."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN).split() if text else []
 
 
 @dataclass
 class Passage:
     item_id: int | None
-    words: list[str]
+    words: list[bytes]
 
 
 @dataclass
 class Index:
     """What a task needs to search for one block."""
 
-    ids: dict[str, int]
+    ids: dict[bytes, int]
     idf: np.ndarray  # 0 for stop terms
     unknown: float  # squared weight of a word outside the vocabulary
     inner: np.ndarray  # terms x passages, float32: cosine parts without the window's length
@@ -96,14 +95,14 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[Passage]]:
         yield block
 
 
-def _words(texts: Iterable, ids: dict[str, int]) -> Iterator[np.ndarray]:
+def _words(texts: Iterable, ids: dict[bytes, int]) -> Iterator[np.ndarray]:
     """Term ids of each text's words, -1 for words no benchmark passage has."""
     for t in texts:
         words = words_of(t if isinstance(t, str) else None)
         yield np.fromiter(map(ids.get, words, repeat(-1)), np.int32, len(words))
 
 
-def _document_frequency(texts: DataFrame, ids: dict[str, int]) -> tuple[np.ndarray, int]:
+def _document_frequency(texts: DataFrame, ids: dict[bytes, int]) -> tuple[np.ndarray, int]:
     """In how many tiles each term is, and the number of tiles."""
     n = len(ids)
 
@@ -169,7 +168,7 @@ def latent_basis(spark: SparkSession, rows: list[np.ndarray], idf: np.ndarray, r
 
 
 def build_index(spark: SparkSession, texts: DataFrame, block: list[Passage], rank: int = RANK) -> Index:
-    ids: dict[str, int] = {}
+    ids: dict[bytes, int] = {}
     rows = [np.array([ids.setdefault(w, len(ids)) for w in p.words], np.int64) for p in block]
     df, tiles = _document_frequency(texts, ids)
     idf = np.log((tiles + 1) / (df + 1)) + 1e-3
