@@ -49,6 +49,7 @@ SHORTEST = 8  # a tail of fewer words joins the passage before it
 BLOCK = 512
 WINDOW = 32
 RANK, OVERSAMPLE, ITERATIONS = 384, 10, 2
+TERM_GROUPS = 64  # in which the tasks' shares of the basis are added up
 STOP_SHARE = 0.01  # terms in more than this share of the tiles are left out of the vectors
 MIN_COSINE = 0.2
 MIN_LCS = 0.7
@@ -151,10 +152,13 @@ def latent_basis(spark: SparkSession, rows: list[np.ndarray], idf: np.ndarray, r
             yield pd.DataFrame({"term": at, "v": list(total[at])})
 
         def combine(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"term": pdf["term"].iloc[:1], "v": [np.sum(np.stack(pdf["v"].tolist()), axis=0)]})
+            pdf = pdf.sort_values("term", kind="stable")
+            term, first = np.unique(pdf["term"].to_numpy(), return_index=True)
+            return pd.DataFrame({"term": term, "v": list(np.add.reduceat(np.stack(pdf["v"].tolist()), first, axis=0))})
 
         out = np.zeros((n, basis.shape[1]))
-        parts = data.mapInPandas(run, "term int, v array<double>").groupBy("term").applyInPandas(combine, "term int, v array<double>")
+        schema = "term int, v array<double>"
+        parts = data.mapInPandas(run, schema).groupBy(F.col("term") % TERM_GROUPS).applyInPandas(combine, schema)
         for r in parts.toLocalIterator():
             out[r["term"]] = r["v"]
         return out
