@@ -1,7 +1,9 @@
 """Approximate nearest neighbours with a robust-pruned directed graph.
 
 Vectors are dealt by a hash of their id to shards of about ``SHARD`` rows; every
-row is indexed. A shard's graph is built in one task, in batches: greedy searches
+row is indexed. Equal vectors of a shard are one node that lists their ids in
+order: as nodes of their own they would prune each other's edges. A shard's graph
+is built in one task, in batches: greedy searches
 from the medoid propose neighbours for each row, robust pruning keeps the nearest
 and drops those that a kept one is closer to by the factor ``ALPHA``; kept edges
 are added backwards and overfull nodes are pruned again. Edges are therefore
@@ -13,9 +15,10 @@ norm, so the order by distance to a query (whose extra component is 0) is the
 order by inner product.
 
 Queries are a stated set of rows against all rows: they go to every shard, in
-blocks of ``QUERY_BLOCK``; a beam search of width ``BEAM`` gives each shard's best,
-rescored in double precision on the original vectors, and a last step ranks the
-shards' candidates. A task holds one shard and one block.
+blocks of ``QUERY_BLOCK``; a beam search of width ``BEAM`` gives each shard's best
+nodes, rescored in double precision on the original vectors and expanded by their
+smallest ids, as many as can be asked for; a last step ranks the shards'
+candidates. A task holds one shard and one block.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null id, take no part; vectors of another length
@@ -168,9 +171,10 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam:
 
 
 def build_index(spark: SparkSession, vectors: DataFrame, shard_rows: int = SHARD) -> DataFrame:
-    """The written index: (shard, vec_id, v, at, near, start) for every row of
-    ``vectors`` (vec_id, v); at is the row's place in its shard, near the
-    places its edges lead to. A shard holds vectors of one length."""
+    """The written index: (shard, vec_ids, v, at, near, start) for every distinct
+    vector of a shard of ``vectors`` (vec_id, v); vec_ids are its rows' ids in
+    order, at is its place in the shard, near the places its edges lead to. A
+    shard holds vectors of one length."""
     shards = max(1, -(-vectors.count() // shard_rows))
     keyed = vectors.withColumn("dims", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     # A shard is small but takes long: a task for each, not merged by size.
@@ -178,10 +182,15 @@ def build_index(spark: SparkSession, vectors: DataFrame, shard_rows: int = SHARD
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id", kind="stable")
-        graph, start = build_graph(np.stack(pdf["v"].tolist()).astype(np.float64))
-        return pdf.assign(at=np.arange(len(pdf)), near=[g[g >= 0] for g in graph], start=start)
-
-    schema = "vec_id long, v array<double>, dims int, shard int, at int, near array<int>, start int"
+        x = np.stack(pdf["v"].tolist()).astype(np.float64)
+        _, first, of, many = np.unique(x, axis=0, return_index=True, return_inverse=True, return_counts=True)
+        vec_ids = np.split(pdf["vec_id"].to_numpy()[np.argsort(of, kind="stable")], np.cumsum(many)[:-1])
+        order = np.argsort(first)
+        graph, start = build_graph(x[first[order]])
+        nodes = pdf.iloc[first[order]][["v", "dims", "shard"]]
+        return nodes.assign(vec_ids=[vec_ids[i] for i in order], at=np.arange(len(nodes)), near=[g[g >= 0] for g in graph], start=start)
+
+    schema = "vec_ids array<long>, v array<double>, dims int, shard int, at int, near array<int>, start int"
     return materialize(keyed.groupBy("shard", "dims").applyInPandas(build, schema), "ann-index")
 
 
@@ -193,7 +202,12 @@ def _search_block(index: pd.DataFrame, queries: pd.DataFrame, nearest: int, beam
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
     index = index.sort_values("at")
     x = np.stack(index["v"].tolist()).astype(np.float64)
-    vec_id = index["vec_id"].to_numpy()
+    held = [np.asarray(ids) for ids in index["vec_ids"]]
+    # A query's own id is no hit, however many rows of a node have it.
+    most = [nearest + int(np.unique(ids, return_counts=True)[1].max()) for ids in held]
+    held = [ids[:m] for ids, m in zip(held, most)]
+    many = np.array(list(map(len, held)))
+    vec_id, first = np.concatenate(held), np.cumsum(many) - many
     graph = np.full((len(x), DEGREE), -1)
     for i, near in enumerate(index["near"]):
         graph[i, :len(near)] = near
@@ -206,14 +220,15 @@ def _search_block(index: pd.DataFrame, queries: pd.DataFrame, nearest: int, beam
     out = []
     for a in range(0, len(q), _BATCH):
         found, _ = beam_search(points, size, graph, start, flat[a:a + _BATCH], min(len(x), max(beam, nearest + 1)))
-        score = np.matmul(x[np.maximum(found, 0)], q[a:a + _BATCH][:, :, None])[:, :, 0]
-        mine = qid[a:a + _BATCH]
-        id_ = vec_id[np.maximum(found, 0)]
-        score[(found < 0) | (id_ == mine[:, None])] = -np.inf
-        order = np.lexsort((id_, -score), axis=1)[:, :nearest]
-        row = np.arange(len(mine))[:, None]
-        hit = pd.DataFrame({"query_id": np.repeat(mine, order.shape[1]), "vec_id": id_[row, order].ravel(), "score": score[row, order].ravel()})
-        out.append(hit[np.isfinite(hit["score"])])
+        # Summed row by row, so that equal vectors score the same in every shard.
+        score = (x[np.maximum(found, 0)] * q[a:a + _BATCH][:, None, :]).sum(axis=2)
+        take = np.where(found >= 0, many[found], 0).ravel()
+        asked = np.repeat(np.arange(len(found)).repeat(found.shape[1]), take)
+        id_ = vec_id[np.repeat(first[found].ravel() + take - np.cumsum(take), take) + np.arange(take.sum())]
+        hit = pd.DataFrame({"at": asked, "query_id": qid[a:a + _BATCH][asked], "vec_id": id_, "score": np.repeat(score.ravel(), take)})
+        hit = hit[(hit["query_id"] != hit["vec_id"]) & np.isfinite(hit["score"])]
+        hit = hit.iloc[np.lexsort((hit["vec_id"], -hit["score"], hit["at"]))]
+        out.append(hit[hit.groupby("at").cumcount() < nearest].drop(columns="at"))
     return pd.concat(out)
 
 
@@ -227,7 +242,7 @@ def search(spark: SparkSession, index: DataFrame, queries: DataFrame, nearest: i
     asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), blocks).cast("int"))
     # A shard meets each block of the stated query set; pairs are (shard, block).
     asked = asked.join(shards, F.size("v") == F.col("d")).select("s", "d", "block", "query_id", "v")
-    held = index.select(F.col("shard").alias("s"), F.col("dims").alias("d"), "at", "vec_id", "v", "near", "start", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)).alias("block"))
+    held = index.select(F.col("shard").alias("s"), F.col("dims").alias("d"), "at", "vec_ids", "v", "near", "start", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)).alias("block"))
     keys = ["s", "d", "block"]
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

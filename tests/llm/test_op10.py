@@ -55,6 +55,26 @@ def test_unequal_norms_and_copies(spark):
     check(got.where("query_id < 300 or query_id >= 400").collect(), {q: w for q, w in want.items() if not 300 <= q < 400}, 0.9)
 
 
+@pytest.mark.parametrize("shard", [8_192, 500])
+def test_queries_inside_groups_of_copies(spark, shard):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((2000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for a, n in ((100, 50), (300, 200), (1000, 660)):
+        x[a:a + n] = x[a]
+    rows = [(i, r.tolist()) for i, r in enumerate(x)]
+    rows += [(320, x[320].tolist())] * 30  # a query's own id on more rows than are asked for
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    queries = df.distinct().where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "v")
+    got = op.search(spark, op.build_index(spark, df, shard), queries).collect()
+    inside = [q for a, n in ((100, 50), (300, 200), (1000, 660)) for q in range(a, a + n) if q % 20 == 0]
+    for q in inside:
+        s = (np.array([v for _, v in rows]) * x[q]).sum(axis=1)
+        ids = np.array([i for i, _ in rows])
+        want = [int(ids[j]) for j in np.lexsort((ids, -s)) if ids[j] != q][:20]
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == want
+
+
 def test_vectors_that_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]),
             (None, [1.0, 1.0]), (7, [0.5, 0.5]), (8, [0.5, 0.0]), (9, [0.5, 1.0]), (20, [1.0, 2.0, 3.0]), (40, [3.0, 2.0, 1.0])]
