@@ -7,20 +7,21 @@ structure, so a layout is small however long the page is. Per host
 1. the most frequent layout is the reference;
 2. every other layout is aligned with it by simple tree matching (the largest
    order-keeping set of node pairs with equal labels whose parents are paired);
-3. the texts of aligned nodes are compared over all pages of the host: a node with
-   the same text everywhere is template, one that varies is a slot;
+3. the texts of aligned nodes are compared over all pages of the host: one that
+   varies, or that only copies of one page have, is a slot;
 4. the content region is the article element with most slot text, or else the
    smallest subtree with all slots; menus, headers, footers, sidebars, notices,
    adverts, forms and comments (told by element and class) are no part of it.
 
-A page's text is its region's blocks. Template nodes inside the region go if they
-are the same on at least ``TEMPLATE_PAGES`` pages, so a heading that a few copies
-share stays. A page whose layout has no counterpart of the region is read from
-its own article, or else its body.
+A page's text is its region's blocks without the template: nodes whose text is the
+same on all pages that have them, ``TEMPLATE_PAGES`` at least. Pages whose regions
+have the same text count as one, so copies of a page are no evidence. A page
+whose layout has no counterpart of the region is read from its own article, or
+else its body.
 
 What moves between tasks are counts per (host, layout, node), combined in each
-task first; html itself is read twice and joined with the small table of layouts
-by (host, layout). A host with a third of all pages is no group anywhere.
+task first, and hashes of the blocks of pages that differ; html itself is only
+joined with the small table of layouts by (host, layout). A host with a third of all pages is no group anywhere.
 
 Defined cases: a null or empty html has the empty text; a null url is the host
 ""; unclosed elements are closed as browsers do; character references are
@@ -132,15 +133,15 @@ def parse(html: str) -> Node:
     return root
 
 
-def blocks(node: Node, skip: frozenset = frozenset(), in_main: bool = False) -> Iterator[tuple[int, str]]:
-    """(layout place, text) of the blocks below ``node``, without chrome and
-    without the places to skip; white space inside a block is one space."""
+def blocks(node: Node, in_main: bool = False) -> Iterator[tuple[int, str]]:
+    """(layout place, text) of the blocks below ``node``, without chrome; white
+    space inside a block is one space."""
     held: list[str] = []
 
     def flush(place: int) -> Iterator[tuple[int, str]]:
         text = " ".join(html_lib.unescape("".join(held)).split())
         held.clear()
-        if text and place not in skip:
+        if text:
             yield place, text
 
     def walk(n: Node, place: int, main: bool) -> Iterator[tuple[int, str]]:
@@ -265,7 +266,7 @@ def _hash(texts: list[str]) -> int:
 
 
 _KEPT = 50_000  # (host, layout, node) a task counts before it gives them out
-_COUNTS = "host string, layout string, place int, pages long, chars long, low long, high long"
+_COUNTS = "host string, layout string, place int, pages long, chars long, low long, high long, first long, last long"
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +275,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
         rows = [(*k, *v) for k, v in held.items()]
         held.clear()
-        types = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        types = [pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 6]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=_COUNTS.replace(",", "").split()[::2])
 
     for b in batches:
@@ -284,30 +285,64 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts: dict[int, list[str]] = {0: []}
             for place, text in blocks(root):
                 texts.setdefault(place, []).append(text)
+            page = _hash([t for found in texts.values() for t in found])
             for place, found in texts.items():
                 h, n = _hash(found), sum(map(len, found))
-                s = held.setdefault((host, form, place), [0, 0, h, h])
-                s[:] = s[0] + 1, s[1] + n, min(s[2], h), max(s[3], h)
+                s = held.setdefault((host, form, place), [0, 0, h, h, page, page])
+                s[:] = s[0] + 1, s[1] + n, min(s[2], h), max(s[3], h), min(s[4], page), max(s[5], page)
         if len(held) > _KEPT:
             yield out()
     yield out()
 
 
+_TEXTS = "host string, layout string, places array<int>, texts array<long>"
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of each page's texts by place; what a task has given out it
+    does not give again."""
+    given: set[int] = set()
+    types = [pa.string(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+    for b in batches:
+        rows = []
+        for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
+            root = parse(html or "")
+            form = layout(root)
+            texts: dict[int, list[str]] = {}
+            for place, text in blocks(root):
+                texts.setdefault(place, []).append(text)
+            found = {p: _hash(t) for p, t in texts.items()}
+            key = _hash([host, form, str(found)])
+            if key not in given:
+                given.add(key)
+                rows.append((host, form, list(found), list(found.values())))
+        if len(given) > _KEPT:
+            given.clear()
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["host", "layout", "places", "texts"])
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, layout, place) to the reference's place, -1 for none."""
+    """(host, layout, place) to the reference's place, -1 for none, and to the
+    place behind the last one below it."""
     for b in batches:
-        to = []
+        to, end = [], []
         for form, reference, place in zip(*(b.column(c).to_pylist() for c in ("layout", "reference", "place"))):
-            pairs = match_trees(Layout(form), Layout(reference))
+            tree = Layout(form)
+            pairs = match_trees(tree, Layout(reference))
             to.append([pairs.get(p, -1) for p in place])
-        yield pa.RecordBatch.from_arrays([b.column("host"), b.column("layout"), b.column("reference"), b.column("place"), pa.array(to, pa.list_(pa.int32()))], names=["host", "layout", "reference", "place", "to"])
+            behind = [p + 1 for p in place]
+            for p in reversed(place):
+                behind[p] = behind[tree.kids[p][-1]] if tree.kids[p] else p + 1
+            end.append(behind)
+        yield pa.RecordBatch.from_arrays([b.column("host"), b.column("layout"), b.column("reference"), b.column("place"), pa.array(to, pa.list_(pa.int32())), pa.array(end, pa.list_(pa.int32()))], names=["host", "layout", "reference", "place", "to", "end"])
 
 
 def _choose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A host's region and template among its reference's places (-1: none)."""
+    """A host's region among its reference's places."""
     tree = Layout(pdf["reference"].iloc[0])
     stats = {r.to: r for r in pdf.itertuples()}
-    slot = {p: r.chars if r.low != r.high or r.pages < 2 else 0 for p, r in stats.items()}
+    # Nothing tells text and template of a single page, or of its copies, apart.
+    slot = {p: r.chars if r.low != r.high or r.first == r.last else 0 for p, r in stats.items()}
 
     def mass(i: int) -> int:
         return slot.get(i, 0) + sum(map(mass, tree.kids[i]))
@@ -319,40 +354,52 @@ def _choose(pdf: pd.DataFrame) -> pd.DataFrame:
         region = 0
         while not slot.get(region) and len(below := [k for k in tree.kids[region] if mass(k)]) == 1 and tree.kids[below[0]]:
             region = below[0]
-    todo, inside = [region], set()
-    while todo:
-        inside.add(i := todo.pop())
-        todo += tree.kids[i]
-    fixed = [i for i in sorted(inside) if i in stats and stats[i].pages >= TEMPLATE_PAGES and stats[i].low == stats[i].high and stats[i].chars]
-    if not any(slot.get(i) for i in inside):  # only copies of one page: nothing tells text and template apart
-        fixed = []
-    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "region": [region], "fixed": [fixed]})
+    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "region": [region]})
 
 
 def host_of(url) -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"://([^/?#]*)", 1)), F.lit(""))
 
 
+def _template(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, template): the (at, text) of a host's reference places whose text
+    is the same on all pages with different regions, TEMPLATE_PAGES at least."""
+    met = pages.mapInArrow(_texts, _TEXTS).join(wrappers.where("region is not null"), ["host", "layout"])
+    inside = F.filter(F.arrays_zip("places", "texts"), lambda p: (p["places"] >= F.col("region")) & (p["places"] < F.col("end")))
+    met = met.select("host", "to", inside.alias("inside")).withColumn("page", F.xxhash64("inside"))
+    at = lambda p: F.element_at("to", p["places"] + 1).alias("at")
+    texts = F.transform("inside", lambda p: F.struct(at(p), p["texts"].alias("text")))
+    places = F.transform("inside", lambda p: F.struct(at(p), F.lit(None).cast("long").alias("text")))  # counts the pages that have the place
+    met = met.select("host", "page", F.explode(F.array_distinct(F.concat(texts, places))).alias("t")).select("host", "page", "t.at", "t.text")
+    counts = met.where("at >= 0").distinct().groupBy("host", "at", "text").agg(F.count("*").alias("n")).where(F.col("n") >= TEMPLATE_PAGES)
+    counts = materialize(counts, "template-counts")
+    reach = counts.where("text is null").select("host", "at", F.col("n").alias("reach"))
+    fixed = counts.where("text is not null").join(reach, ["host", "at"]).where("n = reach")
+    return fixed.groupBy("host").agg(F.collect_list(F.struct("at", "text")).alias("template"))
+
+
 def induce(pages: DataFrame) -> DataFrame:
-    """(host, layout, region, fixed): for every layout of a host its places of
-    the region (null if there is none) and of the template."""
+    """(host, layout, region, fixed): for every layout of a host its place of
+    the region (null if there is none) and the template's (place, text)."""
     keyed = pages.select(host_of(F.col("url")).alias("host"), "html")
-    counts = keyed.mapInArrow(_count, _COUNTS).groupBy("host", "layout", "place").agg(
-        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
-    counts = materialize(counts, "layout-counts")
+    totals = [F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), *[f(c).alias(c) for c, f in (("low", F.min), ("high", F.max), ("first", F.min), ("last", F.max))]]
+    counts = materialize(keyed.mapInArrow(_count, _COUNTS).groupBy("host", "layout", "place").agg(*totals), "layout-counts")
     layouts = counts.where("place = 0").select("host", "layout", "pages")  # each page counts its root
     reference = layouts.groupBy("host").agg(F.max_by("layout", F.struct("pages", "layout")).alias("reference"))
     sizes = F.size(F.regexp_extract_all("layout", F.lit("[^(),]+"), 0))
     asked = layouts.join(reference, "host").select("host", "layout", "reference", F.sequence(F.lit(0), sizes - 1).alias("place"))
-    aligned = materialize(asked.mapInArrow(_align, "host string, layout string, reference string, place array<int>, to array<int>"), "layouts")
+    aligned = materialize(asked.mapInArrow(_align, "host string, layout string, reference string, place array<int>, to array<int>, end array<int>"), "layouts")
 
     pairs = aligned.select("host", "layout", "reference", F.explode(F.arrays_zip("place", "to")).alias("p")).select("host", "layout", "reference", "p.place", "p.to")
-    slots = counts.join(pairs.where("to >= 0"), ["host", "layout", "place"]).groupBy("host", "reference", "to").agg(
-        F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
-    chosen = slots.groupBy("host").applyInPandas(_choose, "host string, region int, fixed array<int>")
-    places = F.transform(F.filter(F.arrays_zip("place", "to"), lambda p: F.array_contains("fixed", p["to"])), lambda p: p["place"])
-    region = F.try_element_at(F.filter(F.arrays_zip("place", "to"), lambda p: p["to"] == F.col("region")), F.lit(1))
-    return aligned.join(chosen, "host").select("host", "layout", region["place"].alias("region"), places.alias("fixed"))
+    slots = counts.join(pairs.where("to >= 0"), ["host", "layout", "place"]).groupBy("host", "reference", "to").agg(*totals)
+    chosen = slots.groupBy("host").applyInPandas(_choose, "host string, region int")
+    region = F.nullif(F.array_position("to", F.col("region")), F.lit(0))  # from 1
+    wrappers = aligned.join(chosen, "host").select("host", "layout", "to", "end", region.cast("int").alias("region"))
+    wrappers = materialize(wrappers.select("host", "layout", "to", (F.col("region") - 1).alias("region"), F.try_element_at("end", "region").alias("end")), "regions")
+
+    fixed = F.transform("template", lambda t: F.struct((F.array_position("to", t["at"]) - 1).cast("int").alias("place"), t["text"].alias("text")))
+    fixed = F.filter(fixed, lambda p: p["place"] >= 0)
+    return wrappers.join(_template(keyed, wrappers), "host", "left").select("host", "layout", "region", fixed.alias("fixed"))
 
 
 def _own_region(root: Node) -> Node:
@@ -374,13 +421,19 @@ def _at(root: Node, place: int) -> list[Node]:
     return [n for k in root.kids if not isinstance(k, str) and not (k.chrome or k.place < 0 and k.tag not in INLINE) for n in _at(k, place)]
 
 
-def main_text(html: str | None, region: int | None, fixed: list[int] | None) -> str:
+def main_text(html: str | None, region: int | None, fixed: list[dict] | None) -> str:
     root = parse(html or "")
     layout(root)
     regions = _at(root, region) if region is not None else []
     if not regions:
         regions = [_own_region(root)]
-    return "\n".join(text for n in regions for _, text in blocks(n, frozenset(fixed or ())))
+    skip = {(f["place"], f["text"]) for f in fixed or ()}
+    texts: dict[int, list[str]] = {}
+    found = [b for n in regions for b in blocks(n)]
+    for place, text in found:
+        texts.setdefault(place, []).append(text)
+    gone = {p for p, _ in skip if p in texts and (p, _hash(texts[p])) in skip}
+    return "\n".join(text for place, text in found if place not in gone)
 
 
 def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -99,3 +99,15 @@ def test_template_nodes_go_and_slots_stay(spark):
     assert all("Text 7 of the page." in got[200 + i] and "Title 7" in got[200 + i] for i in range(25))
     assert got[300].startswith("Title 1\nText 1") and got[400] == "no url" and got[401] == ""
     assert op.extract(df).count() == len(rows) and op.extract(df.limit(0)).count() == 0
+
+
+def test_copies_of_a_page_are_no_evidence_for_template(spark):
+    copy = wrapped(7).replace("</h2>", "</h2><ul><li>Only here</li></ul>")  # the most frequent layout
+    rows = [(i, "http://h.net/", wrapped(i)) for i in range(30)] + [(100 + i, "http://h.net/", copy) for i in range(40)]
+    article = lambda html, i: html.replace("<div class=c>", "<article>").replace("</div></body>", f"</article><p>Page {i}</p></body>")
+    rows += [(1000 + i, "http://a.net/", article(html, i)) for i, _, html in rows]  # copies of what is read only
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in op.extract(df).collect()}
+    for at in (0, 1000):
+        assert all(got[at + i] == f"Title {i}\nText {i} of the page." for i in range(30))
+        assert all(got[at + 100 + i] == "Title 7\nOnly here\nText 7 of the page." for i in range(40))
