@@ -13,9 +13,11 @@ structure, so a layout is small however long the page is. Per host
    smallest subtree with all slots; menus, headers, footers, sidebars, notices,
    adverts, forms and comments (told by element and class) are no part of it.
 
-A page's text is its region's blocks without the template: nodes whose text is the
-same on all pages that have them, ``TEMPLATE_PAGES`` at least. Pages whose regions
-have the same text count as one, so copies of a page are no evidence. A page
+A page's text is its region's blocks without the template: blocks that recur in
+their place on at least ``TEMPLATE_PAGES`` pages and on at least half of the pages
+that have the place. Equal siblings share a place, so a constant paragraph beside
+varying ones is told by its text. Pages whose regions have the same text count as
+one, so copies of a page are no evidence. A page
 whose layout has no counterpart of the region is read from its own article, or
 else its body.
 
@@ -299,8 +301,8 @@ _TEXTS = "host string, layout string, places array<int>, texts array<long>"
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hashes of each page's texts by place; what a task has given out it
-    does not give again."""
+    """Each page's blocks: their places and the hashes of their texts; what a
+    task has given out it does not give again."""
     given: set[int] = set()
     types = [pa.string(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64())]
     for b in batches:
@@ -308,14 +310,11 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, html in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
             root = parse(html or "")
             form = layout(root)
-            texts: dict[int, list[str]] = {}
-            for place, text in blocks(root):
-                texts.setdefault(place, []).append(text)
-            found = {p: _hash(t) for p, t in texts.items()}
+            found = [(place, _hash([text])) for place, text in blocks(root)]
             key = _hash([host, form, str(found)])
             if key not in given:
                 given.add(key)
-                rows.append((host, form, list(found), list(found.values())))
+                rows.append((host, form, [p for p, _ in found], [t for _, t in found]))
         if len(given) > _KEPT:
             given.clear()
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["host", "layout", "places", "texts"])
@@ -362,8 +361,9 @@ def host_of(url) -> F.Column:
 
 
 def _template(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """(host, template): the (at, text) of a host's reference places whose text
-    is the same on all pages with different regions, TEMPLATE_PAGES at least."""
+    """(host, template): the (at, text) of the blocks in a host's reference
+    places that recur on pages with different regions, on TEMPLATE_PAGES and on
+    half of those that have the place at least; so these are few."""
     met = pages.mapInArrow(_texts, _TEXTS).join(wrappers.where("region is not null"), ["host", "layout"])
     inside = F.filter(F.arrays_zip("places", "texts"), lambda p: (p["places"] >= F.col("region")) & (p["places"] < F.col("end")))
     met = met.select("host", "to", inside.alias("inside")).withColumn("page", F.xxhash64("inside"))
@@ -374,7 +374,7 @@ def _template(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
     counts = met.where("at >= 0").distinct().groupBy("host", "at", "text").agg(F.count("*").alias("n")).where(F.col("n") >= TEMPLATE_PAGES)
     counts = materialize(counts, "template-counts")
     reach = counts.where("text is null").select("host", "at", F.col("n").alias("reach"))
-    fixed = counts.where("text is not null").join(reach, ["host", "at"]).where("n = reach")
+    fixed = counts.where("text is not null").join(reach, ["host", "at"]).where("2 * n >= reach")
     return fixed.groupBy("host").agg(F.collect_list(F.struct("at", "text")).alias("template"))
 
 
@@ -428,12 +428,7 @@ def main_text(html: str | None, region: int | None, fixed: list[dict] | None) ->
     if not regions:
         regions = [_own_region(root)]
     skip = {(f["place"], f["text"]) for f in fixed or ()}
-    texts: dict[int, list[str]] = {}
-    found = [b for n in regions for b in blocks(n)]
-    for place, text in found:
-        texts.setdefault(place, []).append(text)
-    gone = {p for p, _ in skip if p in texts and (p, _hash(texts[p])) in skip}
-    return "\n".join(text for place, text in found if place not in gone)
+    return "\n".join(text for n in regions for place, text in blocks(n) if not skip or (place, _hash([text])) not in skip)
 
 
 def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

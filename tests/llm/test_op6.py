@@ -111,3 +111,16 @@ def test_copies_of_a_page_are_no_evidence_for_template(spark):
     for at in (0, 1000):
         assert all(got[at + i] == f"Title {i}\nText {i} of the page." for i in range(30))
         assert all(got[at + 100 + i] == "Title 7\nOnly here\nText 7 of the page." for i in range(40))
+
+
+def test_constant_blocks_beside_varying_siblings_go(spark):
+    rows = [(i, "http://h.net/", page(i)) for i in range(30)]
+    rows += [(100 + i, "http://h.net/", page(100 + i).replace("Sign up now!", f"Last words of {i}.")) for i in range(20)]
+    rows += [(200 + i, "http://rare.net/", page(i).replace("Sign up now!", "See also:" if i < 20 else f"Then {i}.")) for i in range(200)]
+    rows += [(500 + i, "http://copies.net/", page(7)) for i in range(25)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in op.extract(df).collect()}
+    assert all(got[i] == f"Title {i}\nText {i} of the page." for i in range(30))
+    assert all(got[100 + i] == f"Title {100 + i}\nText {100 + i} of the page.\nLast words of {i}." for i in range(20))
+    assert all(got[200 + i].endswith(f"Text {i} of the page.\nSee also:") for i in range(20))  # few pages: text
+    assert all("Title 7" in got[500 + i] and "Sign up now!" in got[500 + i] for i in range(25))
