@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Benchmark items are cut into passages of at most ``PASSAGE`` words. They
-   are the query set: taken in blocks of ``BLOCK`` passages, each block against
+1. Benchmark items are cut into passages of about ``PASSAGE`` words, with one
+   more passage across each cut, half on either side, for quotes that straddle
+   it. They are the query set: taken in blocks of ``BLOCK`` passages, each block against
    all documents, so what the driver and a task hold of them is bounded.
 2. Inverse document frequencies of the block's terms come from one pass over
    every document (tiles of ``WINDOW`` words).
@@ -86,7 +87,8 @@ def passages_of(item_id, text: str | None) -> list[Passage]:
     cuts = list(range(0, len(words), PASSAGE))
     if len(cuts) > 1 and len(words) - cuts[-1] < SHORTEST:
         cuts.pop()
-    return [Passage(item_id, words[a:b]) for a, b in zip(cuts, [*cuts[1:], len(words)])]
+    across = [(c - PASSAGE // 2, c + PASSAGE // 2) for c in cuts[1:]]
+    return [Passage(item_id, words[a:b]) for a, b in sorted([*zip(cuts, [*cuts[1:], len(words)]), *across])]
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[list[Passage]]:

@@ -61,6 +61,16 @@ def test_a_block_of_more_passages_than_the_rank(spark):
     assert {(r["doc_id"], r["item_id"]) for r in op._found(docs, index).collect()} == {(i, i) for i in range(60)}
 
 
+def test_quotes_across_the_cuts_of_a_long_item(spark):
+    rng = random.Random(12)
+    item = prose(rng, 260)
+    starts = [20, *range(0, len(item) - 88, 6)]  # 20: 44 words on each side of the first cut
+    docs = [(i, " ".join(prose(rng, 40) + item[a:a + 88] + prose(rng, 40))) for i, a in enumerate(starts)]
+    docs += [(1000 + i, " ".join(prose(rng, 200))) for i in range(20)]
+    found = op.find_leaks(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert sorted(r["doc_id"] for r in found.collect()) == list(range(len(starts)))
+
+
 def test_verbatim_items_of_given_documents(spark):
     sf = "/root/testdata/sf0.01"
     texts = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
