@@ -203,80 +203,6 @@ def fit(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     return learn(_sample(known.where("q = 1"), sample), _sample(known.where("q is null"), sample))
 
 
-def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(self.logit(x))
-
-
-def _sigmoid(g: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(g, -30, 30)))
-
-
-def _softplus(g: np.ndarray) -> np.ndarray:
-    return np.logaddexp(0, g)
-
-
-def train(pos: np.ndarray, unl: np.ndarray, prior: float | None, seed: int = 4) -> Model:
-    """Minimise the non-negative risk by Adam; with ``prior`` None, plain
-    logistic regression of positives against unlabelled rows."""
-    both = np.concatenate([pos, unl])
-    mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
-    z = np.clip((both - mean) / scale, -8, 8)
-    zp, zu = z[:len(pos)], z[len(pos):]
-    rng = np.random.default_rng(seed)
-    par = [rng.standard_normal((both.shape[1], HIDDEN)) / np.sqrt(both.shape[1]), np.zeros(HIDDEN), rng.standard_normal(HIDDEN) / np.sqrt(HIDDEN), np.zeros(1)]
-    first, second = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
-    for step in range(1, STEPS + 1):
-        hidden = [np.tanh(x @ par[0] + par[1]) for x in (zp, zu)]
-        gp, gu = (h @ par[2] + par[3] for h in hidden)
-        if prior is None:  # d loss / d logit
-            dp, du = -_sigmoid(-gp) / len(gp), _sigmoid(gu) / len(gu)
-        elif _softplus(gu).mean() - prior * _softplus(gp).mean() >= 0:
-            dp = prior * (-_sigmoid(-gp) - _sigmoid(gp)) / len(gp)
-            du = _sigmoid(gu) / len(gu)
-        else:  # undo the part that has gone below zero
-            dp, du = prior * _sigmoid(gp) / len(gp), -_sigmoid(gu) / len(gu)
-        grads = [np.zeros_like(p) for p in par]
-        for x, h, d in ((zp, hidden[0], dp), (zu, hidden[1], du)):
-            back = d[:, None] * par[2] * (1 - h * h)
-            for g, v in zip(grads, (x.T @ back, back.sum(axis=0), h.T @ d, np.array([d.sum()]))):
-                g += v
-        grads[0] += RIDGE * par[0]
-        grads[2] += RIDGE * par[2]
-        for i, g in enumerate(grads):
-            first[i] = 0.9 * first[i] + 0.1 * g
-            second[i] = 0.999 * second[i] + 0.001 * g * g
-            par[i] = par[i] - RATE * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-    return Model(mean, scale, par[0], par[1], par[2], float(par[3][0]))
-
-
-def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
-    """Share of positives among the unlabelled rows: each half is ranked by a
-    model of the other half, so fitting noise does not lower the ratio."""
-    found = []
-    for half in (0, 1):
-        model = train(pos[half::2], unl[half::2], None)
-        p, u = np.sort(model.logit(pos[1 - half::2])), np.sort(model.logit(unl[1 - half::2]))
-        cut = np.quantile(p, np.linspace(0, 1 - PRIOR_SHARE, 100))
-        found.append(((len(u) - np.searchsorted(u, cut)) / len(u) / ((len(p) - np.searchsorted(p, cut)) / len(p))).min())
-    return float(np.clip(np.mean(found), 0.01, 0.99))
-
-
-def learn(pos: np.ndarray, unl: np.ndarray) -> Model | None:
-    return train(pos, unl, estimate_prior(pos, unl)) if min(len(pos), len(unl)) > 1 else None
-
-
-def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    picked = rows.orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(n).select("x").collect()
-    return np.array([r["x"] for r in picked], np.float64).reshape(-1, WIDTH)
-
-
-def fit(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Model from ``rows`` (doc_id, x) and trusted ``labels`` (doc_id, quality)."""
-    marks = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
-    known = rows.join(marks, "doc_id", "left")
-    return learn(_sample(known.where("q = 1"), sample), _sample(known.where("q is null and doc_id is not null"), sample))
-
-
 def score(rows: DataFrame, model: Model | None) -> DataFrame:
     """``rows`` with x replaced by ``score``."""
     keep = [f for f in rows.schema.fields if f.name not in ("x", "score")]

@@ -1,6 +1,8 @@
 """Quality: held-out accuracy, the prior, and the defined cases."""
 
+import ast
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -59,3 +61,12 @@ def test_defined_cases(spark, tmp_path):
     assert {r["score"] for r in op.op4_quality(spark, str(tmp_path)).collect()} == {0.5}
     assert op.score(op.with_features(docs.limit(0)), None).count() == 0
     assert "score" in op.score(op.with_features(docs), None).columns and docs.select(F.count("*")).first()[0] == len(texts)
+
+
+def test_learning_rows_are_written_once_and_names_are_not_overridden(spark, monkeypatch):
+    names = [n.name for n in ast.parse(Path(op.__file__).read_text()).body if isinstance(n, ast.FunctionDef)]
+    assert len(names) == len(set(names))
+    written = []
+    monkeypatch.setattr(op, "materialize", lambda df, name: written.append(name) or df)
+    rows = spark.createDataFrame([(0, [0.0] * op.WIDTH)], "doc_id long, x array<double>")
+    assert op.fit(rows, spark.createDataFrame([(0, 1)], "doc_id long, quality int")) is None and written == ["quality-known"]
