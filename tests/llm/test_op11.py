@@ -141,7 +141,8 @@ def test_a_long_conversation_is_many_stretches(spark, tmp_path):
     path = str(tmp_path / "conv")
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
     damaged = op.damaged(table(spark, path, "conversations", "conv_id", "turn", "role", "text"))
-    numbered = op.global_row_number(damaged.withColumnRenamed("conv_id", "cid").withColumn("cid", damaged["conv_id"].cast("string")), ["cid", "turn", "role", "text"])
+    named = damaged.selectExpr("CAST(conv_id AS STRING) AS cid", "turn", "role", "text")
+    numbered = op.global_row_number(named, ["cid", "turn", "role", "text"])
     parts = op.stretches(op.with_kinds(numbered))
     assert parts.count() >= 3 and parts.where("length(kinds) > 4096").count() == 0
     states = b"".join(r["states"][:-1] for r in op.solved(parts).orderBy("rnum").collect())
