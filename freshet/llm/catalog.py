@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from freshet.llm import (
     op1_language_id, op2_secrets, op3_url_filters, op4_quality, op5_chat, op6_html, op7_simhash, op8_decontamination, op9_mixing, op10_ann,
-    op11_repair, op13_manifest,
+    op11_repair, op12_pii, op13_manifest,
 )
 
 MODULES = (
     op1_language_id, op2_secrets, op3_url_filters, op4_quality, op5_chat, op6_html, op7_simhash, op8_decontamination, op9_mixing, op10_ann,
-    op11_repair, op13_manifest,
+    op11_repair, op12_pii, op13_manifest,
 )
 
 
