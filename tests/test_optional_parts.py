@@ -1,0 +1,39 @@
+"""The core stands without the training-data operators and their tests."""
+
+import os
+import shutil
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+CODE = """
+import __spark_entry__ as entry
+from freshet.session import build_session
+names = entry.queries()
+assert "pipeline" not in names and not any(n.startswith("op") for n in names), sorted(names)
+assert len(names) >= 29 and set(entry.oracle_sql()) <= set(names), len(names)
+spark = build_session(master="local[2]", shuffle_partitions=2)
+assert names["template_domains"](spark, {sf_dir!r}).columns
+print("fine", len(names))
+"""
+
+
+def _run(folder, sf_dir):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", CODE.format(sf_dir=sf_dir)], cwd=folder, env=env, capture_output=True, text=True, timeout=300)
+    assert "fine" in done.stdout, done.stderr[-2000:]
+
+
+def test_without_the_operators(tmp_path, sf_dir):
+    skip = shutil.ignore_patterns("llm", ".git", "__pycache__", "*.json")
+    for name in ("freshet", "tests", "__spark_entry__.py", "corpus_pipeline.py", "bench.py"):
+        source = os.path.join(ROOT, name)
+        if not os.path.exists(source):
+            continue  # the pipeline goes together with the operators
+        (shutil.copytree if os.path.isdir(source) else shutil.copy)(source, tmp_path / name, **({"ignore": skip} if os.path.isdir(source) else {}))
+    assert not (tmp_path / "freshet" / "llm").exists()
+    _run(tmp_path, sf_dir)
+    if (tmp_path / "corpus_pipeline.py").exists():
+        (tmp_path / "corpus_pipeline.py").unlink()
+        _run(tmp_path, sf_dir)
