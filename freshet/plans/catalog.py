@@ -584,8 +584,12 @@ WEATHER_QUERIES: dict[str, QueryFn] = {
 
 
 def queries() -> dict[str, QueryFn]:
-    return {**RENEWAL_QUERIES, **WEATHER_QUERIES}
+    from freshet.plans import catalog_state
+
+    return {**RENEWAL_QUERIES, **WEATHER_QUERIES, **catalog_state.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**RENEWAL_SQL, **WEATHER_SQL}
+    from freshet.plans import catalog_state
+
+    return {**RENEWAL_SQL, **WEATHER_SQL, **catalog_state.SQL}

@@ -22,8 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.text import first_char, oracle_concat
+from freshet.operators.hierarchy import resolve_paths
 from freshet.operators.materialize import materialize
 from freshet.operators.ordinal import running_total
+from freshet.operators.scan import LAST, running_fold
 
 # Fixed values used by the job (flag letters and message texts).
 ACTIVE = "A"
@@ -191,18 +193,41 @@ def is_error(err_msg: Column, code: str = ERROR_CODE) -> Column:
     return F.coalesce(first_char(err_msg) == code, F.lit(False))
 
 
-def tariff_messages(candidates: DataFrame, tariff_domain: DataFrame, apply_result: DataFrame) -> DataFrame:
-    """Messages of the tariff stage: one per versioned candidate whose apply failed.
+def domain_paths(tariff_domain: DataFrame) -> DataFrame:
+    """(id, path, depth, state) of every domain (id, parent_id, code): its codes
+    from the top of its tree."""
+    return resolve_paths(tariff_domain.select("id", "parent_id", "code"))
+
+
+def applied_results(candidates: DataFrame, apply_result: DataFrame, carry: bool = False) -> DataFrame:
+    """The candidates that have an error text to look at, with it (``err_msg``).
 
-    Candidates without a version are never applied, so they get no message
-    (the original re-reports the previous row's error there; not copied).
+    Only candidates with a version are applied. The original never resets the
+    text, so a candidate without a version is judged by the text of the last one
+    applied before it (which may be NULL: the last apply went well). ``carry``
+    does the same, by a running fold over ``rnum``; the text goes in a struct, so
+    that a NULL text counts as one.
     """
-    applied = candidates.filter(F.col("tv_id").isNotNull())
     res = apply_result.select(F.col("id").alias("_res_id"), "err_msg")
+    if not carry:
+        applied = candidates.filter(F.col("tv_id").isNotNull())
+        return applied.join(res, applied["t_id"] == res["_res_id"], "left").drop("_res_id")
+    j = candidates.join(res, (candidates["t_id"] == res["_res_id"]) & candidates["tv_id"].isNotNull(), "left").drop("_res_id")
+    own = F.when(F.col("tv_id").isNotNull(), F.struct("err_msg"))
+    last = running_fold(materialize(j, "applied"), ["rnum"], own, LAST, "_last")
+    return last.withColumn("err_msg", F.col("_last.err_msg")).drop("_last")
+
+
+def tariff_messages(candidates: DataFrame, tariff_domain: DataFrame, apply_result: DataFrame, carry: bool = False) -> DataFrame:
+    """Messages of the tariff stage: one per versioned candidate whose apply failed.
+
+    Candidates without a version are never applied, so they get no message; with
+    ``carry`` they repeat the last error, as the original does. A domain's code is
+    taken from ``tariff_domain`` (id, code); give ``domain_paths`` as codes to name
+    domains by their place in the tree.
+    """
     dom = tariff_domain.select(F.col("id").alias("_dom_id"), F.col("code").alias("_code"))
-    j = applied.join(res, applied["t_id"] == res["_res_id"], "left").join(
-        dom, F.col("tariff_domain__oid") == dom["_dom_id"], "left"
-    )
+    j = applied_results(candidates, apply_result, carry).join(dom, F.col("tariff_domain__oid") == F.col("_dom_id"), "left")
     text = oracle_concat(
         F.lit(FAILED_PREFIX + '"'), F.col("_code"), F.lit("/"), F.col("t_name"),
         F.lit('": '), F.col("err_msg"),

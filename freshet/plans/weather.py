@@ -67,8 +67,12 @@ def response_bodies(responses: DataFrame) -> DataFrame:
 def parsed_bodies(responses: DataFrame) -> DataFrame:
     """Bodies with the two fields the refresh needs: city and weather. A body
     that is no JSON object of the expected form leaves them NULL."""
+    return with_payload(response_bodies(responses))
+
+
+def with_payload(bodies: DataFrame) -> DataFrame:
     co = F.col("_payload.current_observation")
-    parsed = response_bodies(responses).withColumn("_payload", parse_body(F.col("body")))
+    parsed = bodies.withColumn("_payload", parse_body(F.col("body")))
     return parsed.withColumns({"city": co["display_location"]["city"], "weather": co["weather"]}).drop("_payload")
 
 

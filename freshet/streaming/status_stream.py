@@ -15,7 +15,7 @@ whatever its observation time. Arrival is ``received_at``, then
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,17 +91,26 @@ def _start(writer, spark: SparkSession, state_partitions: int | None):
 _BATCH = re.compile(r"batch_id=(\d+)")
 
 
-def _snapshot(spark: SparkSession, out_dir: str) -> tuple[str | None, int]:
+def newest_fold(spark: SparkSession, out_dir: str) -> tuple[str | None, int]:
     """Path of the newest published snapshot and the last batch it holds."""
     path = current_version(spark, f"{out_dir}_snapshots")
     return (path, int(re.search(r"upto=(\d+)", path).group(1))) if path else (None, -1)
 
 
+def batch_paths(spark: SparkSession, out_dir: str, after: int) -> list[str]:
+    """Folders of the batches after ``after``; only their names are listed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out_dir)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = [(int(m.group(1)), s.getPath().toString()) for s in files.listStatus(path) if (m := _BATCH.search(s.getPath().getName()))]
+    return [p for n, p in sorted(found) if n > after]
+
+
 def files_to_read(spark: SparkSession, out_dir: str) -> tuple[str | None, list[str]]:
-    """The newest snapshot and the files of the batches after it."""
-    path, upto = _snapshot(spark, out_dir)
-    files = spark.read.parquet(out_dir).inputFiles()
-    return path, [f for f in files if int(_BATCH.search(f).group(1)) > upto]
+    """The newest snapshot and the folders of the batches after it."""
+    path, upto = newest_fold(spark, out_dir)
+    return path, batch_paths(spark, out_dir, upto)
 
 
 def read_latest(spark: SparkSession, out_dir: str, keys: Sequence[str], ordering: Sequence[str],
@@ -118,10 +127,15 @@ def compact(spark: SparkSession, out_dir: str, keys: Sequence[str], ordering: Se
             values: Sequence[str], batch_id: int) -> None:
     """Publish a snapshot of all batches up to ``batch_id``. A repeated batch
     publishes the same content again."""
-    if _snapshot(spark, out_dir)[1] >= batch_id:
+    fold_outputs(spark, out_dir, batch_id, lambda: read_latest(spark, out_dir, keys, ordering, values))
+
+
+def fold_outputs(spark: SparkSession, out_dir: str, batch_id: int, read: Callable[[], DataFrame]) -> None:
+    """Publish what ``read`` gives as the snapshot of all batches so far."""
+    if newest_fold(spark, out_dir)[1] >= batch_id:
         return
     path = f"{out_dir}_snapshots/upto={batch_id}"
-    read_latest(spark, out_dir, keys, ordering, values).write.mode("overwrite").parquet(path)
+    read().write.mode("overwrite").parquet(path)
     publish(spark, f"{out_dir}_snapshots", path)
 
 

@@ -84,7 +84,7 @@ def main(argv):
     import __spark_entry__ as entry
     from freshet.session import build_session
 
-    spark = build_session(shuffle_partitions=int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")))
+    spark = build_session(shuffle_partitions=int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")), extra={"spark.ui.showConsoleProgress": "false"})
     qs, sqls = entry.queries(), entry.oracle_sql()
     con = duck_connection(sf_dir)
     bad = 0
