@@ -1,24 +1,35 @@
 """Approximate nearest neighbours with a robust-pruned directed graph.
 
-Vectors are dealt by a hash of their id to shards of about ``SHARD`` rows; every
-row is indexed. Equal vectors of a shard are one node that lists their ids in
-order: as nodes of their own they would prune each other's edges. A shard's graph
-is built in one task, in batches: greedy searches
+Vectors are dealt by a hash of their id to shards; every row is indexed. A shard
+has ``SHARD`` rows, and more where the table would need over ``SHARDS`` of them (up
+to ``MOST``, which bounds a task's memory), since every query goes to every shard.
+Equal vectors of a shard are one node that lists their ids in order: as nodes of
+their own they would prune each other's edges.
+
+Inside a shard rows are cut by length into bands: the longest of a band is at most
+``RATIO`` times the shortest. A band's graph is built in batches: greedy searches
 from the medoid propose neighbours for each row, robust pruning keeps the nearest
 and drops those that a kept one is closer to by the factor ``ALPHA``; kept edges
 are added backwards and overfull nodes are pruned again. Edges are therefore
 diverse and lead far as well as near.
 
 The largest inner product is searched as a smallest distance: one more component,
-sqrt(M * M - |x| * |x|) with M the shard's largest norm, gives all rows one
-norm, so the order by distance to a query (whose extra component is 0) is the
-order by inner product.
+sqrt(M * M - |x| * |x|) with M the band's largest norm, gives all rows one norm, so
+the order by distance to a query (whose extra component is 0) is the order by inner
+product. Where lengths differ much, this puts rows far apart on the added component
+and queries far from all of them, and edges between near rows no longer lead to the
+rows a query wants; hence the bands. Lengths are divided by M, so that the graph's
+single precision holds for any scale.
 
 Queries are a stated set of rows against all rows: they go to every shard, in
-blocks of ``QUERY_BLOCK``; a beam search of width ``BEAM`` gives each shard's best
-nodes, rescored in double precision on the original vectors and expanded by their
-smallest ids, as many as can be asked for; a last step ranks the shards'
-candidates. A task holds one shard and one block.
+blocks of ``QUERY_BLOCK``; a beam search gives each band's best nodes, longest band
+first, and a band that cannot reach the results so far (by its M) is passed over.
+How wide the beam has to be is measured when a shard is built: ``PROBES`` of its
+rows search, against brute force on the shard, with one of ``BEAMS`` after the other
+until ``RECALL`` is met; the last resort is a beam as wide as the band, which sees
+all of it. Hits are rescored in double precision on the original vectors and
+expanded by their smallest ids, as many as can be asked for; a last step ranks the
+shards' candidates. A task holds one shard and one block.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null id, take no part; vectors of another length
@@ -42,10 +53,12 @@ from freshet.operators.materialize import materialize
 
 NEAREST = 20
 QUERY_EVERY = 20
-SHARD = 8_192
-QUERY_BLOCK = 4_096
+SHARD, SHARDS, MOST = 8_192, 64, 131_072
+QUERY_BLOCK = 16_384
 DEGREE, ALPHA = 32, 1.2
-BUILD_BEAM, BEAM = 64, 192
+BUILD_BEAM = 64
+RATIO = 1.25
+BEAMS, RECALL, PROBES = (48, 96, 192, 384, 768), 0.98, 64
 TASKS_PER_GROUP = 2  # fewer groups meet in a task by their hash
 _BATCH = 256  # rows that search together
 _WIDTH = 4  # nodes a search expands at once
@@ -59,9 +72,28 @@ def valid(vectors: DataFrame) -> DataFrame:
     return rows.where(~bad & F.exists("v", lambda x: x != 0))
 
 
+def norms(x: np.ndarray) -> np.ndarray:
+    """Lengths, without overflow or underflow on the way."""
+    top = np.abs(x).max(axis=1)
+    return top * np.linalg.norm(x / top[:, None], axis=1)
+
+
 def _augmented(x: np.ndarray) -> np.ndarray:
-    norm = (x * x).sum(axis=1)
-    return np.concatenate([x, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1).astype(np.float32)
+    """Rows of one band, scaled to length 1 by one more component."""
+    x = x / norms(x).max()
+    return np.concatenate([x, np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))[:, None]], axis=1).astype(np.float32)
+
+
+def bands(x: np.ndarray, ratio: float = RATIO) -> list[np.ndarray]:
+    """Rows by length, longest first, cut where the longest of a band is more
+    than ``ratio`` times the row's length."""
+    size = norms(x)
+    order, cuts, top = np.argsort(-size, kind="stable"), [], None
+    for i, n in enumerate(size[order]):
+        if top is None or top > ratio * n:
+            cuts.append(i)
+            top = n
+    return np.split(order, cuts[1:])
 
 
 def _distance(points: np.ndarray, size: np.ndarray, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -170,12 +202,61 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam:
     return graph, start
 
 
-def build_index(spark: SparkSession, vectors: DataFrame, shard_rows: int = SHARD) -> DataFrame:
-    """The written index: (shard, vec_ids, v, at, near, start) for every distinct
-    vector of a shard of ``vectors`` (vec_id, v); vec_ids are its rows' ids in
-    order, at is its place in the shard, near the places its edges lead to. A
-    shard holds vectors of one length."""
-    shards = max(1, -(-vectors.count() // shard_rows))
+class Band:
+    """A band's rows ``x`` with their graph, ready to be searched."""
+
+    def __init__(self, x: np.ndarray, graph: np.ndarray, start: int):
+        self.x, self.graph, self.start, self.most = x, graph, start, float(norms(x).max())
+        self.points = _augmented(x)
+        # All points have length 1: their squares do not change the order.
+        self.size = np.zeros(len(x), np.float32)
+
+    def search(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """(rows or -1, inner products or -inf) of the best found per query."""
+        # The order does not depend on a query's length, the precision does.
+        flat = np.concatenate([q / norms(q)[:, None], np.zeros((len(q), 1))], axis=1).astype(np.float32)
+        found, _ = beam_search(self.points, self.size, self.graph, self.start, flat, min(len(self.x), beam))
+        # Summed row by row, so that equal vectors score the same in every shard.
+        score = (self.x[np.maximum(found, 0)] * q[:, None, :]).sum(axis=2)
+        return found, np.where(found >= 0, score, -np.inf)
+
+
+def _measured_beam(x: np.ndarray, parts: list[Band], nearest: int, seed: int = 20) -> int:
+    """The first of ``BEAMS`` that finds enough of what brute force finds."""
+    q = x[np.random.default_rng(seed).permutation(len(x))[:PROBES]]
+    exact = (q @ x.T).astype(np.float64)
+    k = min(nearest, len(x))
+    least = -np.partition(-exact, k - 1, axis=1)[:, k - 1]
+    for beam in BEAMS:
+        scores = np.concatenate([band.search(q, max(beam, nearest + 1))[1] for band in parts], axis=1)
+        slack = 1e-12 * np.abs(exact).max(axis=1)
+        if np.minimum((scores >= (least - slack)[:, None]).sum(axis=1), k).mean() >= RECALL * k:
+            return beam
+    return len(x)
+
+
+def index_shard(x: np.ndarray, nearest: int) -> pd.DataFrame:
+    """The graphs of a shard's distinct vectors ``x``: a row for each (row, its
+    place in ``x``; band, at, near, start, beam)."""
+    out, parts = [], []
+    for i, rows in enumerate(bands(x)):
+        graph, start = build_graph(x[rows])
+        parts.append(Band(x[rows], graph, start))
+        out.append(pd.DataFrame({"row": rows, "band": i, "at": np.arange(len(rows)), "near": [g[g >= 0] for g in graph], "start": start}))
+    return pd.concat(out).assign(beam=_measured_beam(x, parts, nearest))
+
+
+def shard_rows(rows: int) -> int:
+    return min(MOST, max(SHARD, -(-rows // SHARDS)))
+
+
+def build_index(spark: SparkSession, vectors: DataFrame, rows: int | None = None, nearest: int = NEAREST) -> DataFrame:
+    """The written index: (shard, dims, band, vec_ids, v, at, near, start, beam) for
+    every distinct vector of a shard of ``vectors`` (vec_id, v); vec_ids are its
+    rows' ids in order, at is its place in the band, near the places its edges
+    lead to, beam what the shard needs. A shard holds vectors of one length."""
+    n = vectors.count()
+    shards = max(1, -(-n // (rows or shard_rows(n))))
     keyed = vectors.withColumn("dims", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
     # A shard is small but takes long: a task for each, not merged by size.
     keyed = keyed.repartitionByRange(shards, "shard", "dims")
@@ -186,55 +267,68 @@ def build_index(spark: SparkSession, vectors: DataFrame, shard_rows: int = SHARD
         _, first, of, many = np.unique(x, axis=0, return_index=True, return_inverse=True, return_counts=True)
         vec_ids = np.split(pdf["vec_id"].to_numpy()[np.argsort(of, kind="stable")], np.cumsum(many)[:-1])
         order = np.argsort(first)
-        graph, start = build_graph(x[first[order]])
-        nodes = pdf.iloc[first[order]][["v", "dims", "shard"]]
-        return nodes.assign(vec_ids=[vec_ids[i] for i in order], at=np.arange(len(nodes)), near=[g[g >= 0] for g in graph], start=start)
+        found = index_shard(x[first[order]], nearest)
+        nodes = pdf.iloc[first[order]][["v", "dims", "shard"]].iloc[found["row"]].reset_index(drop=True)
+        ids = [vec_ids[order[r]] for r in found["row"]]
+        return nodes.join(found.drop(columns="row").reset_index(drop=True)).assign(vec_ids=ids)
 
-    schema = "vec_ids array<long>, v array<double>, dims int, shard int, at int, near array<int>, start int"
+    schema = "vec_ids array<long>, v array<double>, dims int, shard int, band int, at int, near array<int>, start int, beam int"
     return materialize(keyed.groupBy("shard", "dims").applyInPandas(build, schema), "ann-index")
 
 
 _HITS = "query_id long, vec_id long, score double"
 
 
-def _search_block(index: pd.DataFrame, queries: pd.DataFrame, nearest: int, beam: int) -> pd.DataFrame:
-    if not len(index) or not len(queries):
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+def _read_band(index: pd.DataFrame) -> tuple[Band, np.ndarray, np.ndarray, np.ndarray]:
+    """The band, its ids in one list, and where each node's ids are and how many."""
     index = index.sort_values("at")
-    x = np.stack(index["v"].tolist()).astype(np.float64)
-    held = [np.asarray(ids) for ids in index["vec_ids"]]
-    # A query's own id is no hit, however many rows of a node have it.
-    most = [nearest + int(np.unique(ids, return_counts=True)[1].max()) for ids in held]
-    held = [ids[:m] for ids, m in zip(held, most)]
-    many = np.array(list(map(len, held)))
-    vec_id, first = np.concatenate(held), np.cumsum(many) - many
-    graph = np.full((len(x), DEGREE), -1)
+    graph = np.full((len(index), DEGREE), -1)
     for i, near in enumerate(index["near"]):
         graph[i, :len(near)] = near
-    points = _augmented(x)
-    size, start = (points * points).sum(axis=1), int(index["start"].iloc[0])
+    held = [np.asarray(ids) for ids in index["vec_ids"]]
+    many = np.array(list(map(len, held)))
+    return Band(np.stack(index["v"].tolist()).astype(np.float64), graph, int(index["start"].iloc[0])), np.concatenate(held), np.cumsum(many) - many, many
+
+
+def _expanded(found: np.ndarray, score: np.ndarray, qid: np.ndarray, ids: np.ndarray, first: np.ndarray, many: np.ndarray, nearest: int) -> pd.DataFrame:
+    """A row for each id of the nodes found; a node gives as many of its smallest
+    ids as can be asked for. A query's own id is no hit, however often a node has it."""
+    own = np.unique(ids, return_counts=True)[1].max()
+    take = np.where((found >= 0) & np.isfinite(score), np.minimum(many, nearest + own)[found], 0).ravel()
+    asked = np.repeat(np.arange(len(found)).repeat(found.shape[1]), take)
+    id_ = ids[np.repeat(first[found].ravel() + take - np.cumsum(take), take) + np.arange(take.sum())]
+    hit = pd.DataFrame({"asked": asked, "query_id": qid[asked], "vec_id": id_, "score": np.repeat(score.ravel(), take)})
+    return hit[hit["query_id"] != hit["vec_id"]]
+
+
+def _search_block(index: pd.DataFrame, queries: pd.DataFrame, nearest: int, beam: int | None) -> pd.DataFrame:
+    if not len(index) or not len(queries):
+        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+    width = max(beam or int(index["beam"].iloc[0]), nearest + 1)
+    parts = [_read_band(rows) for _, rows in index.groupby("band")]  # longest first
     qid, q = queries["query_id"].to_numpy(), np.stack(queries["v"].tolist()).astype(np.float64)
-    flat = np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
-    # The order does not depend on a query's length, the precision does.
-    flat /= np.linalg.norm(flat, axis=1, keepdims=True)
     out = []
     for a in range(0, len(q), _BATCH):
-        found, _ = beam_search(points, size, graph, start, flat[a:a + _BATCH], min(len(x), max(beam, nearest + 1)))
-        # Summed row by row, so that equal vectors score the same in every shard.
-        score = (x[np.maximum(found, 0)] * q[a:a + _BATCH][:, None, :]).sum(axis=2)
-        take = np.where(found >= 0, many[found], 0).ravel()
-        asked = np.repeat(np.arange(len(found)).repeat(found.shape[1]), take)
-        id_ = vec_id[np.repeat(first[found].ravel() + take - np.cumsum(take), take) + np.arange(take.sum())]
-        hit = pd.DataFrame({"at": asked, "query_id": qid[a:a + _BATCH][asked], "vec_id": id_, "score": np.repeat(score.ravel(), take)})
-        hit = hit[(hit["query_id"] != hit["vec_id"]) & np.isfinite(hit["score"])]
-        hit = hit.iloc[np.lexsort((hit["vec_id"], -hit["score"], hit["at"]))]
-        out.append(hit[hit.groupby("at").cumcount() < nearest].drop(columns="at"))
+        part, part_id = q[a:a + _BATCH], qid[a:a + _BATCH]
+        length, least, best = norms(part), np.full(len(part), -np.inf), None
+        for band, ids, first, many in parts:
+            may = np.flatnonzero(length * band.most * (1 + 1e-9) >= least)
+            if not len(may):
+                continue
+            found, score = band.search(part[may], width)
+            hit = _expanded(found, score, part_id[may], ids, first, many, nearest)
+            best = pd.concat([best, hit.assign(asked=may[hit["asked"]])])
+            best = best.iloc[np.lexsort((best["vec_id"], -best["score"], best["asked"]))]
+            best = best[best.groupby("asked").cumcount() < nearest]
+            full = best.groupby("asked")["score"].agg(["size", "min"]).query("size == @nearest")
+            least[full.index] = full["min"]
+        out.append(best.drop(columns="asked"))
     return pd.concat(out)
 
 
-def search(spark: SparkSession, index: DataFrame, queries: DataFrame, nearest: int = NEAREST, beam: int = BEAM) -> DataFrame:
+def search(spark: SparkSession, index: DataFrame, queries: DataFrame, nearest: int = NEAREST, beam: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) for every row of ``queries`` (query_id,
-    v), which go to every shard in blocks."""
+    v), which go to every shard in blocks. ``beam`` overrides what was measured."""
     n_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     tasks = TASKS_PER_GROUP * n_blocks * ((index.agg(F.max("shard")).first()[0] or 0) + 1)
     blocks = F.lit(n_blocks)
@@ -242,7 +336,8 @@ def search(spark: SparkSession, index: DataFrame, queries: DataFrame, nearest: i
     asked = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), blocks).cast("int"))
     # A shard meets each block of the stated query set; pairs are (shard, block).
     asked = asked.join(shards, F.size("v") == F.col("d")).select("s", "d", "block", "query_id", "v")
-    held = index.select(F.col("shard").alias("s"), F.col("dims").alias("d"), "at", "vec_ids", "v", "near", "start", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)).alias("block"))
+    held = index.select(F.col("shard").alias("s"), F.col("dims").alias("d"), "band", "at", "vec_ids", "v", "near", "start", "beam",
+                        F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)).alias("block"))
     keys = ["s", "d", "block"]
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

@@ -55,6 +55,47 @@ def test_unequal_norms_and_copies(spark):
     check(got.where("query_id < 300 or query_id >= 400").collect(), {q: w for q, w in want.items() if not 300 <= q < 400}, 0.9)
 
 
+def _unequal(kind, n=1500, d=64):
+    rng = np.random.default_rng(len(kind))
+    x = rng.standard_normal((n, d))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "tight clusters":
+        return rng.standard_normal((20, d))[rng.integers(0, 20, n)] + 1e-5 * x
+    x = x if kind.startswith("gaussian") else unit * np.exp(0.3 * rng.standard_normal((n, 1))) if kind == "log-normal" else unit
+    if kind.endswith("one long row"):
+        x[7] *= 1e4
+    return x * {"gaussian, huge": 1e150, "unit, tiny": 1e-150}.get(kind, 1)
+
+
+@pytest.mark.parametrize("kind", ["unit", "unit, tiny", "log-normal", "gaussian", "gaussian, huge", "unit, one long row", "gaussian, one long row", "tight clusters"])
+def test_recall_on_vectors_of_unequal_length(kind):
+    x = _unequal(kind)
+    index = op.index_shard(x, 20)
+    frame = index.assign(v=list(x[index["row"]]), vec_ids=[[r] for r in index["row"]])
+    asked = np.arange(0, len(x), 20)
+    got = op._search_block(frame, op.pd.DataFrame({"query_id": asked, "v": list(x[asked])}), 20, None)
+    hits = 0
+    for q, w in brute(np.arange(len(x)), x).items():
+        mine = got[got["query_id"] == q]
+        assert len(mine) == 20 and q not in set(mine["vec_id"])
+        hits += (mine["score"] >= w[-1][1] - 1e-12 * abs(w[0][1])).sum()
+    assert hits >= 0.95 * 20 * len(asked)
+
+
+@pytest.mark.parametrize("shard", [8_192, 400])
+def test_gaussian_vectors_with_one_long_row(spark, shard):
+    x = _unequal("gaussian, one long row")
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, v array<double>")
+    got = op.search(spark, op.build_index(spark, df, shard), df.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "v"))
+    check(got.collect(), brute(np.arange(len(x)), x), 0.95)
+
+
+def test_bands_and_the_beam_that_was_measured():
+    x = np.array([[3.0], [1.0], [2.0], [1.0], [2.5]])
+    assert [b.tolist() for b in op.bands(x, 1.25)] == [[0, 4], [2], [1, 3]]
+    assert op.shard_rows(10) == op.SHARD and op.shard_rows(10**6) == 15_625 and op.shard_rows(10**12) == op.MOST
+
+
 @pytest.mark.parametrize("shard", [8_192, 500])
 def test_queries_inside_groups_of_copies(spark, shard):
     rng = np.random.default_rng(6)
