@@ -2,7 +2,7 @@
 
 Pages of one host are made by one wrapper. Each page is read into a DOM; its
 layout tree keeps the block elements (tag and class) and folds siblings of equal
-structure, so a layout is small however long the page is. Per host
+structure, so a layout is small however long the page is (see below). Per host
 
 1. the most frequent layout is the reference;
 2. every other layout is aligned with it by simple tree matching (the largest
@@ -14,13 +14,21 @@ structure, so a layout is small however long the page is. Per host
    adverts, forms and comments (told by element and class) are no part of it.
 
 A page's text is its region's blocks without the template: blocks that recur in
-their place on at least ``TEMPLATE_PAGES`` pages and on at least half of the pages
-that have the place. Equal siblings share a place, so a constant paragraph beside
-varying ones is told by its text. Pages whose regions have the same text count as
-one, so copies of a page are no evidence. A page
+their place on at least ``LEAST_PAGES`` pages of their own and on at least half of
+those that have the place. Equal siblings share a place, so a constant paragraph
+beside varying ones is told by its text. A page is one of its own if at least
+``OWN_SHARE`` of its region's blocks are on no other page of the host: copies, and
+near copies, are no evidence. The rule is the same for hosts of any size; on a host
+with fewer pages of their own nothing is template, as a repeat may be chance. A page
 whose layout has no counterpart of the region is read from its own article, or
 else its body.
 
+Class names help, but do not decide alone: they are read as whole words or by their
+closing word, a name that says what is absent or what the page has (no-comments,
+has-sidebar) counts for nothing, and html, body, the article and what lies around
+it are never chrome. A layout's labels leave out words with digits, and an element
+with over ``KINDS`` kinds of children is told by their elements alone.
+
 What moves between tasks are counts per (host, layout, node), combined in each
 task first, and hashes of the blocks of pages that differ; html itself is only
 joined with the small table of layouts by (host, layout). A host with a third of all pages is no group anywhere.
@@ -47,8 +55,10 @@ from pyspark.sql import functions as F
 from freshet.llm.common import table
 from freshet.operators.materialize import materialize
 
-TEMPLATE_PAGES = 20
+LEAST_PAGES = 3  # so many pages of their own have to agree before a block is template
+OWN_SHARE = 0.25  # of a page's blocks no other page has, if it is a page of its own
 DEPTH = 150  # elements nested deeper lie flat in the last one
+KINDS = 64  # more kinds of siblings than this are told by their element alone
 
 # HTML's element kinds.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -70,6 +80,14 @@ CHROME_WORDS = {
     "cookies", "disqus", "footer", "login", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo", "related", "replies",
     "respond", "share", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "complementary", "contentinfo", "search", "alert",
 }
+# A name that begins so says what is not there, or what a page as a whole has.
+NEGATIONS = {"has", "with", "no", "non", "without", "not", "hide", "is"}
+# What a chrome word may be followed by.
+PART_WORDS = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "col", "column", "container", "content", "form", "group", "header", "icon", "icons", "inner",
+    "item", "items", "label", "left", "link", "links", "list", "main", "outer", "panel", "primary", "right", "row", "secondary", "section", "slot", "title", "top", "unit",
+    "widget", "widgets", "wrap", "wrapper",
+}
 MAIN = ("article", "main")
 
 _TAG = re.compile(r"<(?:!--(?P<c>.*?)(?:-->|\Z)|[!?][^>]*>|/(?![a-zA-Z])[^>]*>|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]{0,65536}\"|'[^']{0,65536}')*+|[^>]*)>)", re.S)
@@ -78,19 +96,51 @@ _ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def _is_chrome(token: str) -> bool:
+    """A class, id or role that names chrome: the whole of it, its closing word
+    (main-sidebar, but not has-sidebar or ad-free), or its opening one if only words
+    for parts and numbers follow (footer-widgets, but not alert-level)."""
+    words = _WORD.findall(token)
+    if not words or words[0] in NEGATIONS:
+        return False
+    return words[-1] in CHROME_WORDS or words[0] in CHROME_WORDS and all(w in PART_WORDS or w.isdigit() for w in words[1:])
+
+
 class Node:
-    __slots__ = ("tag", "label", "chrome", "kids", "place")
+    __slots__ = ("tag", "label", "named", "chrome", "kids", "place")
 
     def __init__(self, tag: str, attrs: str = ""):
-        found = [(k.lower(), a or b or c) for k, a, b, c in _ATTR.findall(attrs)] if "=" in attrs else []
-        classes = ".".join(_WORD.findall(" ".join(v for k, v in found if k == "class").lower()))
+        found = [(k.lower(), (a or b or c).lower()) for k, a, b, c in _ATTR.findall(attrs)] if "=" in attrs else []
+        # Words with digits number an element (post-4711); they are no kind.
+        classes = ".".join(w for k, v in found if k == "class" for w in _WORD.findall(v) if w.isalpha())
         self.tag, self.label = tag, f"{tag}.{classes}" if classes else tag
-        words = {w for _, v in found for w in _WORD.findall(v.lower())}
-        self.chrome = tag in CHROME or bool(words & CHROME_WORDS)
+        self.named = tag not in ("html", "body") and any(_is_chrome(t) for _, v in found for t in v.split())
+        self.chrome = tag in CHROME or self.named
         self.kids: list = []  # nodes and texts
         self.place = -1
 
 
+def _spare(root: Node) -> None:
+    """What holds the page's text is no chrome, whatever it is called: an element
+    around all article and main elements, and these themselves if all of them are
+    called so (one of several may be a reader's comment)."""
+    mains: list[tuple[Node, list[Node]]] = []
+    todo = [(root, [])]
+    while todo:
+        n, above = todo.pop()
+        if n.tag in MAIN:
+            mains.append((n, above))
+        if n.tag not in CHROME:
+            todo += [(k, [*above, n] if n.named or n.tag in MAIN else above) for k in n.kids if not isinstance(k, str)]
+    good = [m for m in mains if not m[0].named] or mains
+    for n, _ in good:
+        n.chrome = False
+    around = [{id(x): x for x in above} for _, above in good]
+    for i, n in (around[0] if around else {}).items():
+        if all(i in others for others in around):
+            n.chrome = False
+
+
 def parse(html: str) -> Node:
     """The DOM below one root; raw text elements stay empty."""
     root = Node("#root")
@@ -132,6 +182,7 @@ def parse(html: str) -> Node:
             at = end.end() if end else len(html)
         elif tag not in VOID and not m["attrs"].endswith("/") and len(stack) < DEPTH:
             stack.append(node)
+    _spare(root)
     return root
 
 
@@ -182,12 +233,24 @@ def layout(root: Node) -> str:
             elif not kid.chrome or kid.tag not in CHROME:
                 form, made = shape(kid)
                 kids.setdefault(form, []).append((kid, made))
+        if len(kids) > KINDS:
+            plain: dict[str, list] = {}
+            for kid, _ in (k for of in kids.values() for k in of):
+                plain.setdefault(kid.tag, []).append((kid, None))
+            kids = plain
         text = f"{n.label}({','.join(kids)})" if kids else n.label
         return text, kids
 
     text, kids = shape(root)
     count = [0]
 
+    def flatten(n: Node, place: int) -> None:
+        """What lies below an element of too many kinds shares its place."""
+        for kid in n.kids:
+            if not isinstance(kid, str) and not (kid.chrome and kid.tag in CHROME):
+                kid.place = place if kid.tag not in INLINE else -1
+                flatten(kid, place)
+
     def number(nodes: list, text: str) -> None:
         """Equal siblings share their places."""
         place = count[0]
@@ -195,7 +258,9 @@ def layout(root: Node) -> str:
         merged: dict[str, list] = {}
         for node, inner in nodes:
             node.place = place
-            for form, below in inner.items():
+            if inner is None:
+                flatten(node, place)
+            for form, below in (inner or {}).items():
                 merged.setdefault(form, []).extend(below)
         for form, below in merged.items():
             number(below, form)
@@ -361,20 +426,27 @@ def host_of(url) -> F.Column:
 
 
 def _template(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """(host, template): the (at, text) of the blocks in a host's reference
-    places that recur on pages with different regions, on TEMPLATE_PAGES and on
-    half of those that have the place at least; so these are few."""
+    """(host, template): the (at, text) of the blocks in a host's reference places
+    that at least LEAST_PAGES pages of their own have, and half of those that have
+    the place. A page is one of its own if OWN_SHARE of its region's blocks are on
+    no other page of the host, so copies and near copies are no evidence."""
     met = pages.mapInArrow(_texts, _TEXTS).join(wrappers.where("region is not null"), ["host", "layout"])
     inside = F.filter(F.arrays_zip("places", "texts"), lambda p: (p["places"] >= F.col("region")) & (p["places"] < F.col("end")))
     met = met.select("host", "to", inside.alias("inside")).withColumn("page", F.xxhash64("inside"))
-    at = lambda p: F.element_at("to", p["places"] + 1).alias("at")
-    texts = F.transform("inside", lambda p: F.struct(at(p), p["texts"].alias("text")))
-    places = F.transform("inside", lambda p: F.struct(at(p), F.lit(None).cast("long").alias("text")))  # counts the pages that have the place
-    met = met.select("host", "page", F.explode(F.array_distinct(F.concat(texts, places))).alias("t")).select("host", "page", "t.at", "t.text")
-    counts = met.where("at >= 0").distinct().groupBy("host", "at", "text").agg(F.count("*").alias("n")).where(F.col("n") >= TEMPLATE_PAGES)
-    counts = materialize(counts, "template-counts")
-    reach = counts.where("text is null").select("host", "at", F.col("n").alias("reach"))
-    fixed = counts.where("text is not null").join(reach, ["host", "at"]).where("2 * n >= reach")
+    texts = F.transform("inside", lambda p: F.struct(F.element_at("to", p["places"] + 1).alias("at"), p["texts"].alias("text")))
+    met = met.select("host", "page", F.explode(F.array_distinct(texts)).alias("t")).select("host", "page", "t.at", "t.text")
+    met = materialize(met.where("at >= 0").distinct(), "template-blocks")
+    often = met.groupBy("host", "at", "text").agg(F.count("*").alias("n")).where("n > 1")
+    shared = met.join(materialize(often.drop("n"), "template-often"), ["host", "at", "text"], "left_semi")
+    shared = materialize(shared, "template-shared")
+    every = met.groupBy("host", "page").agg(F.count("*").alias("all"))
+    again = shared.groupBy("host", "page").agg(F.count("*").alias("again"))
+    own = every.join(again, ["host", "page"], "left").where(F.coalesce("again", F.lit(0)) <= F.col("all") * (1 - OWN_SHARE)).select("host", "page")
+    own = materialize(own, "template-pages")
+    mine = lambda rows: rows.join(own, ["host", "page"], "left_semi")
+    counts = mine(shared).groupBy("host", "at", "text").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
+    reach = mine(met.select("host", "page", "at").distinct()).groupBy("host", "at").agg(F.count("*").alias("reach"))
+    fixed = counts.join(reach, ["host", "at"]).where("2 * n >= reach")
     return fixed.groupBy("host").agg(F.collect_list(F.struct("at", "text")).alias("template"))
 
 

@@ -124,3 +124,56 @@ def test_constant_blocks_beside_varying_siblings_go(spark):
     assert all(got[100 + i] == f"Title {100 + i}\nText {100 + i} of the page.\nLast words of {i}." for i in range(20))
     assert all(got[200 + i].endswith(f"Text {i} of the page.\nSee also:") for i in range(20))  # few pages: text
     assert all("Title 7" in got[500 + i] and "Sign up now!" in got[500 + i] for i in range(25))
+
+
+def _post(i, body_class="", article_class=""):
+    return (f"<html><body class='{body_class}'><div class='site-header'><p>Site</p></div><div id=content class='layout'><article class='{article_class}'>"
+            f"<h1>Title {i}</h1><p>Text {i} one.</p><p>Text {i} two.</p></article></div><div class='footer-widgets'><p>Foot</p></div></body></html>")
+
+
+@pytest.mark.parametrize("make", [
+    lambda i: _post(i, "post has-sidebar"), lambda i: _post(i, "no-comments right-sidebar"), lambda i: _post(i, "search-results"), lambda i: _post(i, "", "post ad-free"),
+    lambda i: _post(i).replace("class='layout'", "class='layout with-sidebar'"), lambda i: _post(i).replace("class='layout'", "class='right-sidebar'"),
+    lambda i: _post(i, "page comments"), lambda i: _post(i, "", "comment"),
+    lambda i: _post(i).replace("</article>", "</article><div class='comments'><article class='comment'><p>First!</p></article></div>"),
+])
+def test_class_names_do_not_empty_pages(spark, make):
+    df = spark.createDataFrame([(i, "http://h.net/", make(i)) for i in range(6)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in op.extract(df).collect()}
+    assert got == {i: f"Title {i}\nText {i} one.\nText {i} two." for i in range(6)}
+
+
+def test_names_of_chrome():
+    assert all(op._is_chrome(t) for t in ("sidebar", "main-sidebar", "footer-widgets", "sidebar-left", "ad_slot_3", "cookie-banner", "menu-item"))
+    assert not any(op._is_chrome(t) for t in ("has-sidebar", "with-sidebar", "no-comments", "ad-free", "alert-level", "search-results", "", "-", "post", "header"))
+
+
+@pytest.mark.parametrize("n", [2, 3, 19, 20, 21])
+def test_hosts_of_all_sizes_are_judged_alike(spark, n):
+    """A fixed line goes from three pages on; a line two pages share stays."""
+    def make(i):
+        extra = "<p>Shared by two.</p>" if i < 2 else ""
+        return _post(i).replace("</article>", f"{extra}<p>Read more on our site.</p></article>")
+    df = spark.createDataFrame([(i, "http://h.net/", make(i)) for i in range(n)], "page_id long, url string, html string")
+    for r in op.extract(df).collect():
+        lines = r["text"].split("\n")
+        assert ("Read more on our site." in lines) == (n < op.LEAST_PAGES)
+        assert ("Shared by two." in lines) == (r["page_id"] < 2) and f"Text {r['page_id']} two." in lines
+
+
+def test_near_copies_are_no_evidence(spark):
+    near = lambda i: _post(7).replace("</article>", "".join(f"<p>Paragraph {k}.</p>" for k in range(10)) + f"<p>Seen {i} times.</p></article>")
+    df = spark.createDataFrame([(i, "http://h.net/", near(i)) for i in range(30)] + [(100 + i, "http://h.net/", _post(i)) for i in range(5)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in op.extract(df).collect()}
+    assert all("Text 7 two.\nParagraph 0." in got[i] and f"Seen {i} times." in got[i] for i in range(30))
+
+
+def test_very_many_classes_stay_small():
+    letters = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    html = "<article>" + "".join(f"<div class='{letters(i)} post-{i}'><p>w{i}<ul><li>x</ul></div>" for i in range(20_000)) + "</article>"
+    root = op.parse(html)
+    text = op.layout(root)
+    assert len(text) < 100 and len(op.match_trees(op.Layout(text), op.Layout(text))) == 3
+    assert op.main_text(html, None, None) == "\n".join(f"w{i}\nx" for i in range(20_000))
+    numbered = op.parse("".join(f"<div class='item item-{i}'><p>w</div>" for i in range(100)))
+    assert op.layout(numbered) == "#root(div.item.item(p))"
