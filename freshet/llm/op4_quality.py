@@ -13,13 +13,16 @@ part instead of following it (non-negative risk).
 The share p is estimated first: a plain positive-against-unlabelled model of one
 half ranks the other half, and p is the smallest ratio (unlabelled share) /
 (positive share) over the tops of that ranking that hold at least ``PRIOR_SHARE``
-of the positives, averaged over both halves.
+of the positives, averaged over both halves. The unlabelled shares count every
+unlabelled row of the half; the features' means and deviations are those of all
+learning rows.
 
 Features describe the whole text: shares of character classes and of each ASCII
 mark, word lengths, repeated words, pairs and lines. They are computed in one
-pass over all documents and written; learning reads at most ``SAMPLE`` positives
-and as many unlabelled rows (those with the smallest hash of doc_id; the bound is
-a parameter), scoring reads every row.
+pass over all documents and written. Corpus statistics (means, deviations, the
+shares behind p) cover all rows; only the gradient steps run on a sample, at most
+``SAMPLE`` positives and as many unlabelled rows (those with the smallest hash of
+doc_id; the bound is a parameter). Scoring reads every row.
 
 Defined cases: null and empty texts have all features zero and get a score like
 any other; with fewer than two positives or unlabelled rows every score is 0.5;
@@ -30,7 +33,7 @@ positive only if all its labels are 1; very long texts are read whole.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -132,33 +135,37 @@ def _softplus(g: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, g)
 
 
-def train(pos: np.ndarray, unl: np.ndarray, prior: float | None, seed: int = 4) -> Model:
+def gradients(par: list[np.ndarray], zp: np.ndarray, zu: np.ndarray, prior: float | None) -> list[np.ndarray]:
+    """Of the risk by the parameters; of its negative part, turned round, where
+    that has gone below zero."""
+    hidden = [np.tanh(x @ par[0] + par[1]) for x in (zp, zu)]
+    gp, gu = (h @ par[2] + par[3] for h in hidden)
+    if prior is None:  # d loss / d logit
+        dp, du = -_sigmoid(-gp) / len(gp), _sigmoid(gu) / len(gu)
+    elif _softplus(gu).mean() - prior * _softplus(gp).mean() >= 0:
+        dp = prior * (-_sigmoid(-gp) - _sigmoid(gp)) / len(gp)
+        du = _sigmoid(gu) / len(gu)
+    else:  # undo the part that has gone below zero
+        dp, du = prior * _sigmoid(gp) / len(gp), -_sigmoid(gu) / len(gu)
+    grads = [np.zeros_like(p) for p in par]
+    for x, h, d in ((zp, hidden[0], dp), (zu, hidden[1], du)):
+        back = d[:, None] * par[2] * (1 - h * h)
+        for g, v in zip(grads, (x.T @ back, back.sum(axis=0), h.T @ d, np.array([d.sum()]))):
+            g += v
+    grads[0] += RIDGE * par[0]
+    grads[2] += RIDGE * par[2]
+    return grads
+
+
+def train(pos: np.ndarray, unl: np.ndarray, prior: float | None, mean: np.ndarray, scale: np.ndarray, seed: int = 4) -> Model:
     """Minimise the non-negative risk by Adam; with ``prior`` None, plain
     logistic regression of positives against unlabelled rows."""
-    both = np.concatenate([pos, unl])
-    mean, scale = both.mean(axis=0), both.std(axis=0) + 1e-6
-    z = np.clip((both - mean) / scale, -8, 8)
-    zp, zu = z[:len(pos)], z[len(pos):]
-    rng = np.random.default_rng(seed)
-    par = [rng.standard_normal((both.shape[1], HIDDEN)) / np.sqrt(both.shape[1]), np.zeros(HIDDEN), rng.standard_normal(HIDDEN) / np.sqrt(HIDDEN), np.zeros(1)]
+    zp, zu = (np.clip((x - mean) / scale, -8, 8) for x in (pos, unl))
+    rng, width = np.random.default_rng(seed), pos.shape[1]
+    par = [rng.standard_normal((width, HIDDEN)) / np.sqrt(width), np.zeros(HIDDEN), rng.standard_normal(HIDDEN) / np.sqrt(HIDDEN), np.zeros(1)]
     first, second = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
     for step in range(1, STEPS + 1):
-        hidden = [np.tanh(x @ par[0] + par[1]) for x in (zp, zu)]
-        gp, gu = (h @ par[2] + par[3] for h in hidden)
-        if prior is None:  # d loss / d logit
-            dp, du = -_sigmoid(-gp) / len(gp), _sigmoid(gu) / len(gu)
-        elif _softplus(gu).mean() - prior * _softplus(gp).mean() >= 0:
-            dp = prior * (-_sigmoid(-gp) - _sigmoid(gp)) / len(gp)
-            du = _sigmoid(gu) / len(gu)
-        else:  # undo the part that has gone below zero
-            dp, du = prior * _sigmoid(gp) / len(gp), -_sigmoid(gu) / len(gu)
-        grads = [np.zeros_like(p) for p in par]
-        for x, h, d in ((zp, hidden[0], dp), (zu, hidden[1], du)):
-            back = d[:, None] * par[2] * (1 - h * h)
-            for g, v in zip(grads, (x.T @ back, back.sum(axis=0), h.T @ d, np.array([d.sum()]))):
-                g += v
-        grads[0] += RIDGE * par[0]
-        grads[2] += RIDGE * par[2]
+        grads = gradients(par, zp, zu, prior)
         for i, g in enumerate(grads):
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.999 * second[i] + 0.001 * g * g
@@ -166,22 +173,21 @@ def train(pos: np.ndarray, unl: np.ndarray, prior: float | None, seed: int = 4)
     return Model(mean, scale, par[0], par[1], par[2], float(par[3][0]))
 
 
-def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
+def estimate_prior(pos: np.ndarray, halves: list[np.ndarray], mean: np.ndarray, scale: np.ndarray,
+                   above: Callable[[int, Model, np.ndarray], np.ndarray]) -> float:
     """Share of positives among the unlabelled rows: each half is ranked by a
-    model of the other half, so fitting noise does not lower the ratio."""
+    model of the other half, so fitting noise does not lower the ratio. ``halves``
+    are samples of the unlabelled rows; ``above`` gives, for a half, a model and
+    rising cuts of its logit, the share of the half's rows from each cut on."""
     found = []
     for half in (0, 1):
-        model = train(pos[half::2], unl[half::2], None)
-        p, u = np.sort(model.logit(pos[1 - half::2])), np.sort(model.logit(unl[1 - half::2]))
+        model = train(pos[half::2], halves[half], None, mean, scale)
+        p = np.sort(model.logit(pos[1 - half::2]))
         cut = np.quantile(p, np.linspace(0, 1 - PRIOR_SHARE, 100))
-        found.append(((len(u) - np.searchsorted(u, cut)) / len(u) / ((len(p) - np.searchsorted(p, cut)) / len(p))).min())
+        found.append((above(1 - half, model, cut) / ((len(p) - np.searchsorted(p, cut)) / len(p))).min())
     return float(np.clip(np.mean(found), 0.01, 0.99))
 
 
-def learn(pos: np.ndarray, unl: np.ndarray) -> Model | None:
-    return train(pos, unl, estimate_prior(pos, unl)) if min(len(pos), len(unl)) > 1 else None
-
-
 _BUCKETS = 1 << 30
 
 
@@ -196,11 +202,42 @@ def _sample(rows: DataFrame, n: int) -> np.ndarray:
     return np.array([r["x"] for r in picked], np.float64).reshape(-1, WIDTH)
 
 
+def statistics(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of every feature over all ``rows`` (x)."""
+    each = [f(F.get("x", F.lit(i)).cast("double")) for f in (F.avg, F.stddev_pop) for i in range(WIDTH)]
+    got = np.array(rows.agg(*each).first(), np.float64)
+    return got[:WIDTH], got[WIDTH:] + 1e-6
+
+
+def share_above(rows: DataFrame, model: Model, cuts: np.ndarray) -> np.ndarray:
+    """Share of all ``rows`` (x) whose logit is at least each of the rising
+    ``cuts``; a task gives out one row of counts for each batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            logit = model.logit(np.asarray(b.column(0).flatten(), np.float64).reshape(-1, WIDTH))
+            between = np.bincount(np.searchsorted(cuts, logit, side="right"), minlength=len(cuts) + 1)
+            yield pa.RecordBatch.from_arrays([pa.array([between.tolist()], pa.list_(pa.int64()))], names=["n"])
+
+    counts = rows.select("x").mapInArrow(run, "n array<long>")
+    n = np.array(counts.agg(*[F.coalesce(F.sum(F.get("n", F.lit(i))), F.lit(0)) for i in range(len(cuts) + 1)]).first(), np.float64)
+    return (n.sum() - np.cumsum(n)[:-1]) / n.sum()
+
+
 def fit(rows: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Model from ``rows`` (doc_id, x) and trusted ``labels`` (doc_id, quality)."""
     marks = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
     known = materialize(rows.where("doc_id is not null").join(marks, "doc_id", "left").where("q is null or q = 1").select("doc_id", "x", "q"), "quality-known")
-    return learn(_sample(known.where("q = 1"), sample), _sample(known.where("q is null"), sample))
+    pos, unknown = _sample(known.where("q = 1"), sample), known.where("q is null")
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2))
+    parts = [unknown.where(half == h) for h in (0, 1)]
+    halves = [_sample(p, sample // 2) for p in parts]
+    if len(pos) < 2 or sum(map(len, halves)) < 2:
+        return None
+    if not all(map(len, halves)):  # a handful of rows, all in one half
+        parts, halves = [unknown] * 2, [np.concatenate(halves)] * 2
+    mean, scale = statistics(known)
+    prior = estimate_prior(pos, halves, mean, scale, lambda h, model, cuts: share_above(parts[h], model, cuts))
+    return train(pos, np.concatenate(halves), prior, mean, scale)
 
 
 def score(rows: DataFrame, model: Model | None) -> DataFrame:

@@ -33,8 +33,12 @@ def test_prior_of_a_known_mixture():
     rng = np.random.default_rng(1)
     draw = lambda n, at: rng.standard_normal((n, 4)) + at
     pos, unl = draw(2000, 2), np.concatenate([draw(1400, 2), draw(600, -2)])
-    assert abs(op.estimate_prior(pos, unl) - 0.7) < 0.05
-    model = op.train(pos, unl, 0.7)
+    both = np.concatenate([pos, unl])
+    mean, scale = both.mean(axis=0), both.std(axis=0)
+    halves = [unl[0::2], unl[1::2]]
+    above = lambda h, model, cuts: (model.logit(halves[h])[:, None] >= cuts).mean(axis=0)
+    assert abs(op.estimate_prior(pos, halves, mean, scale, above) - 0.7) < 0.05
+    model = op.train(pos, unl, 0.7, mean, scale)
     assert (model.score(draw(500, 2)) > 0.5).mean() > 0.97 and (model.score(draw(500, -2)) < 0.5).mean() > 0.97
 
 
@@ -49,6 +53,48 @@ def test_negative_labels_are_not_learned_from(spark):
     assert np.array_equal(a.w1, b.w1)
 
 
+def _risk(par, zp, zu, prior):
+    """The part of the risk that a step follows, and the ridge, as written."""
+    logit = lambda x: np.tanh(x @ par[0] + par[1]) @ par[2] + par[3]
+    loss = lambda g: np.log1p(np.exp(-g)).mean()
+    gp, gu = logit(zp), logit(zu)
+    ridge = op.RIDGE * ((par[0] ** 2).sum() + (par[2] ** 2).sum()) / 2
+    if prior is None:
+        return loss(gp) + loss(-gu) + ridge
+    rest = loss(-gu) - prior * loss(-gp)
+    return (prior * loss(gp) + rest if rest >= 0 else -rest) + ridge
+
+
+@pytest.mark.parametrize("prior, shift", [(None, 0), (0.4, 0), (0.95, 3)])
+def test_gradients_are_those_of_the_risk(prior, shift):
+    rng = np.random.default_rng(5)
+    zp, zu = rng.standard_normal((30, 4)) + shift, rng.standard_normal((50, 4)) - shift
+    par = [rng.standard_normal((4, op.HIDDEN)), rng.standard_normal(op.HIDDEN), rng.standard_normal(op.HIDDEN), np.array([0.3])]
+    for p, g in zip(par, op.gradients(par, zp, zu, prior)):
+        for at in list(np.ndindex(p.shape))[:40]:
+            was, found = p[at], []
+            for d in (1e-6, -1e-6):
+                p[at] = was + d
+                found.append(_risk(par, zp, zu, prior))
+            p[at] = was
+            assert abs((found[0] - found[1]) / 2e-6 - g[at]) < 1e-6
+
+
+def test_statistics_and_shares_cover_all_rows(spark):
+    """More rows than the sample: means, deviations and shares are those of all."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.random((900, op.WIDTH)), rng.random((100, op.WIDTH)) + 5]).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "doc_id long, x array<float>").repartition(7)
+    mean, scale = op.statistics(rows)
+    assert np.allclose(mean, x.astype(float).mean(axis=0)) and np.allclose(scale, x.astype(float).std(axis=0) + 1e-6)
+    labels = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+    model = op.fit(rows, labels, sample=40)
+    assert np.allclose(model.mean, mean) and np.allclose(model.scale, scale)
+    logit = model.logit(x.astype(float))
+    cuts = np.quantile(logit, [0, 0.1, 0.5, 0.9, 1])
+    assert np.allclose(op.share_above(rows, model, cuts), [(logit >= c).mean() for c in cuts])
+
+
 def test_defined_cases(spark, tmp_path):
     texts = [None, "", " \n", "word " * 200_000, "one", "ünï cödé \U0001f600 text."] + [f"some words here {i}." for i in range(40)] * 2
     docs = spark.createDataFrame([(i % 60, t, 1, "c") for i, t in enumerate(texts)], "doc_id long, text string, score int, x string")
