@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.operators.materialize import materialize
+from freshet.operators.progress import run_in_waves
 from freshet.plans import catalog, renewal
 from freshet.plans.standins import landed_chunks, standin, status_locations, with_standins
 from freshet.session import work_path
@@ -56,6 +57,38 @@ def q_error_messages_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _messages(spark, sf_dir, carry=True)
 
 
+# The wave before which the query's first run dies, of how many.
+DIES_AT, WAVES = 2, 4
+
+
+class Killed(Exception):
+    """Stands for a driver that dies."""
+
+
+def q_renewal_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The renewal's steps in waves of commit batches: a run that dies between two
+    waves, and one that goes on from there."""
+    root = work_path(spark, "renewal_restart")
+    t, td, tv = (standin(spark, sf_dir, n) for n in ("tariff", "tariff_domain", "tariff_data"))
+    results = standin(spark, sf_dir, "tariff_apply_result")
+    plan = lambda: renewal.commit_batches(materialize(renewal.renewal_candidates(t, td, tv), "candidates"))
+    work = lambda batches: renewal.processed(batches, td, results)
+    begun: list[int] = []
+
+    def dies(wave: int) -> None:
+        if wave == DIES_AT:
+            raise Killed
+
+    try:
+        run_in_waves(spark, root, plan, work, WAVES, before_wave=dies)
+    except Killed:
+        pass
+    out = run_in_waves(spark, root, plan, work, WAVES, before_wave=begun.append)
+    if begun[:1] not in ([], [DIES_AT]):
+        raise RuntimeError(f"waves {begun} were done again")
+    return out.drop("wave")
+
+
 def _message_sql(code: str, carry: bool) -> str:
     applied = "CASE WHEN c.tv_id IS NOT NULL THEN {'e': r.err_msg} END"
     text = f"(last_value({applied} IGNORE NULLS) OVER (ORDER BY c.rnum ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)).e" if carry else f"({applied}).e"
@@ -144,6 +177,7 @@ QUERIES = {
     "domain_paths": q_domain_paths,
     "error_messages_paths": q_error_messages_paths,
     "error_messages_as_written": q_error_messages_as_written,
+    "renewal_restart": q_renewal_restart,
     "unanswered_requests": q_unanswered_requests,
     "status_state_stream": q_status_state_stream,
 }
@@ -153,6 +187,17 @@ SQL = {
     "error_messages_paths": "WITH RECURSIVE " + _tree_sql(f"SELECT CAST(n_nationkey AS BIGINT) AS id, {DOMAIN_PARENT} AS parent_id, n_name AS code FROM nation")
                             + ",\nnames AS (SELECT id, path AS code FROM paths),\n" + _RENEWAL + _message_sql("d.code", carry=False),
     "error_messages_as_written": "WITH names AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS code FROM nation),\n" + _RENEWAL + _message_sql("d.code", carry=True),
+    "renewal_restart": "WITH " + _RENEWAL + """,
+batches AS (
+  SELECT *, CAST(COALESCE(SUM(CASE WHEN rnum % 5 = 0 THEN 1 ELSE 0 END)
+                 OVER (ORDER BY rnum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS commit_batch FROM cands)
+SELECT b.t_id, rnum, commit_batch,
+       CASE WHEN tv_id IS NULL THEN 'mark_ready' WHEN tv_is_ready = 'N' AND tv_date_from IS NOT NULL THEN 'clear_and_apply' ELSE 'apply' END AS action,
+       CASE WHEN failed THEN 'E' END AS severity,
+       CASE WHEN failed THEN 'Approve failed for "' || coalesce(d.n_name, '') || '/' || coalesce(t_name, '') || '": ' || err_msg END AS message
+FROM (SELECT b.*, r.err_msg, tv_id IS NOT NULL AND coalesce(substr(r.err_msg, 1, 1) = 'E', false) AS failed
+      FROM batches b LEFT JOIN tariff_apply_result r ON r.id = b.t_id) b
+LEFT JOIN nation d ON d.n_nationkey = b.tariff_domain__oid""",
     "unanswered_requests": f"SELECT event_id AS request_id, 'L/' || user_id AS location, ts AS polled_at FROM events WHERE event_id % {SILENT} = 0 OR event_id % {LATE} = 0",
     "status_state_stream": catalog.WEATHER_SQL["status_refresh_stream"],
 }

@@ -243,6 +243,16 @@ def tariff_messages(candidates: DataFrame, tariff_domain: DataFrame, apply_resul
     return j.filter(is_error(F.col("err_msg"))).select(*out)
 
 
+def processed(batches: DataFrame, tariff_domain: DataFrame, apply_result: DataFrame) -> DataFrame:
+    """What the loop does with each candidate of ``batches`` (candidates with
+    their commit batch): the action, and the message of a failed apply."""
+    action = F.when(F.col("tv_id").isNull(), "mark_ready").when(
+        (F.col("tv_is_ready") == NO) & F.col("tv_date_from").isNotNull(), "clear_and_apply").otherwise("apply")
+    said = tariff_messages(batches, tariff_domain, apply_result).select(F.col("id").alias("_said"), "severity", "message")
+    rows = batches.select("t_id", "rnum", "commit_batch", action.alias("action"))
+    return rows.join(said, rows["t_id"] == said["_said"], "left").drop("_said")
+
+
 def domain_messages(domains: DataFrame, approve_result: DataFrame) -> DataFrame:
     """Messages of the template-domain stage."""
     res = approve_result.select(F.col("id").alias("_res_id"), "err_msg")
