@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.functions.variant_payload import field_kinds, variant_body, variant_conditions
 from freshet.operators.materialize import materialize
 from freshet.operators.progress import run_in_waves
-from freshet.plans import catalog, renewal
-from freshet.plans.standins import landed_chunks, standin, status_locations, with_standins
+from freshet.plans import catalog, renewal, weather
+from freshet.plans.standins import conditions_log_records, landed_chunks, standin, status_locations, with_standins
 from freshet.session import work_path
 from freshet.sources.landing import read_landed_stream
+from freshet.sources.response_log import read_response_log, write_response_log
 from freshet.sources.tables import load
 from freshet.streaming.state_stream import current_status, read_state, run_responses, run_status
 from freshet.streaming.unanswered import run_unanswered
@@ -173,7 +175,38 @@ def q_status_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_status(status, read_state(spark, f"{root}/state"))
 
 
+# --------------------------------------------------------------- payloads --
+
+def _logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conditions log, written and read back."""
+    recs = conditions_log_records(spark, sf_dir)
+    path = work_path(spark, "conditions_log")
+    write_response_log(recs, path, F.col("city"), F.col("at"), F.col("body"), mode="errorifexists")
+    return read_response_log(spark, path)
+
+
+def q_payload_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each logged field came as which type, and which fields change."""
+    return field_kinds(_logged(spark, sf_dir))
+
+
+def q_conditions_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest reading per city, read through variants instead of a schema."""
+    recs = _logged(spark, sf_dir).withColumn("v", variant_body(F.col("body")))
+    names = catalog._READING_COLUMNS
+    typed = recs.select("logged_at", *variant_conditions(F.col("v"))).select(*names, "observed_at", "logged_at")
+    return weather.latest_reading(typed).select(*names, F.col("observed_at").cast("timestamp_ntz").alias("observed_at"))
+
+
+_SENT = {
+    "display_location": "'object'", "station_id": "'text'", "observation_epoch": "'text'", "weather": "'text'", "temp_f": "'number'",
+    "wind_gust_mph": "CASE WHEN event_type IN ('click', 'view') THEN 'text' ELSE 'number' END", "relative_humidity": "'text'", "precip_1hr_in": "'text'",
+    "heat_index_f": "CASE WHEN value < 50 THEN 'text' ELSE 'number' END", "solarradiation": "'text'",
+}
+
 QUERIES = {
+    "payload_drift": q_payload_drift,
+    "conditions_variant": q_conditions_variant,
     "domain_paths": q_domain_paths,
     "error_messages_paths": q_error_messages_paths,
     "error_messages_as_written": q_error_messages_as_written,
@@ -182,6 +215,10 @@ QUERIES = {
     "status_state_stream": q_status_state_stream,
 }
 SQL = {
+    "payload_drift": "WITH sent AS (" + " UNION ALL ".join(f"SELECT '{f}' AS field, {k} AS kind FROM events" for f, k in _SENT.items()) + """),
+counts AS (SELECT field, kind, count(*) AS n FROM sent GROUP BY field, kind)
+SELECT field, kind, n, count(*) OVER (PARTITION BY field) > 1 AS drifts FROM counts""",
+    "conditions_variant": catalog.WEATHER_SQL["conditions_latest"],
     "domain_paths": "WITH RECURSIVE " + _tree_sql(f"SELECT c_custkey AS id, CAST({CUSTOMER_PARENT} AS BIGINT) AS parent_id, CAST(c_custkey % 100 AS VARCHAR) AS code FROM customer")
                     + "\nSELECT * FROM paths",
     "error_messages_paths": "WITH RECURSIVE " + _tree_sql(f"SELECT CAST(n_nationkey AS BIGINT) AS id, {DOMAIN_PARENT} AS parent_id, n_name AS code FROM nation")
