@@ -27,7 +27,8 @@ and changed words do not hide a passage.
 
 Defined cases: null, empty and blank texts match nothing; a null or empty item
 matches nothing; an item that repeats another's text reports under each id;
-repeated rows are judged one by one; texts are read whole. An empty benchmark
+rows of one doc_id are judged one by one and
+reported together, with the best hit of each item; texts are read whole. An empty benchmark
 or an empty table gives an empty result.
 """
 
@@ -295,7 +296,7 @@ _SCHEMA = "doc_id long, item_id long, cosine double, lcs double, first_word long
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document row and benchmark item found in it."""
+    """One row per doc_id and benchmark item found in a row of it."""
     found = spark.createDataFrame([], _SCHEMA)
     for block in _blocks(benchmark):
         found = found.unionByName(_found(docs, build_index(spark, docs.select("text"), block)))
