@@ -27,9 +27,9 @@ and changed words do not hide a passage.
 
 Defined cases: null, empty and blank texts match nothing; a null or empty item
 matches nothing; an item that repeats another's text reports under each id;
-rows of one doc_id are judged one by one and
-reported together, with the best hit of each item; texts are read whole. An empty benchmark
-or an empty table gives an empty result.
+rows of one doc_id are judged one by one and reported together, with the best
+hit of each item; texts are read whole. An empty benchmark or an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
