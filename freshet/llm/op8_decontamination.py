@@ -2,10 +2,13 @@
 
 1. Benchmark items are cut into passages of about ``PASSAGE`` words, with one
    more passage across each cut, half on either side, for quotes that straddle
-   it. They are the query set: taken in blocks of ``BLOCK`` passages, each block against
-   all documents, so what the driver and a task hold of them is bounded.
-2. Inverse document frequencies of the block's terms come from one pass over
-   every document (tiles of ``WINDOW`` words).
+   it. They are the query set: taken in blocks of ``BLOCK`` passages, each block
+   against all documents. One pass over the documents serves ``BLOCKS_PER_PASS``
+   blocks and its hits are written before the next begins, so what the driver and
+   a task hold of the blocks is bounded.
+2. Inverse document frequencies of all the benchmark's terms come from one pass
+   over every document (tiles of ``WINDOW`` words). No term is left
+   out, so a paraphrase that changes the rare words still has candidates.
 3. A randomised SVD of the block's TF-IDF passages gives the latent space: the
    rows stay in Spark, tasks add up A'(A Q) for the present basis Q, the driver
    only orthonormalises one (terms x rank) matrix per power iteration. The
@@ -17,10 +20,12 @@
    length counts all its words, those unknown to the benchmark with the mean
    weight, so one shared rare word is no candidate. Folding is linear, so each
    term's inner products with all passages are computed once (terms x passages).
-5. A candidate counts if the longest common subsequence of words between the
-   passage and the text around the window has at least ``MIN_LCS`` of the
-   passage's words, and ``MIN_ANSWER`` of the words of its last quarter (where
-   an item states its answer) are in that subsequence's neighbourhood.
+5. A candidate counts if some stretch of ``SPREAD`` times the passage's length
+   around the window holds at least ``MIN_LCS`` of the passage's words as a common
+   subsequence, with ``MIN_ANSWER`` of the words of its last quarter (where an item
+   states its answer), in order and after the words of the rest. The stretch's
+   length is bounded so that a text on the same subject, or one that repeats an
+   item's words in any order, does not add up to a subsequence.
 
 Words are compared without case and ASCII marks, so changed punctuation, inserted
 and changed words do not hide a passage.
@@ -45,6 +50,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm.common import table
+from freshet.operators.materialize import materialize
 
 PASSAGE = 64
 SHORTEST = 8  # a tail of fewer words joins the passage before it
@@ -52,10 +58,11 @@ BLOCK = 512
 WINDOW = 32
 RANK, OVERSAMPLE, ITERATIONS = 384, 10, 2
 TERM_GROUPS = 64  # in which the tasks' shares of the basis are added up
-STOP_SHARE = 0.01  # terms in more than this share of the tiles are left out of the vectors
+BLOCKS_PER_PASS = 8
 MIN_COSINE = 0.2
 MIN_LCS = 0.7
 MIN_ANSWER = 0.5
+SPREAD = 1.5
 _PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -75,7 +82,7 @@ class Index:
     """What a task needs to search for one block."""
 
     ids: dict[bytes, int]
-    idf: np.ndarray  # 0 for stop terms
+    idf: np.ndarray
     unknown: float  # squared weight of a word outside the vocabulary
     inner: np.ndarray  # terms x passages, float32: cosine parts without the window's length
     most: np.ndarray  # each term's largest part: bounds a window's cosines from above
@@ -106,8 +113,9 @@ def _words(texts: Iterable, ids: dict[bytes, int]) -> Iterator[np.ndarray]:
         yield np.fromiter(map(ids.get, words, repeat(-1)), np.int32, len(words))
 
 
-def _document_frequency(texts: DataFrame, ids: dict[bytes, int]) -> tuple[np.ndarray, int]:
-    """In how many tiles each term is, and the number of tiles."""
+def _frequencies(texts: DataFrame, terms: Iterable[bytes]) -> tuple[dict[bytes, int], int]:
+    """In how many tiles each term is, and the number of tiles: one pass."""
+    ids = {t: i for i, t in enumerate(dict.fromkeys(terms))}
     n = len(ids)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,11 +126,12 @@ def _document_frequency(texts: DataFrame, ids: dict[bytes, int]) -> tuple[np.nda
                 term, many = np.unique(np.unique(at // WINDOW * n + w[at]) % n, return_counts=True)
                 found[term] += many
                 tiles += -(-len(w) // WINDOW)
-        yield pd.DataFrame({"term": np.arange(-1, n), "n": np.concatenate(([tiles], found))})
+        held = np.flatnonzero(found)
+        yield pd.DataFrame({"term": np.append(held, -1), "n": np.append(found[held], tiles)})
 
     counts = texts.mapInPandas(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     by = {r["term"]: r["n"] for r in counts}
-    return np.array([by.get(i, 0) for i in range(n)], np.int64), by.get(-1, 0)
+    return {t: by.get(i, 0) for t, i in ids.items()}, by.get(-1, 0)
 
 
 def _weights(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -174,36 +183,66 @@ def latent_basis(spark: SparkSession, rows: list[np.ndarray], idf: np.ndarray, r
     return basis @ turn[:, np.argsort(-value)[:rank]]
 
 
-def build_index(spark: SparkSession, texts: DataFrame, block: list[Passage], rank: int = RANK) -> Index:
+def term_weights(df: np.ndarray, tiles: int) -> np.ndarray:
+    return np.log((tiles + 1) / (df + 1)) + 1e-3
+
+
+def build_index(spark: SparkSession, texts: DataFrame, block: list[Passage], rank: int = RANK,
+                frequencies: tuple[dict[bytes, int], int] | None = None) -> Index:
+    """``frequencies`` of (at least) the block's terms, if they are known already."""
     ids: dict[bytes, int] = {}
     rows = [np.array([ids.setdefault(w, len(ids)) for w in p.words], np.int64) for p in block]
-    df, tiles = _document_frequency(texts, ids)
-    idf = np.log((tiles + 1) / (df + 1)) + 1e-3
-    rare = df <= STOP_SHARE * tiles
-    for r in rows:  # a passage of frequent words only keeps them all
-        if not rare[r].any():
-            rare[r] = True
-    weights = np.where(rare, idf, 0.0)
+    by, tiles = frequencies or _frequencies(texts, ids)
+    df = np.array([by[t] for t in ids], np.int64)
+    weights = term_weights(df, tiles)
     basis = latent_basis(spark, rows, weights, rank)
     inner = np.zeros((len(ids), len(rows)), np.float32)
     for i, r in enumerate(rows):
         term, w = _row(r, weights)
         inner[:, i] = basis @ (w @ basis[term])
-    inner *= weights[:, None].astype(np.float32) > 0
-    unknown = float(np.mean(weights[weights > 0] ** 2)) if (weights > 0).any() else 1.0
+    unknown = float(np.mean(weights ** 2))
     return Index(ids, weights, unknown, inner, np.maximum(inner.max(axis=1), 0), rows, [p.item_id for p in block])
 
 
-def _lcs(passage: np.ndarray, text: np.ndarray) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
+def _lcs_prefixes(passage: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequence of the passage with the first 0,
+    1, ... words of the text, bit-parallel."""
     at: dict[int, int] = {}
     for i, t in enumerate(passage.tolist()):
         at[t] = at.get(t, 0) | 1 << i
     full = row = (1 << len(passage)) - 1
+    found = [0]
     for t in text.tolist():
         both = row & at.get(t, 0)
-        row = ((row + both) | (row - both)) & full
-    return (full ^ row).bit_count()
+        if both:
+            row = ((row + both) | (row - both)) & full
+            found.append((full ^ row).bit_count())
+        else:
+            found.append(found[-1])
+    return np.array(found)
+
+
+def _lcs(passage: np.ndarray, text: np.ndarray) -> int:
+    """Length of the longest common subsequence."""
+    return int(_lcs_prefixes(passage, text)[-1])
+
+
+def _share(want: np.ndarray, text: np.ndarray) -> float:
+    """Share of ``want`` that is a common subsequence with ``text`` which has enough
+    of the answer after the words of the rest; 0 without enough of the answer."""
+    answer = max(1, len(want) // 4)
+    head = _lcs_prefixes(want[:-answer], text)
+    tail = _lcs_prefixes(want[:-answer - 1:-1], text[::-1])[::-1]
+    both = (head + tail)[tail >= MIN_ANSWER * answer]
+    return both.max() / len(want) if len(both) else 0.0
+
+
+def _best_stretch(want: np.ndarray, words: np.ndarray, lo: int, hi: int) -> tuple[float, int, int]:
+    """Best (share, first word, end word) of the stretches of words lo to hi."""
+    size, step = int(len(want) * SPREAD) + 1, max(1, len(want) // 8)
+    starts = range(lo, max(lo, hi - size) + step, step)
+    stretches = ((a, min(a + size, hi)) for a in starts)
+    return max(((_share(want, words[a:b]), a, b) for a, b in stretches), key=lambda s: (s[0], -s[1]))
 
 
 def _candidates(words: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -260,33 +299,41 @@ def _matches(words: np.ndarray, index: Index) -> list[tuple]:
         while i < len(order) and passage[order[i]] == p and (not hi or win[order[i]] * half - reach <= hi):
             hi, top = win[order[i]] * half + WINDOW + reach, max(top, cos[order[i]])
             i += 1
-        text = words[lo:hi]
-        share = _lcs(want, text) / len(want)
-        answer = want[-max(1, len(want) // 4):]
-        if share >= MIN_LCS and np.isin(answer, text).mean() >= MIN_ANSWER:
-            hit = (share, top, int(lo), int(min(hi, len(words))))
+        hi = min(hi, len(words))
+        if _lcs(want, words[lo:hi]) < MIN_LCS * len(want):
+            continue  # no stretch of it can have more
+        share, first, end = _best_stretch(want, words, int(lo), int(hi))
+        if share >= MIN_LCS:
+            hit = (share, top, first, end)
             item = index.items[p]
             best[item] = max(best.get(item, hit), hit)
     return [(item, top, share, lo, hi) for item, (share, top, lo, hi) in best.items()]
 
 
-def _filtered(docs: DataFrame, index: Index) -> DataFrame:
-    """The rows of ``docs`` in which no passage of the block is found."""
+def _hits(text: str | None, indexes: Iterable[Index]) -> Iterator[tuple]:
+    """Verified hits of a text, block after block; its words are cut once."""
+    words = words_of(text)
+    for index in indexes:
+        yield from _matches(np.fromiter(map(index.ids.get, words, repeat(-1)), np.int32, len(words)), index)
+
+
+def _filtered(docs: DataFrame, *indexes: Index) -> DataFrame:
+    """The rows of ``docs`` in which no passage of the blocks is found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            clean = [not _matches(w, index) for w in _words(b.column("text").to_pylist(), index.ids)]
+            clean = [next(_hits(t, indexes), None) is None for t in b.column("text").to_pylist()]
             yield b.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def _found(docs: DataFrame, index: Index) -> DataFrame:
+def _found(docs: DataFrame, *indexes: Index) -> DataFrame:
     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hits = [(d, *m) for d, w in zip(b.column("doc_id").to_pylist(), _words(b.column("text").to_pylist(), index.ids)) for m in _matches(w, index)]
+            hits = [(d, *h) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()) for h in _hits(t, indexes)]
             yield pa.RecordBatch.from_arrays([pa.array([h[i] for h in hits], t) for i, t in enumerate(types)], names=_SCHEMA.replace(",", "").split()[::2])
 
     return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
@@ -295,14 +342,28 @@ def _found(docs: DataFrame, index: Index) -> DataFrame:
 _SCHEMA = "doc_id long, item_id long, cosine double, lcs double, first_word long, end_word long"
 
 
+def _passes(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Iterator[list[Index]]:
+    """The indexes that each pass over ``docs`` holds. The benchmark is read twice,
+    the documents once; the terms of all its passages are on the driver, as every
+    table of word counts is, the passages a block at a time."""
+    texts = docs.select("text")
+    terms = dict.fromkeys(w for block in _blocks(benchmark) for p in block for w in p.words)
+    if not terms:
+        return
+    known = _frequencies(texts, terms)
+    indexes = (build_index(spark, texts, block, frequencies=known) for block in _blocks(benchmark))
+    while held := list(islice(indexes, BLOCKS_PER_PASS)):
+        yield held
+
+
 def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per doc_id and benchmark item found in a row of it."""
     found = spark.createDataFrame([], _SCHEMA)
-    for block in _blocks(benchmark):
-        found = found.unionByName(_found(docs, build_index(spark, docs.select("text"), block)))
+    for held in _passes(spark, docs, benchmark):
+        found = found.unionByName(materialize(_found(docs, *held), "leaks"))
     # An item of several passages may be found through more than one block.
     keys = ["doc_id", "item_id"]
-    best = F.max_by(F.struct("cosine", "lcs", "first_word", "end_word"), F.struct("lcs", "cosine")).alias("b")
+    best = F.max_by(F.struct("cosine", "lcs", "first_word", "end_word"), F.struct("lcs", "cosine", "first_word")).alias("b")
     return found.groupBy(*keys).agg(best).select(*keys, "b.*")
 
 
@@ -315,9 +376,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
-    kept = docs
-    for block in _blocks(table(spark, sf_dir, "benchmark", "item_id", "text")):
-        kept = _filtered(kept, build_index(spark, docs.select("text"), block))
+    kept, first = docs, True
+    for held in _passes(spark, docs, table(spark, sf_dir, "benchmark", "item_id", "text")):
+        # What a pass keeps is written, so the driver holds the indexes of one pass only.
+        kept, first = _filtered(kept if first else materialize(kept, "clean"), *held), False
     return kept
 
 

@@ -108,3 +108,70 @@ def test_basis_spans_the_leading_directions(spark):
     basis = op.latent_basis(spark, rows, idf, 30)
     assert np.allclose(dense @ basis @ basis.T, dense, atol=1e-6)
     assert np.allclose(np.linalg.norm(dense @ basis, axis=0), np.linalg.svd(dense, compute_uv=False), atol=1e-6)
+
+
+def zipf_world(seed, n_items, length=64, size=20_000):
+    """Items of Zipf words, and in how many tiles of a corpus each word is."""
+    rng = np.random.default_rng(seed)
+    p = 1 / np.arange(1, size + 1)
+    p /= p.sum()
+    tiles = rng.choice(size, (5000, op.WINDOW), p=p)
+    df = np.bincount(np.concatenate([np.unique(t) for t in tiles]), minlength=size)
+    return rng.choice(size, (n_items, length), p=p), df, lambda n: rng.choice(size, n, p=p)
+
+
+def as_text(words):
+    return " ".join(f"w{w}" for w in words)
+
+
+def test_a_full_block_finds_items_whose_rarest_words_are_changed(spark):
+    items, df, words = zipf_world(5, op.BLOCK)
+    block = [op.Passage(i, op.words_of(as_text(w))) for i, w in enumerate(items)]
+    known = {f"w{w}".encode(): int(n) for w, n in enumerate(df)}, 5000
+    index = op.build_index(spark, None, block, frequencies=known)
+    found = {0.0: 0, 0.25: 0, 0.29: 0}
+    for i, item in enumerate(items[:120]):
+        for share in found:
+            copy = item.copy()
+            rarest = np.argsort(df[item], kind="stable")[:int(share * len(item))]
+            copy[rarest] = words(len(rarest))
+            hits = op._hits(as_text([*words(100), *copy, *words(100)]), [index])
+            found[share] += any(h[0] == i for h in hits)
+    assert found[0.0] == 120 and min(found.values()) >= 0.9 * 120, found
+
+
+def test_an_items_words_in_another_order_are_no_copy(spark):
+    rng = random.Random(6)
+    items = {i: prose(rng, 20 + i) for i in range(45)}
+    shuffled = [(i, " ".join(w for _ in range(12) for w in rng.sample(item, len(item)))) for i, item in items.items()]
+    copies = [(100 + i, " ".join(prose(rng, 30) + item + prose(rng, 30))) for i, item in items.items()]
+    # The answer, the last quarter, stands before the question. What follows holds none
+    # of the frequent words: of those, half a short answer may come together by chance.
+    turned = [(200 + i, " ".join(item[-(len(item) // 4):] + item[:-(len(item) // 4)] + rng.sample(WORDS, 40))) for i, item in items.items()]
+    docs = spark.createDataFrame(shuffled + copies + turned, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in op.find_leaks(spark, docs, bench).collect()} == {(100 + i, i) for i in items}
+
+
+def test_the_corpus_is_read_once_a_pass_and_once_for_frequencies(spark, world, monkeypatch):
+    docs, bench, want = world
+    monkeypatch.setattr(op, "BLOCK", 2)
+    clean = bench.where("text != 'of the'")
+    frequency, passes = [], []
+    count, found = op._frequencies, op._found
+    monkeypatch.setattr(op, "_frequencies", lambda *a: frequency.append(1) or count(*a))
+    monkeypatch.setattr(op, "_found", lambda d, *held: passes.append(len(held)) or found(d, *held))
+    got = {(r["doc_id"], r["item_id"]) for r in op.find_leaks(spark, docs, clean).collect()}
+    blocks = len(list(op._blocks(clean)))
+    assert got == want and blocks > op.BLOCKS_PER_PASS
+    assert len(frequency) == 1 and sum(passes) == blocks and len(passes) == -(-blocks // op.BLOCKS_PER_PASS)
+
+
+def test_share_against_every_split():
+    rng = np.random.default_rng(4)
+    for _ in range(100):
+        want, text = rng.integers(0, 8, rng.integers(1, 14)), rng.integers(-1, 8, rng.integers(0, 30))
+        answer = max(1, len(want) // 4)
+        cuts = [(op._lcs(want[:-answer], text[:k]), op._lcs(want[-answer:], text[k:])) for k in range(len(text) + 1)]
+        expect = max((h + a for h, a in cuts if a >= op.MIN_ANSWER * answer), default=0) / len(want)
+        assert op._share(want, text) == expect
