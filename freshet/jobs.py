@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.operators.materialize import materialize
+from freshet.operators.materialize import materialize, materialize_counted
 from freshet.operators.snapshot import current_version, publish, publish_all, same_table, write_version
 from freshet.plans import renewal, weather
 from freshet.sources import schemas
@@ -53,8 +53,8 @@ def run_renewal(
     tv = schemas.conform(tariff_data, schemas.TARIFF_DATA)
     schemas.conform(constants, schemas.LOCAL_CONSTANTS)  # fails on missing columns
     # One row per candidate tariff; read by every step below, so written once.
-    cands = materialize(renewal.renewal_candidates(t, td, tv), "candidates")
-    domains = renewal.template_domains(t, td)
+    cands, n_cands = materialize_counted(renewal.renewal_candidates(t, td, tv), "candidates")
+    domains, n_domains = materialize_counted(renewal.template_domains(t, td), "domains")
     tmsg = renewal.tariff_messages(cands, td, schemas.conform(apply_result, schemas.OUTCOME))
     dmsg = renewal.domain_messages(domains, schemas.conform(approve_result, schemas.OUTCOME))
 
@@ -63,7 +63,7 @@ def run_renewal(
         "candidates": renewal.commit_batches(cands, interval=commit_interval),
         "tariff": renewal.mark_ready(tariff, cands),
         "tariff_data": renewal.clear_date_from(tariff_data, cands),
-        "audit": renewal.audit_log(cands, domains, tmsg, dmsg),
+        "audit": renewal.audit_log(cands, domains, tmsg, dmsg, n_cands, n_domains),
     }
     # Tables updated in place must keep every row, column and type.
     in_place = {"tariff": tariff, "tariff_data": tariff_data, "v_local_constants": constants}

@@ -9,7 +9,8 @@ re-read, not a recomputation, and no machine-local folder is involved.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from freshet.session import work_path
 
@@ -18,3 +19,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, "stage", name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The written table and its rows, counted while they are written. The count
+    stands directly under the write, in the job's last stage: there a partition
+    counts once however often it is tried, while a stage before a shuffle that is
+    repeated for a lost executor would count twice."""
+    seen = Observation()
+    out = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, seen.get["n"]

@@ -87,6 +87,15 @@ def _newest(spark: SparkSession, root: str, name: str) -> tuple[int, str] | None
     return None
 
 
+def newest_manifest(spark: SparkSession, root: str) -> dict[str, str]:
+    """What the newest manifest below ``root`` names; nothing if there is none."""
+    root = root.rstrip("/")
+    for stamp in _stamps(spark, root)[:1]:
+        rows = _read(spark, f"{root}/{POINTER_DIR}/published_ms={stamp}").collect()
+        return {r["table"]: r["version"] for r in rows}
+    return {}
+
+
 def current_version(spark: SparkSession, table_root: str) -> str | None:
     """Path of the newest published version: named by the table's own manifests
     or by those of the run it belongs to (the folder above)."""

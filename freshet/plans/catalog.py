@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from freshet import jobs
 from freshet.functions.payload import to_json_text
 from freshet.operators.latest import latest_by_key
-from freshet.operators.materialize import materialize
+from freshet.operators.materialize import materialize, materialize_counted
 from freshet.operators.ordinal import global_row_number
 from freshet.operators.reassemble import reassemble
 from freshet.operators.snapshot import publish, publish_if, read_current, same_table, write_version
@@ -96,12 +96,12 @@ def q_error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, td, tv = _renewal_inputs(spark, sf_dir)
-    # Counted and joined with the outcomes: written once.
-    cands = materialize(renewal.renewal_candidates(t, td, tv), "candidates")
-    domains = renewal.template_domains(t, td)
+    # Counted as they are written, then joined with the outcomes.
+    cands, n_cands = materialize_counted(renewal.renewal_candidates(t, td, tv), "candidates")
+    domains, n_domains = materialize_counted(renewal.template_domains(t, td), "domains")
     tmsg = renewal.tariff_messages(cands, td, standin(spark, sf_dir, "tariff_apply_result"))
     dmsg = renewal.domain_messages(domains, standin(spark, sf_dir, "approve_domain_result"))
-    return renewal.audit_log(cands, domains, tmsg, dmsg)
+    return renewal.audit_log(cands, domains, tmsg, dmsg, n_cands, n_domains)
 
 
 def _wide(spark: SparkSession, sf_dir: str, name: str, *extra: str) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.functions.payload import to_json_text
 from freshet.functions.variant_payload import field_kinds, variant_body, variant_conditions
+from freshet.operators.buckets import BucketedTable
 from freshet.operators.materialize import materialize
 from freshet.operators.progress import run_in_waves
 from freshet.plans import catalog, renewal, weather
@@ -14,6 +16,7 @@ from freshet.session import work_path
 from freshet.sources.landing import read_landed_stream
 from freshet.sources.response_log import read_response_log, write_response_log
 from freshet.sources.tables import load
+from freshet.streaming.log_stream import run_log_stream
 from freshet.streaming.state_stream import current_status, read_state, run_responses, run_status
 from freshet.streaming.unanswered import run_unanswered
 
@@ -175,6 +178,43 @@ def q_status_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_status(status, read_state(spark, f"{root}/state"))
 
 
+# -------------------------------------------------------- sparse updates --
+
+TARIFF_DATA_BUCKETS = 32
+
+
+def q_clear_date_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """clear_date_from on a table in buckets: only those with a version to clear are
+    written again."""
+    t, td, tv = (standin(spark, sf_dir, n) for n in ("tariff", "tariff_domain", "tariff_data"))
+    cands = materialize(renewal.renewal_candidates(t, td, tv, with_rnum=False), "candidates")
+    stored = BucketedTable(work_path(spark, "tariff_data_buckets"), "id", TARIFF_DATA_BUCKETS)
+    stored.create(tv)
+    stored.update(renewal.versions_to_clear(cands), lambda rows: renewal.clear_date_from(rows, cands))
+    return stored.read(spark)
+
+
+# -------------------------------------------------------- the log, streamed --
+
+def q_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as log records of two runs, one of them written a second time, and a
+    run whose bodies are cut short; streamed, each whole record once."""
+    root = work_path(spark, "log_stream")
+    events = load(spark, sf_dir, "events")
+    body = to_json_text(F.struct("event_id", "user_id", "event_type", "value", "props"))
+    cut = F.substring(body, 1, F.char_length(body) - 1)
+    odd = F.col("event_id") % 2 == 1
+    for run, rows, text in ((0, ~odd, body), (1, odd, body), (2, odd, body), (3, F.col("event_type") == "error", cut)):
+        write_response_log(events.where(rows).repartition(catalog.FILES_PER_TRIGGER), f"{root}/log/run={run}",
+                           city=F.col("user_id").cast("string"), at=F.col("ts"), body=text, mode="errorifexists")
+    for query in run_log_stream(spark, f"{root}/log", f"{root}/records", f"{root}/quarantine", f"{root}/_checkpoint",
+                                lateness="1000 days", max_files_per_trigger=catalog.FILES_PER_TRIGGER):
+        query.awaitTermination()
+    recs = spark.read.parquet(f"{root}/records")
+    return recs.select(F.col("city").alias("key"), F.col("logged_at").cast("timestamp_ntz").alias("logged_at"),
+                       F.from_json("body", catalog._EVENT_BODY).alias("b")).select("key", "logged_at", "b.*")
+
+
 # --------------------------------------------------------------- payloads --
 
 def _logged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +245,8 @@ _SENT = {
 }
 
 QUERIES = {
+    "clear_date_from_buckets": q_clear_date_from_buckets,
+    "log_stream": q_log_stream,
     "payload_drift": q_payload_drift,
     "conditions_variant": q_conditions_variant,
     "domain_paths": q_domain_paths,
@@ -215,6 +257,8 @@ QUERIES = {
     "status_state_stream": q_status_state_stream,
 }
 SQL = {
+    "clear_date_from_buckets": catalog.RENEWAL_SQL["clear_date_from"],
+    "log_stream": catalog.WEATHER_SQL["log_round_trip"],
     "payload_drift": "WITH sent AS (" + " UNION ALL ".join(f"SELECT '{f}' AS field, {k} AS kind FROM events" for f, k in _SENT.items()) + """),
 counts AS (SELECT field, kind, count(*) AS n FROM sent GROUP BY field, kind)
 SELECT field, kind, n, count(*) OVER (PARTITION BY field) > 1 AS drifts FROM counts""",

@@ -155,12 +155,15 @@ def mark_ready(tariff: DataFrame, candidates: DataFrame) -> DataFrame:
     return j.select(*_replaced(tariff, "is_ready", F.when(F.col("_hit"), F.lit(YES)).otherwise(F.col("is_ready"))))
 
 
+def versions_to_clear(candidates: DataFrame) -> DataFrame:
+    """Ids of unready dated newest versions."""
+    return candidates.filter((F.col("tv_is_ready") == NO) & F.col("tv_date_from").isNotNull()).select(F.col("tv_id").alias("id"))
+
+
 def clear_date_from(tariff_data: DataFrame, candidates: DataFrame) -> DataFrame:
     """New tariff_data snapshot: date_from = NULL on unready dated newest
     versions. Every other column stays as it is."""
-    hits = candidates.filter(
-        (F.col("tv_is_ready") == NO) & F.col("tv_date_from").isNotNull()
-    ).select(F.col("tv_id").alias("_hit_id"), F.lit(True).alias("_hit"))
+    hits = versions_to_clear(candidates).select(F.col("id").alias("_hit_id"), F.lit(True).alias("_hit"))
     j = tariff_data.join(hits, tariff_data["id"] == hits["_hit_id"], "left")
     return j.select(*_replaced(tariff_data, "date_from", F.when(F.col("_hit"), F.lit(None)).otherwise(F.col("date_from"))))
 
@@ -266,9 +269,11 @@ def domain_messages(domains: DataFrame, approve_result: DataFrame) -> DataFrame:
     )
 
 
-def stage_markers(stage_no: int, stage: str, processed: DataFrame) -> DataFrame:
-    """STARTED and FINISHED rows of one stage; FINISHED carries the row count."""
-    counted = processed.agg(F.count(F.lit(1)).alias("n"))
+def stage_markers(stage_no: int, stage: str, processed: DataFrame, n: int | None = None) -> DataFrame:
+    """STARTED and FINISHED rows of one stage; FINISHED carries the row count,
+    ``n`` if it is known from when the rows were written."""
+    counted = (processed.agg(F.count(F.lit(1)).alias("n")) if n is None
+               else processed.sparkSession.range(1).select(F.lit(n).cast("long").alias("n")))
     marks = F.array(
         F.struct(F.lit(0).alias("phase"), F.lit(JOB_NAME + ": " + STARTED + stage).alias("message"),
                  F.lit(None).cast("long").alias("n_processed")),
@@ -287,7 +292,8 @@ def stage_markers(stage_no: int, stage: str, processed: DataFrame) -> DataFrame:
 
 
 def audit_log(
-    candidates: DataFrame, domains: DataFrame, tariff_msgs: DataFrame, domain_msgs: DataFrame
+    candidates: DataFrame, domains: DataFrame, tariff_msgs: DataFrame, domain_msgs: DataFrame,
+    n_candidates: int | None = None, n_domains: int | None = None,
 ) -> DataFrame:
     """Ordered union of stage markers and messages (sequence: stage_no, phase, seq)."""
 
@@ -299,8 +305,8 @@ def audit_log(
         )
 
     return (
-        stage_markers(1, STAGE_TARIFFS, candidates)
+        stage_markers(1, STAGE_TARIFFS, candidates, n_candidates)
         .unionByName(body(1, tariff_msgs))
-        .unionByName(stage_markers(2, STAGE_TEMPLATES, domains))
+        .unionByName(stage_markers(2, STAGE_TEMPLATES, domains, n_domains))
         .unionByName(body(2, domain_msgs))
     )

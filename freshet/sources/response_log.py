@@ -44,9 +44,24 @@ def write_response_log(df: DataFrame, path: str, city: Column, at: Column, body:
     df.select(record_text(city, at, body).alias("value")).write.mode(mode).text(path)
 
 
+def _separated(reader):
+    return reader.option("lineSep", "\n" + HEADER_PREFIX)
+
+
 def read_response_log(spark: SparkSession, path: str) -> DataFrame:
     """Records as (city, logged_at TIMESTAMP, body STRING); bad records keep NULLs."""
-    raw = spark.read.option("lineSep", "\n" + HEADER_PREFIX).text(path)
+    return parse_records(_separated(spark.read).text(path))
+
+
+def read_response_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The log's records as they land, from all folders below ``path``."""
+    reader = _separated(spark.readStream).option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return parse_records(reader.text(path))
+
+
+def parse_records(raw: DataFrame) -> DataFrame:
     v = F.col("value")
     header = F.substring_index(v, "\n", 1)
     # Everything after the header's newline, without the record's final newline.
