@@ -4,10 +4,13 @@ A version of a file (here: a document row) is addressed by the SHA-256 of its
 text. The ledger is an append-only table of the pairs already scanned: blob,
 rule with its version, and the spans found. A scan
 
-1. reduces all versions to distinct blobs (copies combine before the shuffle),
-2. leaves out the rule versions the ledger holds for a blob, and blobs for which
-   nothing is left,
-3. scans what is left and appends it to the ledger,
+1. hashes every version where it is read and asks the ledger, by hashes alone,
+   which blobs lack which rule versions; what that finds is written,
+2. fetches one text of each such blob (copies combine before the shuffle): few
+   blobs, by a size that is checked, go to the texts, so texts that are known
+   stay where they are; many blobs meet the combined texts in a join. A first
+   scan has no ledger to ask and takes every blob,
+3. scans these and appends them to the ledger,
 4. joins the blobs' findings back to every path that has the blob.
 
 A second scan reads only new texts; a rule with a new version rescans all blobs
@@ -34,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm.common import table
+from freshet.operators.materialize import materialize
 from freshet.session import work_path
 
 
@@ -60,6 +64,8 @@ RULES = (
 )
 BASE = ("assign", "access", "hex")
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
+# So many (blob, seen) rows of some 200 bytes are sent to every task; more are joined.
+FEW_BLOBS = 100_000
 _LEDGER = f"blob string, rules array<string>, spans {_SPANS}"
 
 
@@ -95,17 +101,46 @@ def _ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(_LEDGER).parquet(path)
 
 
+def unscanned(versions: DataFrame, held: DataFrame, names: list[str]) -> DataFrame:
+    """(blob, seen) of the blobs that lack a rule version in the ledger's rows
+    ``held``, with the rules they have; only hashes are shuffled."""
+    hashes = versions.select(address(F.col("text")).alias("blob")).distinct()
+    known = held.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
+    return (
+        hashes.join(known, "blob", "left")
+        .withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
+        .where(F.size(F.array_except(F.array(*map(F.lit, names)), "seen")) > 0)
+    )
+
+
+def _distinct_texts(versions: DataFrame, *also: str) -> DataFrame:
+    firsts = [F.first(F.coalesce("text", F.lit(""))).alias("text"), *(F.first(c).alias(c) for c in also)]
+    return versions.groupBy(address(F.col("text")).alias("blob")).agg(*firsts)
+
+
+def _texts_of(versions: DataFrame, todo: DataFrame, few: bool) -> DataFrame:
+    """One text of each blob of ``todo`` (blob, seen)."""
+    if not few:
+        return _distinct_texts(versions).join(todo, "blob")
+    wanted = F.broadcast(todo.withColumnRenamed("blob", "__blob"))
+    return _distinct_texts(versions.join(wanted, address(F.col("text")) == F.col("__blob")), "seen")
+
+
 def scan_versions(spark: SparkSession, versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> int:
     """Scan what the ledger lacks of ``versions`` (text) and append it; the
     number of blobs scanned."""
     names = [rule_name(r) for r in rules]
-    blobs = versions.groupBy(address(F.col("text")).alias("blob")).agg(F.first(F.coalesce("text", F.lit(""))).alias("text"))
-    held = _ledger(spark, ledger).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
-    unseen = (
-        blobs.join(held, "blob", "left")
-        .withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
-        .where(F.size(F.array_except(F.array(*map(F.lit, names)), "seen")) > 0)
-    )
+    versions = versions.select("text")
+    held = _ledger(spark, ledger)
+    before = held.count()
+    if before:
+        todo = materialize(unscanned(versions, held, names), "unscanned")
+        n = todo.count()
+        if not n:
+            return 0
+        unseen = _texts_of(versions, todo, few=n <= FEW_BLOBS)
+    else:
+        unseen = _distinct_texts(versions).withColumn("seen", F.array().cast("array<string>"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scan = scanner(rules)
@@ -117,7 +152,6 @@ def scan_versions(spark: SparkSession, versions: DataFrame, ledger: str, rules:
                 "spans": [[{"kind": k, "start": a, "end": b} for k, a, b in scan(t, s)] for t, s in zip(pdf["text"], seen)],
             })
 
-    before = _ledger(spark, ledger).count()
     unseen.select("blob", "text", "seen").mapInPandas(run, _LEDGER).write.mode("append").parquet(ledger)
     return _ledger(spark, ledger).count() - before
 

@@ -83,3 +83,35 @@ def test_stage_masks_and_keeps_clean_rows(spark):
     assert got == [(1, "é a [SECRET] b [SECRET]", 23), (2, "clean", 5), (2, "clean", 5)]
     assert op.mask_secrets(spark, docs, "").columns == docs.columns
     assert op.mask_secrets(spark, docs.limit(0), "").count() == 0
+
+
+def _exchanges(df):
+    """Output columns of every exchange of a plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line], plan
+
+
+def test_the_ledger_is_asked_by_hashes_alone(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    ledger = f"{tmp_path}/ledger"
+    names = [op.rule_name(r) for r in op.RULES]
+    assert op.scan_versions(spark, docs, ledger) > 0
+    held = op._ledger(spark, ledger)
+    exchanges, plan = _exchanges(op.unscanned(docs, held, names))
+    assert exchanges and not [e for e in exchanges if "text" in e], plan
+    # What groups and joins on the way up holds no text either: it is hashed at the scan.
+    assert "first(" not in plan
+
+
+def test_few_and_many_new_blobs_give_the_same(spark, tmp_path, monkeypatch):
+    first = spark.createDataFrame([(f"token={KEY}",), ("clean",)], "text string")
+    more = spark.createDataFrame([(f"token={KEY}",)] * 3 + [(f"secret={KEY}",)] * 4 + [("other",), (None,), ("",)], "text string")
+    found = []
+    for few in (100, 0):
+        monkeypatch.setattr(op, "FEW_BLOBS", few)
+        ledger = f"{tmp_path}/ledger{few}"
+        assert op.scan_versions(spark, first, ledger) == 2
+        assert op.scan_versions(spark, more, ledger) == 3
+        assert op.scan_versions(spark, more, ledger) == 0
+        found.append(sorted(map(tuple, spark.read.parquet(ledger).selectExpr("blob", "to_json(rules)", "to_json(spans)").collect())))
+    assert found[0] == found[1] and len(found[0]) == 5
