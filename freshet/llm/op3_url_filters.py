@@ -4,9 +4,13 @@ A rule is a regular expression over ``host + path`` with the literal tokens
 (runs of ASCII letters and digits) every match must hold as whole tokens. How
 many URLs hold each of these tokens is counted over the table; a rule is filed
 under its rarest one. A URL's own tokens fetch the rules filed under them, and
-only those run their expression. The rules are a parameter of the job, so the
-index is a constant of the plan: one scan, no shuffle, all in DataFrame
-functions; the count is one aggregate with a row per rule token.
+only those run their expression. All in DataFrame functions; the count is one
+aggregate with a row per rule token.
+
+Up to ``LITERAL_RULES`` rules are a constant of the plan: one scan, no shuffle.
+More are a table: the tokens of each distinct URL meet the rules filed under them
+in a join, which Spark chooses by the table's size, and the hits go back to the
+rows by URL. Both ways give the same result.
 
 Two lists share the index. Path rules (host, path) fit a host and its subdomains
 if the path starts with theirs; the longest that fits decides. Pattern rules
@@ -42,6 +46,7 @@ class Rule:
 
 
 _TOKEN = r"[A-Za-z0-9]+"
+LITERAL_RULES = 64
 
 
 def path_rule(verdict: str, rule: str) -> Rule:
@@ -85,13 +90,22 @@ def _tokens(place: Column) -> Column:
     return F.array_distinct(F.split(place, r"[^A-Za-z0-9]+"))
 
 
+def _wanted(rules: tuple[Rule, ...]) -> list[str]:
+    return sorted({t for r in rules for t in r.tokens})
+
+
 def token_counts(places: DataFrame, rules: tuple[Rule, ...]) -> dict[str, int]:
     """In how many rows (place) each token of a rule is."""
-    wanted = sorted({t for r in rules for t in r.tokens})
+    wanted = _wanted(rules)
     if not wanted:
         return {}
-    held = F.array_intersect(_tokens(F.col("place")), F.array(*map(F.lit, wanted)))
-    found = places.select(F.explode(held).alias("token")).groupBy("token").agg(F.count("*").alias("n")).collect()
+    if len(rules) <= LITERAL_RULES:
+        held = F.array_intersect(_tokens(F.col("place")), F.array(*map(F.lit, wanted)))
+        tokens = places.select(F.explode(held).alias("token"))
+    else:
+        asked = places.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
+        tokens = places.select(F.explode(_tokens(F.col("place"))).alias("token")).join(asked, "token", "left_semi")
+    found = tokens.groupBy("token").agg(F.count("*").alias("n")).collect()
     return dict.fromkeys(wanted, 0) | {r["token"]: r["n"] for r in found}
 
 
@@ -115,14 +129,26 @@ def _hits(place: Column, index: dict[str, list[Rule]]) -> Column:
     return F.filter(candidates, lambda r: F.rlike(place, r["pattern"]))
 
 
+def _with_hits_by_table(places: DataFrame, index: dict[str, list[Rule]]) -> DataFrame:
+    """``places`` with the rules that fit, found by a join with the index as a table."""
+    rows = [(t, r.length, r.name, r.verdict, r.pattern) for t, rs in index.items() for r in rs]
+    filed = places.sparkSession.createDataFrame(rows, "token string, length int, name string, verdict string, pattern string")
+    # Equal URLs are one before the join: combined in tasks, so a frequent one is no hot key.
+    tokens = places.select("place").distinct().select("place", F.explode(F.array_append(_tokens(F.col("place")), F.lit(""))).alias("token"))
+    fits = tokens.distinct().join(filed, "token").where(F.rlike("place", F.col("pattern")))
+    hits = fits.groupBy("place").agg(F.collect_list(F.struct("length", "name", "verdict", "pattern")).alias("all"))
+    none = F.array().cast("array<struct<length:int,name:string,verdict:string,pattern:string>>")
+    return places.join(hits, "place", "left").withColumn("all", F.coalesce("all", none))
+
+
 def judge(pages: DataFrame, path_rules: tuple[Rule, ...] = PATH_RULES, pattern_rules: tuple[Rule, ...] = PATTERN_RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, hits) of ``pages`` (page_id, url);
     hits names the pattern rules that fit."""
     host, path = split_url(F.col("url"))
     places = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("place", F.concat("host", "path"))
     rules = path_rules + pattern_rules
-    hits = _hits(F.col("place"), index_of(rules, token_counts(places, rules)))
-    judged = places.withColumn("all", hits)
+    index = index_of(rules, token_counts(places, rules))
+    judged = places.withColumn("all", _hits(F.col("place"), index)) if len(rules) <= LITERAL_RULES else _with_hits_by_table(places, index)
     best = F.try_element_at(F.reverse(F.array_sort(F.filter("all", lambda r: r["length"] > 0))), F.lit(1))
     named = F.array_sort(F.transform(F.filter("all", lambda r: r["length"] == 0), lambda r: r["name"]))
     return judged.withColumn("best", best).withColumn("hits", named).select(

@@ -60,3 +60,37 @@ def test_rule_without_token_and_no_rules(spark):
     assert {r["page_id"]: r["verdict"] for r in op.judge(df, (), bare).collect()} == {1: "block", 2: "allow"}
     assert {r["verdict"] for r in op.judge(df, (), ()).collect()} == {"allow"}
     assert op.judge(df.limit(0)).count() == 0
+
+
+def test_rules_as_a_table_on_the_edge_urls(spark, monkeypatch):
+    rows = [(i, u) for i, u in enumerate(URLS)] + [(None, "http://x.com/de/")] * 2
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    bare = (*op.PATTERN_RULES, op.Rule("dashes", "block", "--", ()))
+    literal = sorted(map(str, op.judge(df, pattern_rules=bare).collect()))
+    monkeypatch.setattr(op, "LITERAL_RULES", 0)
+    assert sorted(map(str, op.judge(df, pattern_rules=bare).collect())) == literal
+    assert {r["verdict"] for r in op.judge(df, (), ()).collect()} == {"allow"} and op.judge(df.limit(0)).count() == 0
+
+
+def test_twenty_thousand_rules_against_direct_matching(spark, capsys):
+    hosts = [f"h{i % 4000}.{('net', 'org', 'com')[i % 3]}" for i in range(20_000)]
+    rules = {(h, f"/p{i % 13}/" if i % 4 else "/"): ("allow", "block")[i % 2] for i, h in enumerate(hosts)}
+    rules |= {(f"deep{i}.h{i}.net", "/a"): "block" for i in range(20_000 - len(rules))}
+    assert len(rules) >= 15_000
+    made = tuple(op.path_rule(v, h + p) for (h, p), v in rules.items())
+    urls = [f"http://{('', 'www.', 'a.b.')[i % 3]}h{i * 7 % 4100}.{('net', 'org', 'com')[i % 3]}/p{i % 17}/x" for i in range(2000)]
+    urls += [f"http://deep{i}.h{i}.net/{'ab'[i % 2]}" for i in range(0, 3000, 7)] + urls[:1] * 3000
+    df = op.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), made, ())
+    df.explain()
+    assert "Python" not in capsys.readouterr().out
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in df.collect()}
+    assert len(got) == len(urls)
+    hits = 0
+    for i, u in enumerate(urls):
+        host, path = u[7:].partition("/")[0], "/" + u[7:].partition("/")[2]
+        labels = host.split(".")
+        tails = [".".join(labels[k:]) for k in range(len(labels))]
+        fits = [(len(h + path[:e]), h + path[:e], rules[h, path[:e]]) for h in tails for e in range(1, len(path) + 1) if (h, path[:e]) in rules]
+        assert got[i] == (max(fits)[1:] if fits else (None, "allow")), u
+        hits += bool(fits)
+    assert hits > 1000
