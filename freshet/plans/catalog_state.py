@@ -10,6 +10,7 @@ from freshet.functions.variant_payload import field_kinds, variant_body, variant
 from freshet.operators.buckets import BucketedTable
 from freshet.operators.materialize import materialize
 from freshet.operators.progress import run_in_waves
+from freshet.operators.stored_ordinal import stored_row_number
 from freshet.plans import catalog, renewal, weather
 from freshet.plans.standins import conditions_log_records, landed_chunks, standin, status_locations, with_standins
 from freshet.session import work_path
@@ -194,6 +195,22 @@ def q_clear_date_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.read(spark)
 
 
+# ------------------------------------------------ an ordinal kept up to date --
+
+ORDINAL_RANGES = 32  # asked for, of all orders; more as pieces are cut
+
+
+def q_ordinal_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders numbered by date: the finished ones are stored, the open ones and the
+    others are added."""
+    orders = load(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_orderstatus")
+    status = F.coalesce("o_orderstatus", F.lit(""))
+    parts = [orders.where(status == "F"), orders.where(status == "O"), orders.where(~status.isin("F", "O"))]
+    capacity = orders.count() // ORDINAL_RANGES + 1
+    rows = stored_row_number(parts, work_path(spark, "stored_ordinal"), ["o_orderdate", "o_orderkey"], capacity)
+    return rows.select("o_orderkey", "o_orderstatus", "rnum")
+
+
 # -------------------------------------------------------- the log, streamed --
 
 def q_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,6 +262,7 @@ _SENT = {
 }
 
 QUERIES = {
+    "ordinal_increments": q_ordinal_increments,
     "clear_date_from_buckets": q_clear_date_from_buckets,
     "log_stream": q_log_stream,
     "payload_drift": q_payload_drift,
@@ -257,6 +275,7 @@ QUERIES = {
     "status_state_stream": q_status_state_stream,
 }
 SQL = {
+    "ordinal_increments": "SELECT o_orderkey, o_orderstatus, CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS rnum FROM orders",
     "clear_date_from_buckets": catalog.RENEWAL_SQL["clear_date_from"],
     "log_stream": catalog.WEATHER_SQL["log_round_trip"],
     "payload_drift": "WITH sent AS (" + " UNION ALL ".join(f"SELECT '{f}' AS field, {k} AS kind FROM events" for f, k in _SENT.items()) + """),

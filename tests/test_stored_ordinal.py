@@ -1,0 +1,119 @@
+"""An ordinal kept up to date: increments move offsets, not files."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from freshet.operators.stored_ordinal import RANGE, StoredOrdinal
+from freshet.session import work_path
+
+
+def _stored(spark, capacity=50, order=("k",)):
+    return StoredOrdinal(work_path(spark, "stored_ordinal"), tuple(order), capacity)
+
+
+def _keys(spark, keys):
+    return spark.createDataFrame([(k, f"v{k}") for k in keys], "k long, v string")
+
+
+def _numbers(df):
+    return {r["k"]: r["rnum"] for r in df.collect()}
+
+
+def _expected(keys):
+    return {k: i + 1 for i, k in enumerate(sorted(keys, key=lambda k: (k is not None, k or 0)))}
+
+
+def _index(spark, stored):
+    return {r[RANGE]: r for r in stored.index(spark).collect()}
+
+
+def test_increments_equal_row_number(spark):
+    """Spread, below the first key, beyond the last, into one range, with a NULL key."""
+    stored, rng = _stored(spark), random.Random(3)
+    keys = rng.sample(range(1000, 9000), 400)
+    stored.create(_keys(spark, keys))
+    for more in (rng.sample(range(1, 1000), 30), [None, *range(9000, 9300)], [k for k in range(2000, 2200) if k not in keys], [0]):
+        stored.add(_keys(spark, more))
+        keys += more
+        rows = stored.read(spark).collect()
+        assert len(rows) == len(keys) and {r["k"]: r["rnum"] for r in rows} == _expected(keys)
+        assert all(r["v"] == ("vNone" if r["k"] is None else f"v{r['k']}") for r in rows)
+        assert all(0 < r["n"] <= 50 for r in _index(spark, stored).values())
+
+
+def test_untouched_ranges_are_neither_read_nor_written(spark):
+    stored = _stored(spark)
+    stored.create(_keys(spark, range(0, 1000, 2)))
+    before = _index(spark, stored)
+    target = next(r for r in before.values() if r["low"]["k"] <= 501 and r["low"]["k"] + 2 * r["n"] > 501)
+    # The files of every other range cannot be read any more.
+    aside = {}
+    for r in before.values():
+        if r[RANGE] != target[RANGE]:
+            folder = r["path"].removeprefix("file:")
+            for name in os.listdir(folder):
+                with open(f"{folder}/{name}", "rb+") as f:
+                    aside[f.name] = f.read()
+                    f.seek(0)
+                    f.write(b"x" * len(aside[f.name]))
+    assert len(before) == 10 and aside
+    assert stored.add(_keys(spark, [501, 503])) == [target[RANGE]]
+    after = _index(spark, stored)
+    assert {i: r for i, r in after.items() if i in before} == {i: r for i, r in before.items() if i != target[RANGE]}
+    assert sum(r["n"] for r in after.values()) == 502
+    for name, data in aside.items():
+        with open(name, "wb") as f:
+            f.write(data)
+    assert _numbers(stored.read(spark)) == _expected([*range(0, 1000, 2), 501, 503])
+
+
+def test_a_slice_reads_only_its_ranges(spark):
+    stored = _stored(spark)
+    stored.create(_keys(spark, range(500)))
+    part = stored.read(spark, first=120, last=160)
+    assert _numbers(part) == {k: k + 1 for k in range(119, 160)}
+    assert len({f.rsplit("/", 2)[1] for f in part.inputFiles() if "__folder" in f}) == 2
+    assert _numbers(stored.read(spark, last=3)) == {0: 1, 1: 2, 2: 3}
+    assert stored.read(spark, first=501).count() == 0
+
+
+def test_empty_tables_and_empty_increments(spark):
+    stored = _stored(spark)
+    stored.create(_keys(spark, []).limit(0))
+    assert stored.read(spark).count() == 0 and stored.read(spark).columns == ["k", "v", "rnum"]
+    stored.add(_keys(spark, [5, 3]))
+    assert _numbers(stored.read(spark)) == {3: 1, 5: 2}
+    now = stored._current(spark)
+    assert stored.add(_keys(spark, []).limit(0)) == [] and stored._current(spark) == now
+
+
+def test_composite_keys_and_ranges_stay_filled(spark):
+    """Pieces are equal, so repeated increments leave no crumbs: a run of r rows has
+    ceil(r / capacity) of them."""
+    stored = _stored(spark, 40, ("s", "k"))
+    rows = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 7).cast("string").alias("s"))
+    stored.create(rows(0, 300))
+    for lo in range(300, 600, 100):
+        stored.add(rows(lo, lo + 100))
+    got = stored.read(spark).orderBy("rnum").select("s", "k").collect()
+    want = sorted(((str(k % 7) if k % 3 > 0 else None, k) for k in range(600)), key=lambda t: (t[0] is not None, t[0] or "", t[1]))
+    assert [tuple(r) for r in got] == want
+    assert len(_index(spark, stored)) <= 2 * 600 // 40
+
+
+def test_refused(spark):
+    stored = _stored(spark)
+    with pytest.raises(ValueError, match="no index"):
+        stored.add(_keys(spark, [1]))
+    with pytest.raises(ValueError, match="reserved"):
+        stored.create(_keys(spark, [1]).withColumn("__range", F.lit(1)))
+    stored.create(_keys(spark, [1]))
+    with pytest.raises(ValueError, match="already"):
+        stored.create(_keys(spark, [1]))
+    now = stored._current(spark)
+    stored.add(_keys(spark, [2]))
+    with pytest.raises(RuntimeError, match="changed meanwhile"):
+        stored._publish(spark, stored.index(spark), now)
