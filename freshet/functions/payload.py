@@ -95,7 +95,7 @@ def epoch_seconds(text: Column) -> Column:
 
 
 def rfc822(text: Column) -> Column:
-    """"Sun, 28 Aug 2016 21:58:33 -0400" -> TIMESTAMP (NULL if unparsable)."""
+    """"Tue, 03 Mar 2020 07:05:09 +0100" -> TIMESTAMP (NULL if unparsable)."""
     return F.try_to_timestamp(
         F.substring(text, RFC822_WEEKDAY_PREFIX + 1, 64), F.lit(RFC822_PATTERN)
     )
