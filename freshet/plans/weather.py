@@ -23,6 +23,8 @@ response that is read late never overwrites a later one.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,12 +57,14 @@ def request_paths(locations: DataFrame, api_key: Column) -> DataFrame:
     return locations.select("key", "location", request_path(api_key, F.col("location")).alias("request_path"))
 
 
-def response_bodies(responses: DataFrame) -> DataFrame:
+def response_bodies(responses: DataFrame, dealt_by: Sequence[str] = (), extra: Mapping | None = None) -> DataFrame:
     """Chunks -> (request_id, location, status, received_at, body). The chunks
-    of one response are one small group, so the text is shuffled once."""
+    of one response are one small group, so the text is shuffled once; not at all
+    if the chunks are dealt by ``dealt_by``, columns that a response has one value
+    of. ``extra`` as in ``reassemble``."""
     return reassemble(
-        responses, ["request_id", "location", "status"], "seq", "chunk", out="body",
-        extra={"received_at": (F.max("received_at"), F.max)}, block=None,
+        responses, [*dealt_by, "request_id", "location", "status"], "seq", "chunk", out="body",
+        extra={"received_at": (F.max("received_at"), F.max), **(extra or {})}, block=None,
     )
 
 

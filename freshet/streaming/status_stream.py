@@ -18,7 +18,7 @@ import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from freshet.jobs import refresh_and_publish
@@ -139,11 +139,24 @@ def fold_outputs(spark: SparkSession, out_dir: str, batch_id: int, read: Callabl
     publish(spark, f"{out_dir}_snapshots", path)
 
 
-def _split_whole(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(chunks of whole responses, chunks of those still waiting for some)."""
-    n = chunks.groupBy("request_id").agg(F.count_distinct("seq").alias("have"), F.max("n_chunks").alias("want"))
-    waiting = n.filter("want is not null and have < want").select("request_id")
-    return chunks.join(waiting, "request_id", "left_anti"), chunks.join(waiting, "request_id", "left_semi")
+def _responses(chunks: DataFrame) -> DataFrame:
+    """Bodies as ``weather.parsed_bodies`` gives them, of whole responses and of those
+    still ``waiting`` for chunks; the latter keep their ``chunks`` instead. ``newest``
+    is the request's last arrival. The text is shuffled once: what is counted per
+    request stays where the chunks were dealt. Chunks without a request wait for
+    nothing and are dealt by what else they are put together by."""
+    dealt = chunks.withColumn("_home", F.coalesce("request_id", F.xxhash64("location", "status"))).repartition("_home")
+    joined = lambda lists: F.flatten(F.collect_list(lists))
+    bodies = weather.response_bodies(dealt, ["_home"], {
+        "_seqs": (F.collect_set("seq"), joined),
+        "_want": (F.max("n_chunks"), F.max),
+        "chunks": (F.collect_list(F.struct("seq", "chunk", "received_at", "n_chunks")), joined),
+    })
+    request = Window.partitionBy("_home", "request_id")
+    have, want = F.size(F.array_distinct(F.flatten(F.collect_list("_seqs").over(request)))), F.max("_want").over(request)
+    waiting = F.coalesce(F.col("request_id").isNotNull() & (have < want), F.lit(False))
+    marked = bodies.withColumns({"waiting": waiting, "newest": F.max("received_at").over(request)}).drop("_home", "_seqs", "_want")
+    return weather.with_payload(marked.withColumns({"body": F.when(~F.col("waiting"), F.col("body")), "chunks": F.when(F.col("waiting"), F.col("chunks"))}))
 
 
 def run_status_refresh(
@@ -174,15 +187,15 @@ def run_status_refresh(
         chunks = batch.select(*RESPONSE_SCHEMA.fieldNames())
         if batch_id:
             chunks = chunks.unionByName(spark.read.schema(RESPONSE_SCHEMA).parquet(f"{pending}/batch_id={batch_id - 1}"))
-        chunks = materialize(chunks, "chunks")
-        whole, waiting = _split_whole(chunks)
-        newest = chunks.agg(F.max("received_at").alias("t")).first()["t"]
-        old = F.col("received_at") < F.lit(newest).cast("timestamp") - F.expr(f"interval {give_up_after}")
-        aged = waiting.groupBy("request_id").agg(F.max("location").alias("location"), F.max("received_at").alias("received_at")).filter(old)
-        waiting.join(aged.select("request_id"), "request_id", "left_anti").select(*RESPONSE_SCHEMA.fieldNames()) \
+        responses = materialize(_responses(chunks), "responses")
+        newest = responses.agg(F.max("received_at").alias("t")).first()["t"]
+        old = F.coalesce(F.col("newest") < F.lit(newest).cast("timestamp") - F.expr(f"interval {give_up_after}"), F.lit(False))
+        waiting = responses.filter("waiting")
+        waiting.filter(~old).select("request_id", "location", "status", F.inline("chunks")).select(*RESPONSE_SCHEMA.fieldNames()) \
             .write.mode("overwrite").parquet(f"{pending}/batch_id={batch_id}")
+        aged = waiting.filter(old).groupBy("request_id").agg(F.max("location").alias("location"), F.max("received_at").alias("received_at"))
         lost = aged.select(F.lit("incomplete_response").alias("event"), "request_id", "location", "received_at")
-        parsed = materialize(weather.parsed_bodies(whole), "bodies")
+        parsed = responses.filter("NOT waiting").drop("waiting", "newest", "chunks")
         res = refresh_and_publish(spark, status_root, parsed, locations, f"{log_dir}/batch_id={batch_id}", f"{audit_dir}/batch_id={batch_id}", lost)
         if not res.published:
             raise RuntimeError(f"the gate rejected the status of batch {batch_id}; the previous version stays")

@@ -1,9 +1,14 @@
 """What a batch of the refresh streams costs: round trips of the state, shuffles of the text."""
 
+import datetime as dt
+
 import pandas as pd
 
-from freshet.streaming import state_stream
+from freshet.plans import weather
+from freshet.sources.landing import RESPONSE_SCHEMA
+from freshet.streaming import state_stream, status_stream
 
+DAY = dt.datetime(2024, 1, 1)
 BIG = 2**53 + 1  # no float
 
 
@@ -77,3 +82,24 @@ def test_a_batch_asks_the_state_once_for_many_requests():
         lost += [(now, r.request_id, r.event) for out in task.handleExpiredTimer((7,), _Fired(now), _Fired(now)) for r in out.itertuples()]
         assert bucket.calls <= 3
     assert lost == [(1010, BIG + 499, "incomplete_response")] and bucket.value is None
+
+
+def _at(hours):
+    return DAY + dt.timedelta(hours=hours)
+
+
+def test_the_text_of_a_batch_is_shuffled_once(spark):
+    rows = [(1, "L/A", 200, 1, "b", _at(1), 2), (1, "L/A", 200, 0, "a", _at(2), 2), (2, "L/B", 200, 0, "half", _at(1), 2), (2, "L/B", 200, 0, "half", _at(3), 2),
+            (3, "L/C", 200, 0, "x", _at(1), 2), (3, "L/C", 503, 1, None, _at(2), None), (4, "L/D", 200, 0, "open", _at(1), None),
+            (None, "L/E", 200, 0, "n", _at(1), 9), (None, "L/F", 200, 0, "m", _at(1), 9), (5, None, 200, 0, "q", None, 3)]
+    chunks = spark.createDataFrame(rows, RESPONSE_SCHEMA)
+    got = status_stream._responses(chunks)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan, plan
+    found = got.collect()
+    whole = {(r.request_id, r.location, r.status, r.body, r.received_at) for r in found if not r.waiting}
+    assert whole == {(1, "L/A", 200, "ab", _at(2)), (3, "L/C", 200, "x", _at(1)), (3, "L/C", 503, None, _at(2)), (4, "L/D", 200, "open", _at(1)),
+                     (None, "L/E", 200, "n", _at(1)), (None, "L/F", 200, "m", _at(1))}
+    assert whole == {(r.request_id, r.location, r.status, r.body, r.received_at) for r in weather.parsed_bodies(chunks).collect() if r.request_id not in (2, 5)}
+    waiting = {r.request_id: (r.body, r.newest, sorted((c.seq, c.chunk, c.received_at, c.n_chunks) for c in r.chunks)) for r in found if r.waiting}
+    assert waiting == {2: (None, _at(3), [(0, "half", _at(1), 2), (0, "half", _at(3), 2)]), 5: (None, None, [(0, "q", None, 3)])}
